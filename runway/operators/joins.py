@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
@@ -21,10 +22,11 @@ def join_bounded(big: DataFrame, small: DataFrame, on: Sequence[str] | str,
 
     The small side (usually an aggregate of ``big``) is first written to the
     cluster's shared checkpoint folder, which cuts its lineage and survives
-    executor loss, and its rows are counted (``limit(max_rows + 1)``, a read
-    of the checkpoint only).  Within the bound it is broadcast, so the big
-    side is never shuffled; beyond it the join is left to a shuffle join,
-    where AQE can still split skewed partitions of the big side.
+    executor loss; its rows are counted by an ``Observation`` riding on that
+    same write job, so the check costs no extra pass.  Within the bound it is
+    broadcast and the big side is never shuffled; beyond it the join is left
+    to a shuffle join, where AQE can still split skewed partitions of the
+    big side.
 
     Without a shared checkpoint folder nothing is materialised and Catalyst
     plus AQE choose from their own size estimates.
@@ -32,8 +34,9 @@ def join_bounded(big: DataFrame, small: DataFrame, on: Sequence[str] | str,
     max_rows = DEFAULT_MAX_BROADCAST_ROWS if max_rows is None else max_rows
     if checkpoint_dir(small.sparkSession) is None:
         return big.join(small, list(on) if not isinstance(on, str) else on, how)
-    side = small.checkpoint(eager=True)
-    fits = side.limit(max_rows + 1).count() <= max_rows
+    obs = Observation(f"bounded_side_{uuid.uuid4().hex}")
+    side = small.observe(obs, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+    fits = obs.get["rows"] <= max_rows
     side = F.broadcast(side) if fits else side
     return big.join(side, list(on) if not isinstance(on, str) else on, how)
 
@@ -42,3 +45,13 @@ def join_top_k(big: DataFrame, top: DataFrame, on: Sequence[str], how: str = "in
     """Join to a side that ends in ``limit(k)``: its size is bounded by ``k``
     by construction, so it is broadcast without a check."""
     return big.join(F.broadcast(top), list(on), how)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and reuse it: a reliable checkpoint in the shared
+    folder (lineage cut, survives executor loss).  Meant for small derived
+    tables that several branches of one analysis read; without a shared
+    folder the frame is returned as is and Spark recomputes it."""
+    if checkpoint_dir(df.sparkSession) is None:
+        return df
+    return df.checkpoint(eager=True)
