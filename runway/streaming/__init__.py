@@ -1 +1 @@
-"""Streaming forms of the analyses (see streaming.incremental)."""
+"""Streaming forms of the counting analyses (see ``incremental``)."""
