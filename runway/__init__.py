@@ -17,7 +17,7 @@ from .operators.joins import join_bounded, join_top_k
 from .operators.quality import (column_profile, distinct_values, drop_null_rows,
                                 drop_sparse_columns, duplicate_keys, fill_group_mean,
                                 fill_mean, frames_equal, group_mean, null_counts,
-                                null_pct, sentinel_counts, sparse_columns)
+                                null_pct, preview, sentinel_counts, sparse_columns)
 from .plans.cleaning import clean_flights, clean_planes, clean_weather
 from .plans.delays import (delay_by_hour, delayed_share, least_delayed_origin,
                            most_delayed_dest)

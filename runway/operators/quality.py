@@ -135,6 +135,12 @@ def column_profile(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """A4: the first ``n`` rows (``head``/``show``) as a frame; a limit is
+    the feature here.  Spark stops scanning once ``n`` rows are found."""
+    return df.limit(n)
+
+
 def distinct_values(df: DataFrame, where: Column | str, cols: Sequence[str]) -> DataFrame:
     """Distinct ``cols`` among rows matching ``where``."""
     return df.where(where).select(*cols).distinct()

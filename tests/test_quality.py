@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from runway.operators.quality import (column_profile, distinct_values, drop_null_rows,
                                       drop_sparse_columns, duplicate_keys, fill_group_mean,
                                       fill_mean, frames_equal, group_mean, null_counts,
-                                      null_pct, sentinel_counts, sparse_columns)
+                                      null_pct, preview, sentinel_counts,
+                                      sparse_columns)
 from runway.sources.csv import read_csv
 from runway.sources.schemas import WEATHER
 from runway.sources.roles import weather_text
@@ -114,3 +115,8 @@ def test_frames_equal_respects_multiplicity(spark):
     b = spark.createDataFrame([(1,)], "x int")
     assert frames_equal(a, a) and not frames_equal(a, b)
     assert not math.isnan(1.0)
+
+
+def test_preview(spark):
+    df = spark.range(100)
+    assert preview(df, 5).count() == 5 and preview(df).columns == ["id"]
