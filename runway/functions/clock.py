@@ -17,9 +17,8 @@ ColumnOrName = Column | str
 # The date patterns of the study's two files.
 FLIGHT_DATE_FORMATS = ("M/d/yyyy",)
 WEATHER_DATE_FORMATS = ("M-d-yyyy", "M/d/yyyy")
-# Accepted shapes of the weather hour text.
-HOUR_TEXT_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "M/d/yyyy H:mm",
-                     "M-d-yyyy H:mm", "H:mm")
+# Fixed value: an "H:mm" clock at the start of the text or after a space/T.
+HOUR_TEXT_PATTERN = r"(?:^|[ T])(\d{1,2}):\d{2}"
 
 
 def _c(c: ColumnOrName) -> Column:
@@ -32,11 +31,17 @@ def parse_date(c: ColumnOrName, formats: Sequence[str] = FLIGHT_DATE_FORMATS) ->
     return F.coalesce(*[F.try_to_date(c, f) for f in formats])
 
 
-def parse_hour(c: ColumnOrName, formats: Sequence[str] = HOUR_TEXT_FORMATS) -> Column:
-    """H5 on text of unknown shape: the hour of the first pattern that fits."""
+def parse_hour(c: ColumnOrName) -> Column:
+    """H5 on text of unknown shape ('2013-01-01 05:00:00', '1/1/2013 5:00',
+    '5:00'): the hour of the wall clock, null when there is none.
+
+    ISO text is cast to ``timestamp_ntz`` (no zone, so a clock inside a DST
+    gap keeps its hour); other shapes fall back to the first H:mm clock.
+    """
     c = _c(c)
-    ts = F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
-    return F.hour(ts)
+    iso = F.hour(c.try_cast("timestamp_ntz"))
+    h = F.regexp_extract(c, HOUR_TEXT_PATTERN, 1).try_cast("int")
+    return F.coalesce(iso, F.when(h.between(0, 23), h)).cast("int")
 
 
 def weekday_name(c: ColumnOrName) -> Column:

@@ -78,9 +78,19 @@ def test_dates_and_weekday(spark):
 
 
 def test_hour_text_shapes(spark):
-    df = spark.createDataFrame([("2013-01-01 05:00:00",), ("1/1/2013 7:00",), ("13:45",), ("?",)],
-                               "s string")
-    assert [r[0] for r in df.select(parse_hour("s")).collect()] == [5, 7, 13, None]
+    df = spark.createDataFrame([("2013-01-01 05:00:00",), ("1/1/2013 7:00",), ("13:45",), ("?",),
+                                ("2013-01-01T23:10",), ("1/1/2013 25:00",)], "s string")
+    assert [r[0] for r in df.select(parse_hour("s")).collect()] == [5, 7, 13, None, 23, None]
+
+
+def test_hour_text_in_dst_gap_keeps_its_hour(spark):
+    df = spark.createDataFrame([("2024-03-10 02:30:00",)], "s string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert df.select(parse_hour("s")).first()[0] == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
 
 
 def test_zone_does_not_change_results(spark):
