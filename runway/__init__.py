@@ -26,6 +26,7 @@ from .plans.fleet import (fuel_by_each_trait, fuel_by_plane_traits, fuel_by_trai
                           fuel_by_year)
 from .plans.hours import busiest_hour, hourly_counts
 from .plans.routes import (busiest_routes, busiest_routes_sql, carrier_route_vs_total,
+                           carrier_totals,
                            carriers_on_top_routes, route_carrier_counts, route_counts)
 from .plans.series import binned_counts, chart_series, pairwise_corr
 from .plans.weather import (delay_by_wind_speed, join_weather, monthly_weather_delay,

@@ -28,7 +28,7 @@ from .plans.fleet import (fuel_by_each_trait, fuel_by_plane_traits, fuel_by_trai
                           fuel_by_year)
 from .plans.hours import busiest_hour
 from .plans.routes import (busiest_routes, busiest_routes_sql, carrier_route_vs_total,
-                           carriers_on_top_routes)
+                           carrier_totals, carriers_on_top_routes)
 from .plans.series import binned_counts, chart_series, pairwise_corr
 from .plans.weather import (delay_by_wind_speed, join_weather, monthly_weather_delay,
                             prepare_weather)
@@ -139,6 +139,7 @@ QUERIES: dict[str, Query] = {
     "carriers_on_top_routes": lambda s, d: carriers_on_top_routes(trips(s, d), TOP_K),
     "carriers_on_top_routes_first16":
         lambda s, d: carriers_on_top_routes(trips(s, d), TOP_K, limit=FIRST_ROWS),
+    "carrier_totals": lambda s, d: carrier_totals(trips(s, d)),
     "carrier_route_vs_total": lambda s, d: carrier_route_vs_total(trips(s, d), TOP_K),
     "least_delayed_origin": lambda s, d: least_delayed_origin(trips(s, d)),
     "most_delayed_dest": lambda s, d: most_delayed_dest(trips(s, d)),

@@ -281,6 +281,8 @@ QUERIES: dict[str, str] = {
     "carriers_on_top_routes": _with(_CARRIERS_TOP5, "trips"),
     "carriers_on_top_routes_first16": _with(
         f"SELECT * FROM ({_CARRIERS_TOP5}) ORDER BY origin, dest, carrier LIMIT 16", "trips"),
+    "carrier_totals": _with("SELECT carrier, count(*) AS count2 FROM trips GROUP BY carrier",
+                            "trips"),
     "carrier_route_vs_total": _with(f"""
 SELECT a.carrier, a.origin, a.dest, a.count, b.count2
 FROM ({_CARRIERS_TOP5}) a

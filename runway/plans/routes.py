@@ -65,6 +65,11 @@ def carriers_on_top_routes(trips: DataFrame, k: int = 5, limit: int | None = Non
     return out.limit(limit) if limit else out
 
 
+def carrier_totals(trips: DataFrame, year: int | None = None) -> DataFrame:
+    """Carrier, count2 (all trips of each carrier), sorted by carrier."""
+    return count_by(_scope(trips, year), ["carrier"], "count2").orderBy("carrier")
+
+
 def carrier_route_vs_total(trips: DataFrame, k: int = 5, limit: int | None = None,
                            year: int | None = None) -> DataFrame:
     """Q7: Q6 next to each carrier's total trips (``count2``).
