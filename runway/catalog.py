@@ -35,6 +35,7 @@ from .plans.weather import (delay_by_wind_speed, join_weather, monthly_weather_d
 from .session import scratch_path
 from .sources import roles
 from .sources.csv import read_flights, write_table
+from .sources.store import load_stored, store_partitioned
 from .sources.schemas import FLIGHT_REQUIRED_COLUMNS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +101,13 @@ def csv_roundtrip(spark, d):
     return read_flights(spark, path)
 
 
+def stored_trips(spark, d):
+    """Trips written once under the shared folder, partitioned by year."""
+    path = scratch_path(spark, "trips-by-year")
+    store_partitioned(trips(spark, d), path, partition_by=("year",))
+    return load_stored(spark, path)
+
+
 def _clock_text(spark, d):
     f = raw_flights(spark, d)
     return f.select(
@@ -135,6 +143,8 @@ QUERIES: dict[str, Query] = {
     "busiest_route": lambda s, d: busiest_routes(trips(s, d), 1),
     "top5_routes": lambda s, d: busiest_routes(trips(s, d), TOP_K),
     "busiest_route_one_year": lambda s, d: busiest_routes(trips(s, d), 1, year=ONE_YEAR),
+    "busiest_route_one_year_stored":
+        lambda s, d: busiest_routes(stored_trips(s, d), 1, year=ONE_YEAR),
     "top5_routes_sql": lambda s, d: busiest_routes_sql(trips(s, d), TOP_K),
     "carriers_on_top_routes": lambda s, d: carriers_on_top_routes(trips(s, d), TOP_K),
     "carriers_on_top_routes_first16":

@@ -277,6 +277,7 @@ QUERIES: dict[str, str] = {
     "busiest_route": _with(_top_routes("trips", 1), "trips"),
     "top5_routes": _with(_top_routes("trips", 5), "trips"),
     "busiest_route_one_year": _with(_top_routes("trips", 1, "WHERE year = 1997"), "trips"),
+    "busiest_route_one_year_stored": _with(_top_routes("trips", 1, "WHERE year = 1997"), "trips"),
     "top5_routes_sql": _with(_top_routes("trips", 5), "trips"),
     "carriers_on_top_routes": _with(_CARRIERS_TOP5, "trips"),
     "carriers_on_top_routes_first16": _with(

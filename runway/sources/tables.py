@@ -1,4 +1,8 @@
-"""Parquet scans of the driver tables (``<dir>/<name>.parquet``)."""
+"""Parquet scans of the driver tables (``<dir>/<name>.parquet``).
+
+The tables this library reads get a declared schema, so a scan never runs a
+footer-reading job to infer one; the others are inferred.
+"""
 
 from __future__ import annotations
 
@@ -8,10 +12,30 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations")
 
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+}
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
                columns: list[str] | None = None) -> DataFrame:
     """Scan one table; selecting ``columns`` here keeps ``ReadSchema`` narrow
     even before Catalyst prunes."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in SCHEMAS:
+        reader = reader.schema(SCHEMAS[name])
+    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df

@@ -61,3 +61,8 @@ def test_top_k_is_pushed_below_the_sql_window(spark):
     plan = _plan(spark, "top5_routes_sql")
     w = plan.index("Window")
     assert "TakeOrderedAndProject" in plan[w:]
+
+
+def test_stored_trips_prune_year_partitions(spark):
+    plan = _plan(spark, "busiest_route_one_year_stored")
+    assert re.search(r"PartitionFilters: \[[^\]]*year[^\]]*= 1997", plan), plan
