@@ -153,7 +153,9 @@ SELECT type, engines, seats, engine, round(avg_fuel_cc, 4) AS avg_fuel_cc, param
 FROM plane_traits_raw""", "plane_traits_raw")
 
 
-def _with(body: str, *names: str) -> str:
+def _with(body: str, *names: str, extra: str = "") -> str:
+    """``WITH`` the named roles (and their dependencies, in order), then any
+    ``extra`` query-local CTEs, then ``body``."""
     order: list[str] = []
 
     def visit(n: str) -> None:
@@ -166,6 +168,8 @@ def _with(body: str, *names: str) -> str:
     for n in names:
         visit(n)
     ctes = ",\n".join(f"{n} AS ({_CTE[n][1]}\n)" for n in order)
+    if extra:
+        ctes += ",\n" + extra
     return f"WITH {ctes}\n{body}"
 
 
@@ -258,12 +262,11 @@ def _binned() -> str:
         parts.append(f"SELECT '{c}' AS col, {b} AS bin FROM pt, b")
     bounds = ", ".join(f"CAST(min({c}) AS DOUBLE) AS lo_{c}, CAST(max({c}) AS DOUBLE) AS hi_{c}"
                        for c in _PAIR_COLS)
-    body = (f", pt AS (SELECT engines, seats, avg_fuel_cc FROM plane_traits_raw), "
-            f"b AS (SELECT {bounds} FROM pt)\n"
-            f"SELECT col, bin, count(*) AS count FROM ({' UNION ALL '.join(parts)}) "
+    extra = (f"pt AS (SELECT engines, seats, avg_fuel_cc FROM plane_traits_raw),\n"
+             f"b AS (SELECT {bounds} FROM pt)")
+    body = (f"SELECT col, bin, count(*) AS count FROM ({' UNION ALL '.join(parts)}) "
             f"GROUP BY col, bin")
-    sql = _with("SELECT 1", "plane_traits_raw")
-    return sql[: -len("SELECT 1")].rstrip() + body
+    return _with(body, "plane_traits_raw", extra=extra)
 
 
 _PROFILE_TYPES = {"date": "string", "sched_dep_time": "int", "dep_time": "int",
