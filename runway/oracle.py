@@ -256,10 +256,11 @@ _PAIR_COLS = ("engines", "seats", "avg_fuel_cc")
 def _binned() -> str:
     parts = []
     for c in _PAIR_COLS:
-        b = (f"CASE WHEN {c} IS NULL THEN NULL WHEN b.hi_{c} = b.lo_{c} THEN 1 ELSE "
-             f"CAST(least(floor((CAST({c} AS DOUBLE) - b.lo_{c}) * 10.0 / (b.hi_{c} - b.lo_{c})) + 1, 10)"
+        lo, hi = f"(SELECT lo_{c} FROM b)", f"(SELECT hi_{c} FROM b)"
+        b = (f"CASE WHEN {c} IS NULL THEN NULL WHEN {hi} = {lo} THEN 1 ELSE "
+             f"CAST(least(floor((CAST({c} AS DOUBLE) - {lo}) * 10.0 / ({hi} - {lo})) + 1, 10)"
              f" AS INTEGER) END")
-        parts.append(f"SELECT '{c}' AS col, {b} AS bin FROM pt, b")
+        parts.append(f"SELECT '{c}' AS col, {b} AS bin FROM pt")
     bounds = ", ".join(f"CAST(min({c}) AS DOUBLE) AS lo_{c}, CAST(max({c}) AS DOUBLE) AS hi_{c}"
                        for c in _PAIR_COLS)
     extra = (f"pt AS (SELECT engines, seats, avg_fuel_cc FROM plane_traits_raw),\n"
