@@ -120,3 +120,12 @@ def test_frames_equal_respects_multiplicity(spark):
 def test_preview(spark):
     df = spark.range(100)
     assert preview(df, 5).count() == 5 and preview(df).columns == ["id"]
+
+
+def test_empty_inputs(spark):
+    df = spark.createDataFrame([], "carrier string, origin int, air_time double")
+    assert fill_group_mean(df, ["carrier", "origin"], ["air_time"]).count() == 0
+    assert fill_mean(df, ["air_time"]).count() == 0
+    assert drop_sparse_columns(df).columns == df.columns
+    assert null_counts(df).first().air_time == 0
+    assert group_mean(df, ["carrier"], "air_time").count() == 0

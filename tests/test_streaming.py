@@ -11,7 +11,7 @@ from runway.plans.enrich import enrich_flights
 from runway.session import scratch_path
 from runway.sources.csv import write_table
 from runway.streaming.incremental import (read_flight_stream, running_delayed_share,
-                                          running_route_counts)
+                                          running_route_counts, start_running)
 
 from conftest import SF_SMALL
 
@@ -24,10 +24,8 @@ def test_stream_matches_batch(spark):
     write_table(raw.where(F.col("flight") % 2 == 1), src + "/part-b", "csv", null_value="NA")
     stream = read_flight_stream(spark, src + "/*", max_files_per_trigger=2)
     name_r, name_s = f"routes_{uuid.uuid4().hex}", f"share_{uuid.uuid4().hex}"
-    q1 = (running_route_counts(stream).writeStream.outputMode("complete").format("memory")
-          .queryName(name_r).start())
-    q2 = (running_delayed_share(stream).writeStream.outputMode("complete").format("memory")
-          .queryName(name_s).start())
+    q1 = start_running(running_route_counts(stream), name_r)
+    q2 = start_running(running_delayed_share(stream), name_s)
     try:
         q1.processAllAvailable()
         q2.processAllAvailable()
