@@ -24,6 +24,15 @@ def _is_missing(df: DataFrame, name: str) -> Column:
     return c.isNull()
 
 
+def _value(df: DataFrame, name: str) -> Column:
+    """The column with NaN read as missing (null) for floating columns, so
+    means skip it and fills replace it, as pandas does."""
+    c = df[name]
+    if isinstance(df.schema[name].dataType, (DoubleType, FloatType)):
+        return F.when(~F.isnan(c), c)
+    return c
+
+
 def null_counts(df: DataFrame) -> DataFrame:
     """B1: one row, one long column per input column: missing values."""
     return df.select([F.count_if(_is_missing(df, c)).alias(c) for c in df.columns])
@@ -89,9 +98,9 @@ def fill_group_mean(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
     """
     keys, cols = list(keys), list(cols)
     tmp = {c: f"__mean_{c}" for c in cols}
-    means = df.groupBy(*keys).agg(*[F.avg(c).alias(tmp[c]) for c in cols])
+    means = df.groupBy(*keys).agg(*[F.avg(_value(df, c)).alias(tmp[c]) for c in cols])
     joined = join_bounded(df, means, keys, how="left", max_rows=max_groups)
-    out = [F.coalesce(F.col(c).cast("double"), F.col(tmp[c])).alias(c) if c in tmp
+    out = [F.coalesce(_value(joined, c).cast("double"), F.col(tmp[c])).alias(c) if c in tmp
            else F.col(c) for c in df.columns]
     return joined.select(out)
 
@@ -105,7 +114,7 @@ def group_mean(df: DataFrame, keys: Sequence[str], col: str, name: str | None =
     """
     keys = list(keys)
     name = name or f"mean_{col}"
-    means = df.groupBy(*keys).agg(F.avg(col).alias(name))
+    means = df.groupBy(*keys).agg(F.avg(_value(df, col)).alias(name))
     joined = join_bounded(df, means, keys, how="left", max_rows=max_groups)
     return joined.select(*[F.col(c) for c in df.columns], F.col(name))
 
@@ -118,9 +127,9 @@ def fill_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     the whole frame.
     """
     cols = list(cols)
-    row = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
+    row = df.agg(*[F.avg(_value(df, c)).alias(c) for c in cols]).first()
     return df.select([
-        F.coalesce(F.col(c).cast("double"), F.lit(row[c]).cast("double")).alias(c)
+        F.coalesce(_value(df, c).cast("double"), F.lit(row[c]).cast("double")).alias(c)
         if c in cols else F.col(c) for c in df.columns])
 
 

@@ -129,3 +129,14 @@ def test_empty_inputs(spark):
     assert drop_sparse_columns(df).columns == df.columns
     assert null_counts(df).first().air_time == 0
     assert group_mean(df, ["carrier"], "air_time").count() == 0
+
+
+def test_nan_is_missing_in_fills(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", float("nan")), ("a", 3.0), ("b", float("nan"))],
+                               "k string, v double")
+    got = sorted((r.k, r.v) for r in fill_group_mean(df, ["k"], ["v"]).collect()
+                 if r.k == "a")
+    assert got == [("a", 1.0), ("a", 2.0), ("a", 3.0)]
+    b = [r.v for r in fill_group_mean(df, ["k"], ["v"]).collect() if r.k == "b"]
+    assert b == [None]
+    assert sorted(r.v for r in fill_mean(df, ["v"]).collect()) == [1.0, 2.0, 2.0, 3.0]
