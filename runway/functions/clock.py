@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
 ColumnOrName = Column | str
 
@@ -31,6 +32,17 @@ def parse_date(c: ColumnOrName, formats: Sequence[str] = FLIGHT_DATE_FORMATS) ->
     return F.coalesce(*[F.try_to_date(c, f) for f in formats])
 
 
+def date_of(df: DataFrame, name: str, formats: Sequence[str] = FLIGHT_DATE_FORMATS) -> Column:
+    """H1 for a column of any type: text is parsed with ``formats``, a
+    date is kept, a timestamp is cut to its date."""
+    t = df.schema[name].dataType
+    if isinstance(t, DateType):
+        return df[name]
+    if isinstance(t, (TimestampType, TimestampNTZType)):
+        return df[name].cast("timestamp_ntz").cast("date")
+    return parse_date(df[name], formats)
+
+
 def parse_hour(c: ColumnOrName) -> Column:
     """H5 on text of unknown shape ('2013-01-01 05:00:00', '1/1/2013 5:00',
     '5:00'): the hour of the wall clock, null when there is none.
@@ -67,15 +79,25 @@ def hhmm_minutes_text(c: ColumnOrName) -> Column:
     return (hours * 60 + mins).cast("int")
 
 
+def minutes_of(df: DataFrame, name: str) -> Column:
+    """H6/H11 for a column of any type: integer clocks by arithmetic, clocks
+    that arrived as text through the text decoder."""
+    if isinstance(df.schema[name].dataType, StringType):
+        return hhmm_minutes_text(df[name])
+    return hhmm_minutes(df[name])
+
+
 def clock_timestamp(date_c: ColumnOrName, hhmm_c: ColumnOrName,
-                    shift_seconds: int = 0) -> Column:
+                    shift_seconds: int = 0, minutes: Column | None = None) -> Column:
     """Date + HHMM clock -> timestamp_ntz, moved back ``shift_seconds``.
 
     The study moves actual clocks back 1 s (pandas) or 60 s (Spark), so an
     actual 2400 stays on the same date (23:59:59).  A scheduled 2400 lands
-    on the next day 00:00, as datetime arithmetic says.
+    on the next day 00:00, as datetime arithmetic says.  ``minutes`` may
+    pass already decoded minutes (see :func:`minutes_of`).
     """
-    secs = hhmm_minutes(hhmm_c) * 60 - F.lit(shift_seconds)
+    m = hhmm_minutes(hhmm_c) if minutes is None else minutes
+    secs = m * 60 - F.lit(shift_seconds)
     return F.timestamp_add("SECOND", secs, _c(date_c).cast("timestamp_ntz"))
 
 

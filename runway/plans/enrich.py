@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clock import (FLIGHT_DATE_FORMATS, clock_timestamp, delay_minutes,
-                               parse_date, weekday_name)
+from ..functions.clock import (FLIGHT_DATE_FORMATS, clock_timestamp, date_of, delay_minutes,
+                               minutes_of, weekday_name)
 
 
 def enrich_flights(df: DataFrame, shift_seconds: int = 1, wrap: str | None = None,
@@ -20,13 +20,16 @@ def enrich_flights(df: DataFrame, shift_seconds: int = 1, wrap: str | None = Non
     ``shift_seconds`` moves the actual clocks back: 1 (pandas notebook, so
     ``dep_delay > 0`` means at least one minute late) or 60 (Spark notebook,
     at least two minutes).  One ``select``: a single projection, no stack
-    of per-column rewrites.
+    of per-column rewrites.  ``date`` may arrive as text (parsed with
+    ``date_formats``), a date or a timestamp; clocks as integers or text.
     """
-    d = parse_date(F.col("date"), date_formats)
-    sched_dep = clock_timestamp(d, "sched_dep_time")
-    dep = clock_timestamp(d, "dep_time", shift_seconds)
-    sched_arr = clock_timestamp(d, "sched_arr_time")
-    arr = clock_timestamp(d, "arr_time", shift_seconds)
+    d = date_of(df, "date", date_formats)
+
+    def ts(name: str, shift: int = 0):
+        return clock_timestamp(d, name, shift, minutes=minutes_of(df, name))
+
+    sched_dep, dep = ts("sched_dep_time"), ts("dep_time", shift_seconds)
+    sched_arr, arr = ts("sched_arr_time"), ts("arr_time", shift_seconds)
     base = [F.col(c) for c in df.columns if c != "date"]
     return df.select(
         d.alias("date"), *base,

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from ..functions.clock import WEATHER_DATE_FORMATS, parse_date, parse_hour
+from ..functions.clock import WEATHER_DATE_FORMATS, date_of, parse_hour
 from ..operators.joins import join_bounded
 
 JOIN_KEYS = ("date", "origin", "hour")
@@ -17,8 +18,10 @@ def prepare_weather(weather: DataFrame) -> DataFrame:
     """Typed join keys: ``date`` parsed from either date pattern, ``hour``
     from the hour text, whatever of the accepted shapes it has."""
     base = [F.col(c) for c in weather.columns if c not in ("date", "hour")]
-    return weather.select(parse_date("date", WEATHER_DATE_FORMATS).alias("date"),
-                          parse_hour("hour_sched_dep").alias("hour"), *base)
+    hour = (F.hour("hour_sched_dep") if not isinstance(
+        weather.schema["hour_sched_dep"].dataType, StringType) else parse_hour("hour_sched_dep"))
+    return weather.select(date_of(weather, "date", WEATHER_DATE_FORMATS).alias("date"),
+                          hour.cast("int").alias("hour"), *base)
 
 
 def join_weather(trips: DataFrame, weather: DataFrame, only_delayed: bool = False,

@@ -106,3 +106,15 @@ def test_zone_does_not_change_results(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert a == b
     assert a[0].sched_dep_ts == dt.datetime(2013, 8, 22, 5, 17)
+
+
+def test_enrich_accepts_typed_dates_and_text_clocks(spark):
+    text = spark.createDataFrame([("8/22/2013", "517", "519", "700", "705")],
+                                 "date string, sched_dep_time string, dep_time string, "
+                                 "sched_arr_time string, arr_time string")
+    typed = spark.createDataFrame([(dt.date(2013, 8, 22), 517, 519, 700, 705)],
+                                  "date date, sched_dep_time int, dep_time int, "
+                                  "sched_arr_time int, arr_time int")
+    a, b = enrich_flights(text).first(), enrich_flights(typed).first()
+    assert (a.date, a.dep_delay, a.hour) == (b.date, b.dep_delay, b.hour)
+    assert a.date == dt.date(2013, 8, 22) and a.hour == 5
