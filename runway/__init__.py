@@ -28,7 +28,7 @@ from .plans.hours import busiest_hour, hourly_counts
 from .plans.routes import (busiest_routes, busiest_routes_sql, carrier_route_vs_total,
                            carrier_totals,
                            carriers_on_top_routes, route_carrier_counts, route_counts)
-from .plans.series import binned_counts, chart_series, pairwise_corr
+from .plans.series import binned_counts, chart_series, pairwise_corr, pairwise_series
 from .plans.weather import (delay_by_wind_speed, join_weather, monthly_weather_delay,
                             prepare_weather)
 

@@ -56,3 +56,10 @@ def binned_counts(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFra
     return (df.select(F.inline(pairs))
             .groupBy("col", "bin").agg(F.count(F.lit(1)).alias("count"))
             .orderBy("col", "bin"))
+
+
+def pairwise_series(df: DataFrame, cols: Sequence[str],
+                    bins: int = 10) -> tuple[DataFrame, DataFrame]:
+    """Q21: what a pair plot shows, as two frames: the correlation of each
+    column pair, and each column's binned counts."""
+    return pairwise_corr(df, cols), binned_counts(df, cols, bins)

@@ -99,3 +99,21 @@ def test_delay_by_hour_only_late_both_ways(spark):
     df = spark.createDataFrame([(5, 10.0, 1.0), (5, 20.0, -1.0), (5, 30.0, 2.0), (6, -1.0, 5.0)],
                                "hour int, dep_delay double, arr_delay double")
     assert [(r.hour, r.avg_delay) for r in delay_by_hour(df).collect()] == [(5, 20.0)]
+
+
+def test_argmax_with_text_items(spark):
+    df = spark.createDataFrame([("g", "b", 3), ("g", "a", 3), ("g", "c", 1), ("h", "z", 2)],
+                               "grp string, item string, n long")
+    got = {r.grp: (r.item, r.n) for r in argmax_by_group(df, "grp", "item", "n").collect()}
+    assert got == {"g": ("a", 3), "h": ("z", 2)}
+
+
+def test_pairwise_series(spark):
+    from runway.plans.series import pairwise_series
+    df = spark.createDataFrame([(1, 2.0, 10.0), (2, 4.0, 5.0), (3, 6.5, 1.0)],
+                               "a int, b double, c double")
+    corr, bins = pairwise_series(df, ["a", "b", "c"], bins=2)
+    c = {(r.col_a, r.col_b): r.corr for r in corr.collect()}
+    assert set(c) == {("a", "b"), ("a", "c"), ("b", "c")} and c[("a", "b")] > 0.99
+    b = {(r.col, r.bin): r["count"] for r in bins.collect()}
+    assert b[("a", 1)] == 1 and b[("a", 2)] == 2 and sum(v for (k, _), v in b.items() if k == "c") == 3
