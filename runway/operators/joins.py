@@ -4,39 +4,65 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import (BinaryType, BooleanType, ByteType, DateType, DecimalType,
+                               DoubleType, FloatType, IntegerType, LongType, ShortType,
+                               StringType, TimestampNTZType, TimestampType)
 
 from ..session import checkpoint_dir
 
-#: Rows a checked side may have and still be broadcast.  A means table of a
-#: few keys and measures is well under 100 bytes a row, so this stays far
-#: below ``spark.sql.maxBroadcastTableSize``.
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+#: Bounds a checked side must stay within to be broadcast: rows, and bytes
+#: as measured on the data (fixed-width columns plus the byte length of
+#: text), far below ``spark.sql.maxBroadcastTableSize``.
+DEFAULT_MAX_BROADCAST_ROWS = 10_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+
+_FIXED_WIDTH = {LongType: 8, DoubleType: 8, TimestampType: 8, TimestampNTZType: 8,
+                IntegerType: 4, FloatType: 4, DateType: 4, ShortType: 2, ByteType: 1,
+                BooleanType: 1, DecimalType: 16}
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes a row of ``df`` takes: fixed widths plus the byte length of each
+    text/binary value (nested values are not expected here; 64 each)."""
+    fixed, var = 8, []
+    for f in df.schema.fields:
+        t = f.dataType
+        if isinstance(t, (StringType, BinaryType)):
+            var.append(F.coalesce(F.octet_length(df[f.name]), F.lit(0)))
+        else:
+            fixed += _FIXED_WIDTH.get(type(t), 64)
+    return reduce(lambda a, b: a + b, var, F.lit(fixed).cast("long"))
 
 
 def join_bounded(big: DataFrame, small: DataFrame, on: Sequence[str] | str,
-                 how: str = "inner", max_rows: int | None = None) -> DataFrame:
+                 how: str = "inner", max_rows: int | None = None,
+                 max_bytes: int | None = None) -> DataFrame:
     """Join ``big`` to a side that is *expected* to be small.
 
     The small side (usually an aggregate of ``big``) is first written to the
     cluster's shared checkpoint folder, which cuts its lineage and survives
-    executor loss; its rows are counted by an ``Observation`` riding on that
-    same write job, so the check costs no extra pass.  Within the bound it is
-    broadcast and the big side is never shuffled; beyond it the join is left
-    to a shuffle join, where AQE can still split skewed partitions of the
-    big side.
+    executor loss; its rows and bytes are measured by an ``Observation``
+    riding on that same write job, so the check costs no extra pass.  Within
+    both bounds it is broadcast and the big side is never shuffled; beyond
+    them the join is left to a shuffle join, where AQE can still split
+    skewed partitions of the big side.
 
     Without a shared checkpoint folder nothing is materialised and Catalyst
     plus AQE choose from their own size estimates.
     """
     max_rows = DEFAULT_MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    max_bytes = DEFAULT_MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
     if checkpoint_dir(small.sparkSession) is None:
         return big.join(small, list(on) if not isinstance(on, str) else on, how)
     obs = Observation(f"bounded_side_{uuid.uuid4().hex}")
-    side = small.observe(obs, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
-    fits = obs.get["rows"] <= max_rows
+    side = small.observe(obs, F.count(F.lit(1)).alias("rows"),
+                         F.sum(row_bytes(small)).alias("bytes")).checkpoint(eager=True)
+    seen = obs.get
+    fits = seen["rows"] <= max_rows and (seen["bytes"] or 0) <= max_bytes
     side = F.broadcast(side) if fits else side
     return big.join(side, list(on) if not isinstance(on, str) else on, how)
 

@@ -140,3 +140,22 @@ def test_nan_is_missing_in_fills(spark):
     b = [r.v for r in fill_group_mean(df, ["k"], ["v"]).collect() if r.k == "b"]
     assert b == [None]
     assert sorted(r.v for r in fill_mean(df, ["v"]).collect()) == [1.0, 2.0, 2.0, 3.0]
+
+
+def test_bounded_join_checks_bytes_too(spark):
+    from runway.operators.joins import join_bounded, row_bytes
+    big = spark.range(100).select((F.col("id") % 10).alias("k"))
+    small = spark.range(10).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 50).alias("s"))
+    assert small.select(row_bytes(small).alias("b")).first().b == 8 + 8 + 50
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only our hint broadcasts
+    try:
+        a = join_bounded(big, small, ["k"], "left")
+        b = join_bounded(big, small, ["k"], "left", max_bytes=100)   # 660 bytes > 100
+        plan_a = a._jdf.queryExecution().executedPlan().toString()
+        plan_b = b._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan_a
+        assert "BroadcastHashJoin" not in plan_b and "SortMergeJoin" in plan_b
+        assert frames_equal(a, b)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
