@@ -151,6 +151,8 @@ QUERIES: dict[str, Query] = {
         lambda s, d: carriers_on_top_routes(trips(s, d), TOP_K, limit=FIRST_ROWS),
     "carrier_totals": lambda s, d: carrier_totals(trips(s, d)),
     "carrier_route_vs_total": lambda s, d: carrier_route_vs_total(trips(s, d), TOP_K),
+    "carrier_route_vs_total_first16":
+        lambda s, d: carrier_route_vs_total(trips(s, d), TOP_K, limit=FIRST_ROWS),
     "least_delayed_origin": lambda s, d: least_delayed_origin(trips(s, d)),
     "most_delayed_dest": lambda s, d: most_delayed_dest(trips(s, d)),
     "delayed_share_trips": lambda s, d: r4(delayed_share(trips(s, d), SHARE_ORIGIN_TRIPS)),

@@ -293,6 +293,11 @@ SELECT a.carrier, a.origin, a.dest, a.count, b.count2
 FROM ({_CARRIERS_TOP5}) a
 JOIN (SELECT carrier, count(*) AS count2 FROM trips GROUP BY carrier) b ON a.carrier = b.carrier""",
                                     "trips"),
+    "carrier_route_vs_total_first16": _with(f"""
+SELECT a.carrier, a.origin, a.dest, a.count, b.count2
+FROM (SELECT * FROM ({_CARRIERS_TOP5}) ORDER BY origin, dest, carrier LIMIT 16) a
+JOIN (SELECT carrier, count(*) AS count2 FROM trips GROUP BY carrier) b ON a.carrier = b.carrier""",
+                                            "trips"),
     "least_delayed_origin": _with(_delayed_counts("trips", "origin", True), "trips"),
     "most_delayed_dest": _with(_delayed_counts("trips", "dest", False), "trips"),
     "delayed_share_trips": _with(_share("trips", 0), "trips"),
