@@ -45,7 +45,7 @@ TOP_K = 5
 FIRST_ROWS = 16
 ONE_YEAR = 1997
 SHARE_ORIGIN_TRIPS = 0
-SHARE_ORIGIN_FLIGHTS = 1
+SHARE_ORIGIN_FLIGHTS = "1"
 PAIR_COLUMNS = ("engines", "seats", "avg_fuel_cc")
 BINS = 10
 
@@ -126,7 +126,7 @@ def _day_of_month(spark, d):
 def _spot_check(spark, d):
     """The study's five-term lookup of one trip (here a carrier/route/hour)."""
     f = flights(spark, d)
-    cond = ((F.col("carrier") == "purchase") & (F.col("origin") == 2) & (F.col("dest") == 4)
+    cond = ((F.col("carrier") == "purchase") & (F.col("origin") == "2") & (F.col("dest") == "4")
             & (F.col("hour") == 17) & F.col("tailnum").isNotNull())
     return r4(f.where(cond).select("date", "sched_dep_time", "dep_time", "carrier", "origin",
                                    "dest", "air_time", "flight"))
@@ -134,7 +134,7 @@ def _spot_check(spark, d):
 
 def _distinct_weather(spark, d):
     w = weather(spark, d)
-    return r4(distinct_values(w, (F.col("origin") == 0) & (F.col("wind_speed") == 3.0),
+    return r4(distinct_values(w, (F.col("origin") == "0") & (F.col("wind_speed") == 3.0),
                               ["origin", "pressure", "humid", "wind_dir"]))
 
 

@@ -42,8 +42,8 @@ SELECT strftime(ts, '%-m/%-d/%Y') AS date,
        event_type AS carrier,
        event_id AS flight,
        CASE WHEN event_id % 11 <> 0 THEN 'N' || CAST(user_id AS VARCHAR) END AS tailnum,
-       user_id % 3 AS origin,
-       user_id % 5 AS dest,
+       CAST(user_id % 3 AS VARCHAR) AS origin,
+       CAST(user_id % 5 AS VARCHAR) AS dest,
        CASE WHEN event_id % 7 <> 0 THEN sqrt(value) * 10 END AS air_time
 FROM (SELECT *, least(greatest(sa + event_id % 37 - 8, 1), 1440) AS am FROM ev_minutes)""",
      "ev_minutes")
@@ -97,11 +97,12 @@ SELECT origin, strftime(day, '%-m-%-d-%Y') AS date,
        CASE WHEN hr % 4 <> 1 THEN sqrt(hi - lo) * 10 END AS wind_gust,
        CASE WHEN hr % 5 <> 2 THEN sqrt(tot) + 1000 END AS pressure,
        CAST(least(n, 10) AS DOUBLE) AS visib
-FROM (SELECT CAST(ts AS DATE) AS day, CAST(hour(ts) AS INTEGER) AS hr, user_id % 3 AS origin,
+FROM (SELECT CAST(ts AS DATE) AS day, CAST(hour(ts) AS INTEGER) AS hr,
+             CAST(user_id % 3 AS VARCHAR) AS origin,
              count(*) AS n, avg(sqrt(value)) AS mean, min(value) AS lo, max(value) AS hi,
              sum(value) AS tot
       FROM events WHERE event_type = 'view'
-      GROUP BY CAST(ts AS DATE), CAST(hour(ts) AS INTEGER), user_id % 3)""")
+      GROUP BY CAST(ts AS DATE), CAST(hour(ts) AS INTEGER), CAST(user_id % 3 AS VARCHAR))""")
 
 _WEATHER_FILL = ("temp", "dewp", "humid", "wind_dir", "wind_speed", "wind_gust", "pressure")
 
@@ -229,7 +230,7 @@ FROM (SELECT {by}, hour, count(*) AS count FROM flights GROUP BY {by}, hour)
 GROUP BY {by}""", "flights")
 
 
-def _share(src: str, origin: int) -> str:
+def _share(src: str, origin) -> str:
     return f"""
 SELECT count(*) AS total, count(*) FILTER (WHERE dep_delay > 0) AS delayed,
        round(CASE WHEN count(*) = 0 THEN NULL
@@ -272,7 +273,7 @@ def _binned() -> str:
 
 _PROFILE_TYPES = {"date": "string", "sched_dep_time": "int", "dep_time": "int",
                   "sched_arr_time": "int", "arr_time": "int", "carrier": "string",
-                  "flight": "bigint", "tailnum": "string", "origin": "bigint", "dest": "bigint",
+                  "flight": "bigint", "tailnum": "string", "origin": "string", "dest": "string",
                   "air_time": "double"}
 
 _WEATHER_DOUBLES = set(_WEATHER_COLS[3:])
@@ -341,14 +342,14 @@ FROM raw_flights""", "raw_flights"),
     "spot_check_filter": _with("""
 SELECT date, sched_dep_time, dep_time, carrier, origin, dest, round(air_time, 4) AS air_time, flight
 FROM flights
-WHERE carrier = 'purchase' AND origin = 2 AND dest = 4 AND hour = 17 AND tailnum IS NOT NULL""",
+WHERE carrier = 'purchase' AND origin = '2' AND dest = '4' AND hour = 17 AND tailnum IS NOT NULL""",
                                "flights"),
     "busiest_hour_by_carrier": _busiest_hour("carrier"),
     "busiest_hour_by_carrier_columnwise": _busiest_hour_cw("carrier"),
     "busiest_hour_by_origin": _busiest_hour("origin"),
     "busiest_hour_by_origin_columnwise": _busiest_hour_cw("origin"),
-    "delayed_share": _with(_share("flights", 1), "flights"),
-    "delayed_share_minute_shift": _with(_share("flights_minute", 1), "flights_minute"),
+    "delayed_share": _with(_share("flights", "'1'"), "flights"),
+    "delayed_share_minute_shift": _with(_share("flights_minute", "'1'"), "flights_minute"),
     "least_delayed_origin_flights": _with(_delayed_counts("flights", "origin", True), "flights"),
     "most_delayed_dest_flights": _with(_delayed_counts("flights", "dest", False), "flights"),
     "delay_by_hour": _with("""
@@ -366,7 +367,7 @@ WHERE dep_delay > 0 AND arr_delay > 0 GROUP BY hour""", "flights"),
 SELECT origin, round(pressure, 4) AS pressure, round(humid, 4) AS humid,
        round(wind_dir, 4) AS wind_dir
 FROM (SELECT DISTINCT origin, pressure, humid, wind_dir
-      FROM weather WHERE origin = 0 AND wind_speed = 3.0)""", "weather"),
+      FROM weather WHERE origin = '0' AND wind_speed = 3.0)""", "weather"),
     "weather_duplicate_keys": _with("""
 SELECT date, origin, hour, count(*) AS n FROM weather_prep
 GROUP BY date, origin, hour HAVING count(*) > 1""", "weather_prep"),

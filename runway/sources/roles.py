@@ -8,7 +8,8 @@ derived from whole tables, so its size grows with the input.
   nation, dest = customer nation, carrier = order priority, flight = order
   key, date = order date, ``dep_delay`` = days from order to ship, in minutes.
 * ``clock_trips``: ``events`` shaped exactly like the study's flights file
-  (HHMM integer clocks, ``M/d/yyyy`` date text, nullable dep/arr/tailnum).
+  (HHMM integer clocks, ``M/d/yyyy`` date text, nullable dep/arr/tailnum,
+  airport codes as text: origin ``'0'..'2'``, dest ``'0'..'4'``).
 * ``weather``: ``view`` events summarised by (day, hour, ``user_id % 3``),
   shaped like the study's weather file (``M-d-yyyy`` date text, an hour
   timestamp as text, gaps in seven measures).
@@ -83,8 +84,8 @@ def clock_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("carrier"),
         eid.alias("flight"),
         F.when(eid % 11 != 0, F.concat(F.lit("N"), F.col("user_id").cast("string"))).alias("tailnum"),
-        (F.col("user_id") % 3).alias("origin"),
-        (F.col("user_id") % 5).alias("dest"),
+        (F.col("user_id") % 3).cast("string").alias("origin"),
+        (F.col("user_id") % 5).cast("string").alias("dest"),
         F.when(eid % 7 != 0, F.sqrt("value") * 10).alias("air_time"),
     )
 
@@ -94,7 +95,7 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events", ["ts", "user_id", "event_type", "value"])
     g = (ev.where(F.col("event_type") == "view")
          .groupBy(F.to_date("ts").alias("day"), F.hour("ts").alias("hr"),
-                  (F.col("user_id") % 3).alias("origin"))
+                  (F.col("user_id") % 3).cast("string").alias("origin"))
          .agg(F.count(F.lit(1)).alias("n"), F.avg(F.sqrt("value")).alias("mean"),
               F.min("value").alias("lo"), F.max("value").alias("hi"),
               F.sum("value").alias("tot")))

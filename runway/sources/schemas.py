@@ -17,13 +17,13 @@ FLIGHTS = StructType([
     StructField("carrier", StringType()),
     StructField("flight", LongType()),
     StructField("tailnum", StringType()),
-    StructField("origin", LongType()),
-    StructField("dest", LongType()),
+    StructField("origin", StringType()),           # airport code
+    StructField("dest", StringType()),
     StructField("air_time", DoubleType()),
 ])
 
 WEATHER = StructType([
-    StructField("origin", LongType()),
+    StructField("origin", StringType()),
     StructField("date", StringType()),             # M-d-yyyy (or M/d/yyyy)
     StructField("hour_sched_dep", StringType()),   # timestamp text
     StructField("temp", DoubleType()),

@@ -75,7 +75,7 @@ def test_sentinel_counts(spark):
 
 
 def test_weather_text_then_typed_read(spark, tmp_path):
-    rows = [(1, "8-22-2013", "2013-08-22 05:00:00") + (None,) * 7 + (3.0,)]
+    rows = [("1", "8-22-2013", "2013-08-22 05:00:00") + (None,) * 7 + (3.0,)]
     df = spark.createDataFrame(rows, WEATHER)
     txt = weather_text(df)
     assert sentinel_counts(txt).first().temp == 1
