@@ -16,12 +16,22 @@ from pyspark.sql.types import DoubleType, FloatType, StringType
 from .joins import join_bounded
 
 
-def _is_missing(df: DataFrame, name: str) -> Column:
+def _q(name: str) -> str:
+    """A column name as a quoted SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(text: str) -> str:
+    """Text as a SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _missing_sql(name: str, data_type) -> str:
     """Null, and NaN for floating columns (pandas counts both as missing)."""
-    c = df[name]
-    if isinstance(df.schema[name].dataType, (DoubleType, FloatType)):
-        return c.isNull() | F.isnan(c)
-    return c.isNull()
+    q = _q(name)
+    if isinstance(data_type, (DoubleType, FloatType)):
+        return f"({q} IS NULL OR isnan({q}))"
+    return f"{q} IS NULL"
 
 
 def _value(df: DataFrame, name: str) -> Column:
@@ -33,9 +43,13 @@ def _value(df: DataFrame, name: str) -> Column:
     return c
 
 
+# The column-wise profiles are single ``selectExpr`` projections: one
+# aggregate over the frame, built in one call however many columns it has.
+
 def null_counts(df: DataFrame) -> DataFrame:
     """B1: one row, one long column per input column: missing values."""
-    return df.select([F.count_if(_is_missing(df, c)).alias(c) for c in df.columns])
+    return df.selectExpr(*[f"count_if({_missing_sql(f.name, f.dataType)}) AS {_q(f.name)}"
+                           for f in df.schema.fields])
 
 
 def sentinel_counts(df: DataFrame, value: str = "NA") -> DataFrame:
@@ -44,21 +58,17 @@ def sentinel_counts(df: DataFrame, value: str = "NA") -> DataFrame:
     Only string columns can hold the text; other columns report 0 (comparing
     a number with 'NA' raises under ANSI).
     """
-    out = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, StringType):
-            out.append(F.count_if(df[f.name] == F.lit(value)).alias(f.name))
-        else:
-            out.append(F.lit(0).cast("long").alias(f.name))
-    return df.select(out)
+    return df.selectExpr(*[
+        (f"count_if({_q(f.name)} = {_lit(value)})" if isinstance(f.dataType, StringType)
+         else "CAST(0 AS BIGINT)") + f" AS {_q(f.name)}"
+        for f in df.schema.fields])
 
 
 def null_pct(df: DataFrame) -> DataFrame:
     """Per column, percentage of missing cells (null when no rows)."""
-    total = F.count(F.lit(1))
-    return df.select([
-        F.try_divide(F.count_if(_is_missing(df, c)) * F.lit(100.0), total).alias(c)
-        for c in df.columns])
+    return df.selectExpr(*[
+        f"try_divide(count_if({_missing_sql(f.name, f.dataType)}) * 100.0D, count(1))"
+        f" AS {_q(f.name)}" for f in df.schema.fields])
 
 
 def sparse_columns(df: DataFrame, threshold_pct: float = 70.0) -> list[str]:
@@ -135,13 +145,12 @@ def fill_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def column_profile(df: DataFrame) -> DataFrame:
     """A5: column_name, data_type, non_null (one aggregation, then unpivot)."""
-    counts = df.select([F.count(df[c]).alias(f"c{i}") for i, c in enumerate(df.columns)])
-    rows = F.array(*[
-        F.struct(F.lit(f.name).alias("column_name"),
-                 F.lit(f.dataType.simpleString()).alias("data_type"),
-                 F.col(f"c{i}").alias("non_null"))
-        for i, f in enumerate(df.schema.fields)])
-    return counts.select(F.inline(rows))
+    fields = df.schema.fields
+    counts = df.selectExpr(*[f"count({_q(f.name)}) AS c{i}" for i, f in enumerate(fields)])
+    rows = ", ".join(
+        f"named_struct('column_name', {_lit(f.name)}, 'data_type', "
+        f"{_lit(f.dataType.simpleString())}, 'non_null', c{i})" for i, f in enumerate(fields))
+    return counts.selectExpr(f"inline(array({rows}))")
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:

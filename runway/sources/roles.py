@@ -24,20 +24,19 @@ so the SQL oracle computes the very same doubles.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .tables import read_table
 
 
-def _clamp(c: Column, lo: int, hi: int) -> Column:
-    return F.least(F.greatest(c, F.lit(lo)), F.lit(hi))
+def _hhmm(minutes: str) -> str:
+    """SQL for minutes after midnight -> HHMM integer (1440 -> 2400)."""
+    return f"CAST(floor({minutes} / 60) * 100 + {minutes} % 60 AS INT)"
 
 
-def _minutes_to_hhmm(m: Column) -> Column:
-    """Minutes after midnight to an HHMM integer (1440 -> 2400)."""
-    return (F.floor(m / 60) * 100 + m % 60).cast("int")
-
+# The roles are written as Spark SQL expressions (``selectExpr``): one call
+# per projection instead of one per operator, the same plan for Catalyst.
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per lineitem.
@@ -56,37 +55,42 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders_dest = od.join(cu, od.o_custkey == cu.c_custkey)
     lines_origin = li.join(su, li.l_suppkey == su.s_suppkey)
     t = lines_origin.join(orders_dest, lines_origin.l_orderkey == orders_dest.o_orderkey)
-    return t.select(
-        F.col("s_nationkey").alias("origin"),
-        F.col("c_nationkey").alias("dest"),
-        F.col("o_orderpriority").alias("carrier"),
-        F.col("l_orderkey").alias("flight"),
-        F.col("o_orderdate").cast("date").alias("date"),
-        F.year("o_orderdate").alias("year"),
-        (F.datediff(F.col("l_shipdate"), F.col("o_orderdate")) * F.lit(1440.0)).alias("dep_delay"),
+    return t.selectExpr(
+        "s_nationkey AS origin",
+        "c_nationkey AS dest",
+        "o_orderpriority AS carrier",
+        "l_orderkey AS flight",
+        "CAST(o_orderdate AS DATE) AS date",
+        "year(o_orderdate) AS year",
+        "datediff(l_shipdate, o_orderdate) * 1440.0D AS dep_delay",
     )
 
 
 def clock_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as a flights file (schema ``schemas.FLIGHTS``)."""
+    """``events`` as a flights file (schema ``schemas.FLIGHTS``).
+
+    Scheduled departure = the event's clock; actual departure = scheduled
+    + (event_id % 61) - 15 minutes, kept inside the day; scheduled arrival
+    = departure + 30..180 minutes (capped at 24:00); actual arrival =
+    scheduled + (event_id % 37) - 8 minutes, kept inside the day.
+    """
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
-    eid = F.col("event_id")
-    sched_dep = F.hour("ts") * 60 + F.minute("ts")
-    dep = _clamp(sched_dep + eid % 61 - 15, 1, 1440)
-    sched_arr = F.least(sched_dep + 30 + eid % 151, F.lit(1440))
-    arr = _clamp(sched_arr + eid % 37 - 8, 1, 1440)
-    return ev.select(
-        F.date_format("ts", "M/d/yyyy").alias("date"),
-        _minutes_to_hhmm(sched_dep).alias("sched_dep_time"),
-        F.when(eid % 13 != 0, _minutes_to_hhmm(dep)).alias("dep_time"),
-        _minutes_to_hhmm(sched_arr).alias("sched_arr_time"),
-        F.when(eid % 17 != 0, _minutes_to_hhmm(arr)).alias("arr_time"),
-        F.col("event_type").alias("carrier"),
-        eid.alias("flight"),
-        F.when(eid % 11 != 0, F.concat(F.lit("N"), F.col("user_id").cast("string"))).alias("tailnum"),
-        (F.col("user_id") % 3).cast("string").alias("origin"),
-        (F.col("user_id") % 5).cast("string").alias("dest"),
-        F.when(eid % 7 != 0, F.sqrt("value") * 10).alias("air_time"),
+    m = (ev.selectExpr("*", "hour(ts) * 60 + minute(ts) AS sd")
+         .selectExpr("*", "least(greatest(sd + event_id % 61 - 15, 1), 1440) AS dm",
+                     "least(sd + 30 + event_id % 151, 1440) AS sa")
+         .selectExpr("*", "least(greatest(sa + event_id % 37 - 8, 1), 1440) AS am"))
+    return m.selectExpr(
+        "date_format(ts, 'M/d/yyyy') AS date",
+        f"{_hhmm('sd')} AS sched_dep_time",
+        f"CASE WHEN event_id % 13 != 0 THEN {_hhmm('dm')} END AS dep_time",
+        f"{_hhmm('sa')} AS sched_arr_time",
+        f"CASE WHEN event_id % 17 != 0 THEN {_hhmm('am')} END AS arr_time",
+        "event_type AS carrier",
+        "event_id AS flight",
+        "CASE WHEN event_id % 11 != 0 THEN concat('N', CAST(user_id AS STRING)) END AS tailnum",
+        "CAST(user_id % 3 AS STRING) AS origin",
+        "CAST(user_id % 5 AS STRING) AS dest",
+        "CASE WHEN event_id % 7 != 0 THEN sqrt(value) * 10 END AS air_time",
     )
 
 
@@ -99,20 +103,19 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
          .agg(F.count(F.lit(1)).alias("n"), F.avg(F.sqrt("value")).alias("mean"),
               F.min("value").alias("lo"), F.max("value").alias("hi"),
               F.sum("value").alias("tot")))
-    hr = F.col("hr")
-    return g.select(
+    return g.selectExpr(
         "origin",
-        F.date_format("day", "M-d-yyyy").alias("date"),
-        F.concat(F.date_format("day", "yyyy-MM-dd"), F.lit(" "),
-                 F.lpad(hr.cast("string"), 2, "0"), F.lit(":00:00")).alias("hour_sched_dep"),
-        F.when(hr % 6 != 0, F.col("mean") * 10).alias("temp"),
-        F.when(hr % 8 != 5, F.sqrt("lo") * 10).alias("dewp"),
-        F.when(hr % 7 != 3, F.sqrt("hi") * 10).alias("humid"),
-        (F.col("n") * 10).cast("double").alias("wind_dir"),
-        F.when(hr % 9 != 4, (F.floor("hi") % 25).cast("double")).alias("wind_speed"),
-        F.when(hr % 4 != 1, F.sqrt(F.col("hi") - F.col("lo")) * 10).alias("wind_gust"),
-        F.when(hr % 5 != 2, F.sqrt("tot") + 1000).alias("pressure"),
-        F.least(F.col("n"), F.lit(10)).cast("double").alias("visib"),
+        "date_format(day, 'M-d-yyyy') AS date",
+        "concat(date_format(day, 'yyyy-MM-dd'), ' ', lpad(CAST(hr AS STRING), 2, '0'), ':00:00')"
+        " AS hour_sched_dep",
+        "CASE WHEN hr % 6 != 0 THEN mean * 10 END AS temp",
+        "CASE WHEN hr % 8 != 5 THEN sqrt(lo) * 10 END AS dewp",
+        "CASE WHEN hr % 7 != 3 THEN sqrt(hi) * 10 END AS humid",
+        "CAST(n * 10 AS DOUBLE) AS wind_dir",
+        "CASE WHEN hr % 9 != 4 THEN CAST(floor(hi) % 25 AS DOUBLE) END AS wind_speed",
+        "CASE WHEN hr % 4 != 1 THEN sqrt(hi - lo) * 10 END AS wind_gust",
+        "CASE WHEN hr % 5 != 2 THEN sqrt(tot) + 1000 END AS pressure",
+        "CAST(least(n, 10) AS DOUBLE) AS visib",
     )
 
 
@@ -128,14 +131,13 @@ def fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
     null and ``seats`` has gaps."""
     p = read_table(spark, sf_dir, "part",
                    ["p_partkey", "p_brand", "p_type", "p_size", "p_retailprice"])
-    key = F.col("p_partkey")
-    return p.select(
-        F.concat(F.lit("N"), key.cast("string")).alias("tailnum"),
-        (key % 57 + 1956).cast("int").alias("manufacturing_year"),
-        F.col("p_type").alias("type"),
-        (F.col("p_size") % 4 + 1).alias("engines"),
-        F.when(key % 13 != 0, F.col("p_size")).alias("seats"),
-        F.col("p_brand").alias("engine"),
-        (F.sqrt("p_retailprice") * 10).alias("fuel_cc"),
-        F.when(key % 10 == 0, F.col("p_size") * 10).alias("speed"),
+    return p.selectExpr(
+        "concat('N', CAST(p_partkey AS STRING)) AS tailnum",
+        "CAST(p_partkey % 57 + 1956 AS INT) AS manufacturing_year",
+        "p_type AS type",
+        "p_size % 4 + 1 AS engines",
+        "CASE WHEN p_partkey % 13 != 0 THEN p_size END AS seats",
+        "p_brand AS engine",
+        "sqrt(p_retailprice) * 10 AS fuel_cc",
+        "CASE WHEN p_partkey % 10 = 0 THEN p_size * 10 END AS speed",
     )

@@ -159,3 +159,13 @@ def test_bounded_join_checks_bytes_too(spark):
         assert frames_equal(a, b)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_profiles_quote_odd_column_names(spark):
+    df = spark.createDataFrame([("x", None, 1.0), ("it's", "a", None)],
+                               "`a b` string, `x``y` string, `it's` double")
+    assert null_counts(df).first().asDict() == {"a b": 0, "x`y": 1, "it's": 1}
+    assert sentinel_counts(df, "it's").first().asDict() == {"a b": 1, "x`y": 0, "it's": 0}
+    assert null_pct(df).first()["x`y"] == 50.0
+    prof = {r.column_name: (r.data_type, r.non_null) for r in column_profile(df).collect()}
+    assert prof == {"a b": ("string", 2), "x`y": ("string", 1), "it's": ("double", 1)}
