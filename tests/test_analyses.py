@@ -117,3 +117,22 @@ def test_pairwise_series(spark):
     assert set(c) == {("a", "b"), ("a", "c"), ("b", "c")} and c[("a", "b")] > 0.99
     b = {(r.col, r.bin): r["count"] for r in bins.collect()}
     assert b[("a", 1)] == 1 and b[("a", 2)] == 2 and sum(v for (k, _), v in b.items() if k == "c") == 3
+
+
+def test_cleaning_invariants_on_roles(spark):
+    from runway.operators.quality import drop_null_rows, fill_group_mean, null_counts
+    from runway.plans.cleaning import ROUTE_KEYS, clean_planes
+    from runway.sources.schemas import FLIGHT_REQUIRED_COLUMNS
+    raw = roles.clock_trips(spark, SF_SMALL)
+    kept = drop_null_rows(raw, FLIGHT_REQUIRED_COLUMNS)
+    nulls = null_counts(kept).first()
+    assert all(nulls[c] == 0 for c in FLIGHT_REQUIRED_COLUMNS)
+    filled = fill_group_mean(kept, ROUTE_KEYS, ["air_time"])
+    assert filled.count() == kept.count()                       # the fill never adds rows
+    before = {r.flight: r.air_time for r in kept.collect()}
+    after = {r.flight: r.air_time for r in filled.collect()}
+    assert all(after[f] == v for f, v in before.items() if v is not None)   # known values kept
+    assert null_counts(filled).first().air_time <= null_counts(kept).first().air_time
+    planes = clean_planes(roles.fleet(spark, SF_SMALL))
+    assert "speed" not in planes.columns
+    assert all(v == 0 for v in null_counts(planes).first().asDict().values())
