@@ -108,6 +108,15 @@ def stored_trips(spark, d):
     return load_stored(spark, path)
 
 
+def joined_csv_roundtrip(spark, d):
+    """A2 as in the pandas notebook: the weather join written as CSV (a folder
+    of parts under the shared folder), read back with its own schema."""
+    j = r4(joined(spark, d))
+    path = scratch_path(spark, "weather-flight-csv")
+    write_table(j, path, "csv")
+    return spark.read.schema(j.schema).option("header", True).csv(path)
+
+
 def _clock_text(spark, d):
     f = raw_flights(spark, d)
     return f.select(
@@ -189,11 +198,13 @@ QUERIES: dict[str, Query] = {
     "sentinel_counts": lambda s, d: sentinel_counts(roles.weather_text(raw_weather(s, d)), "NA"),
     "null_counts_weather": lambda s, d: null_counts(raw_weather(s, d)),
     "fill_weather_daily_mean": lambda s, d: r4(weather(s, d)),
+    "fill_weather_temp_only": lambda s, d: r4(clean_weather(raw_weather(s, d), cols=("temp",))),
     "distinct_values": _distinct_weather,
     "weather_duplicate_keys":
         lambda s, d: duplicate_keys(prepare_weather(weather(s, d)), ["date", "origin", "hour"]),
     "join_weather": lambda s, d: r4(joined(s, d)),
     "join_weather_delayed_only": lambda s, d: r4(joined(s, d, only_delayed=True)),
+    "join_weather_csv_roundtrip": joined_csv_roundtrip,
     "monthly_weather_delay": lambda s, d: r4(monthly_weather_delay(joined(s, d))),
     "delay_by_wind_speed": lambda s, d: r4(delay_by_wind_speed(joined(s, d, only_delayed=True))),
     # fleet role

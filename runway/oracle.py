@@ -114,6 +114,13 @@ LEFT JOIN (SELECT origin, date, {', '.join(f'avg({c}) AS {c}' for c in _WEATHER_
            FROM raw_weather GROUP BY origin, date) m
   ON w.origin = m.origin AND w.date = m.date""", "raw_weather")
 
+_cte("weather_temp_only", """
+SELECT w.origin, w.date, w.hour_sched_dep, coalesce(w.temp, m.temp) AS temp, w.dewp, w.humid,
+       w.wind_dir, w.wind_speed, w.wind_gust, w.pressure, w.visib
+FROM raw_weather w
+LEFT JOIN (SELECT origin, date, avg(temp) AS temp FROM raw_weather GROUP BY origin, date) m
+  ON w.origin = m.origin AND w.date = m.date""", "raw_weather")
+
 _cte("weather_prep", """
 SELECT CAST(strptime(date, '%m-%d-%Y') AS DATE) AS date,
        CAST(hour(CAST(hour_sched_dep AS TIMESTAMP)) AS INTEGER) AS hour,
@@ -363,6 +370,9 @@ WHERE dep_delay > 0 AND arr_delay > 0 GROUP BY hour""", "flights"),
         f"SELECT {_null_counts(_WEATHER_COLS, _WEATHER_DOUBLES)} FROM raw_weather", "raw_weather"),
     "fill_weather_daily_mean": _with(
         f"SELECT {_select_r4(_WEATHER_COLS, _WEATHER_DOUBLES)} FROM weather", "weather"),
+    "fill_weather_temp_only": _with(
+        f"SELECT {_select_r4(_WEATHER_COLS, _WEATHER_DOUBLES)} FROM weather_temp_only",
+        "weather_temp_only"),
     "distinct_values": _with("""
 SELECT origin, round(pressure, 4) AS pressure, round(humid, 4) AS humid,
        round(wind_dir, 4) AS wind_dir
@@ -381,6 +391,11 @@ GROUP BY date, origin, hour HAVING count(*) > 1""", "weather_prep"),
         "round(arr_delay, 4) AS arr_delay, round(temp, 4) AS temp, round(wind_dir, 4) AS wind_dir, "
         "round(wind_speed, 4) AS wind_speed, round(pressure, 4) AS pressure, "
         "round(visib, 4) AS visib FROM joined_delayed", "joined_delayed"),
+    "join_weather_csv_roundtrip": _with(
+        "SELECT month, date, origin, hour, flight, round(dep_delay, 4) AS dep_delay, "
+        "round(arr_delay, 4) AS arr_delay, round(temp, 4) AS temp, round(wind_dir, 4) AS wind_dir, "
+        "round(wind_speed, 4) AS wind_speed, round(pressure, 4) AS pressure, "
+        "round(visib, 4) AS visib FROM joined", "joined"),
     "monthly_weather_delay": _with(
         "SELECT month, " + ", ".join(
             _r(f"avg({c})", f"avg_{c}")
