@@ -21,3 +21,19 @@ def test_study_matches_registered_queries(spark):
     assert frames_equal(catalog.r4(ans["fuel_by_year"]), q["fuel_by_year"](spark, SF_SMALL))
     assert frames_equal(ans["most_delayed_dest"], q["most_delayed_dest_flights"](spark, SF_SMALL))
     assert len(ans) == 16
+
+
+def test_command_line_study(spark):
+    from runway.__main__ import main
+    from runway.sources.csv import write_table
+    src = scratch_path(spark, "study-csv")
+    write_table(catalog.raw_flights(spark, SF_SMALL), f"{src}/flights", null_value="NA")
+    write_table(catalog.raw_weather(spark, SF_SMALL), f"{src}/weather", null_value="NA")
+    write_table(catalog.raw_planes(spark, SF_SMALL), f"{src}/planes", null_value="NA")
+    out = scratch_path(spark, "study-answers")
+    main(["--flights", f"{src}/flights", "--weather", f"{src}/weather", "--planes",
+          f"{src}/planes", "--origin", "1", "--out", out])
+    got = spark.read.parquet(f"{out}/busiest_hour_by_carrier")
+    assert frames_equal(got, catalog.QUERIES["busiest_hour_by_carrier"](spark, SF_SMALL))
+    share = spark.read.parquet(f"{out}/delayed_share")
+    assert frames_equal(catalog.r4(share), catalog.QUERIES["delayed_share"](spark, SF_SMALL))
