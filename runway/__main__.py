@@ -1,7 +1,8 @@
 """Run the whole study from the three CSV files.
 
-    spark-submit -m runway --flights F --weather W --planes P --origin JFK --out DIR
-    python -m runway ...   (same, with a session from the environment)
+    python -m runway --flights F --weather W --planes P --origin JFK --out DIR
+
+(the session comes from the environment's Spark configuration).
 
 Every answer is written to ``DIR/<name>`` (Parquet unless ``--format csv``).
 """
