@@ -56,16 +56,28 @@ def duck_connect(sf_dir):
     return con
 
 
+# Spark type -> DuckDB type of the same values
+TYPE_MAP = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+            "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+            "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
 def compare(spark, con, name, query, sql, sf_dir):
     sdf = query(spark, sf_dir)
     s_cols = list(sdf.columns)
+    s_types = {f.name: TYPE_MAP.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in sdf.schema.fields}
     s_rows = rows_of(s_cols, [tuple(r) for r in sdf.collect()])
+    d_types = {r[0]: str(r[1]) for r in con.execute(f"DESCRIBE {sql}").fetchall()}
     cur = con.execute(sql)
     d_cols = [c[0] for c in cur.description]
     d_rows = rows_of(d_cols, cur.fetchall())
     problems = []
     if sorted(s_cols) != sorted(d_cols):
         problems.append(f"columns spark={sorted(s_cols)} duck={sorted(d_cols)}")
+    elif s_types != d_types:
+        diff = {c: (s_types[c], d_types.get(c)) for c in s_types if s_types[c] != d_types.get(c)}
+        problems.append(f"types differ {diff}")
     if len(s_rows) != len(d_rows):
         problems.append(f"rows spark={len(s_rows)} duck={len(d_rows)}")
     elif s_rows != d_rows:
