@@ -101,9 +101,17 @@ def clock_timestamp(date_c: ColumnOrName, hhmm_c: ColumnOrName,
     return F.timestamp_add("SECOND", secs, _c(date_c).cast("timestamp_ntz"))
 
 
+def _wrap_round(d: Column, wrap: str | None, round_result: bool) -> Column:
+    if wrap == "nearest":
+        d = (F.when(d > 720, d - 1440).when(d < -720, d + 1440).otherwise(d))
+    elif wrap is not None:
+        raise ValueError(f"wrap must be None or 'nearest', not {wrap!r}")
+    return F.round(d, 0) if round_result else d
+
+
 def delay_minutes(actual_c: ColumnOrName, planned_c: ColumnOrName,
                   wrap: str | None = None, round_result: bool = False) -> Column:
-    """H9: actual - planned in minutes (double).
+    """H9: actual - planned in minutes (double), from two timestamps.
 
     ``wrap=None`` keeps the study's behaviour: both clocks sit on the trip's
     date, so planned 23:50 / left 00:10 is -1420.  ``wrap='nearest'`` moves
@@ -111,8 +119,13 @@ def delay_minutes(actual_c: ColumnOrName, planned_c: ColumnOrName,
     rounds half up to whole minutes like the Spark notebook.
     """
     d = F.timestamp_diff("SECOND", _c(planned_c), _c(actual_c)) / F.lit(60.0)
-    if wrap == "nearest":
-        d = (F.when(d > 720, d - 1440).when(d < -720, d + 1440).otherwise(d))
-    elif wrap is not None:
-        raise ValueError(f"wrap must be None or 'nearest', not {wrap!r}")
-    return F.round(d, 0) if round_result else d
+    return _wrap_round(d, wrap, round_result)
+
+
+def delay_from_minutes(actual_min: Column, planned_min: Column, shift_seconds: int = 0,
+                       wrap: str | None = None, round_result: bool = False) -> Column:
+    """H9 when both clocks sit on the same date: the same minutes as
+    :func:`delay_minutes` on their two timestamps, by integer arithmetic
+    (no timestamp values built per row)."""
+    secs = (actual_min - planned_min) * 60 - F.lit(shift_seconds)
+    return _wrap_round(secs / F.lit(60.0), wrap, round_result)

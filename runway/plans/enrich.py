@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clock import (FLIGHT_DATE_FORMATS, clock_timestamp, date_of, delay_minutes,
-                               minutes_of, weekday_name)
+from ..functions.clock import (FLIGHT_DATE_FORMATS, clock_timestamp, date_of,
+                               delay_from_minutes, minutes_of, weekday_name)
 
 
 def enrich_flights(df: DataFrame, shift_seconds: int = 1, wrap: str | None = None,
@@ -24,21 +24,23 @@ def enrich_flights(df: DataFrame, shift_seconds: int = 1, wrap: str | None = Non
     ``date_formats``), a date or a timestamp; clocks as integers or text.
     """
     d = date_of(df, "date", date_formats)
-
-    def ts(name: str, shift: int = 0):
-        return clock_timestamp(d, name, shift, minutes=minutes_of(df, name))
-
-    sched_dep, dep = ts("sched_dep_time"), ts("dep_time", shift_seconds)
-    sched_arr, arr = ts("sched_arr_time"), ts("arr_time", shift_seconds)
+    sd, dm = minutes_of(df, "sched_dep_time"), minutes_of(df, "dep_time")
+    sa, am = minutes_of(df, "sched_arr_time"), minutes_of(df, "arr_time")
+    known = d.isNotNull()
     base = [F.col(c) for c in df.columns if c != "date"]
+    # Delays and hour come from the decoded minutes: all four clocks sit on
+    # the trip's date, so this equals differencing the timestamps, without
+    # building timestamp values per row for it.
     return df.select(
         d.alias("date"), *base,
         F.year(d).alias("year"), F.month(d).alias("month"), weekday_name(d).alias("day"),
-        sched_dep.alias("sched_dep_ts"), dep.alias("dep_ts"),
-        sched_arr.alias("sched_arr_ts"), arr.alias("arr_ts"),
-    ).select(
-        "*",
-        delay_minutes("dep_ts", "sched_dep_ts", wrap, round_result).alias("dep_delay"),
-        delay_minutes("arr_ts", "sched_arr_ts", wrap, round_result).alias("arr_delay"),
-        F.hour("sched_dep_ts").alias("hour"),
+        clock_timestamp(d, "sched_dep_time", minutes=sd).alias("sched_dep_ts"),
+        clock_timestamp(d, "dep_time", shift_seconds, minutes=dm).alias("dep_ts"),
+        clock_timestamp(d, "sched_arr_time", minutes=sa).alias("sched_arr_ts"),
+        clock_timestamp(d, "arr_time", shift_seconds, minutes=am).alias("arr_ts"),
+        F.when(known, delay_from_minutes(dm, sd, shift_seconds, wrap, round_result))
+         .alias("dep_delay"),
+        F.when(known, delay_from_minutes(am, sa, shift_seconds, wrap, round_result))
+         .alias("arr_delay"),
+        F.when(known, (F.floor(sd / 60) % 24).cast("int")).alias("hour"),
     )

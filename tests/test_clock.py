@@ -118,3 +118,22 @@ def test_enrich_accepts_typed_dates_and_text_clocks(spark):
     a, b = enrich_flights(text).first(), enrich_flights(typed).first()
     assert (a.date, a.dep_delay, a.hour) == (b.date, b.dep_delay, b.hour)
     assert a.date == dt.date(2013, 8, 22) and a.hour == 5
+
+
+@pytest.mark.parametrize("shift", [1, 60])
+def test_enrich_delays_equal_timestamp_differences(spark, shift):
+    clocks = VALID[::7] + [0, 2359, 2400]
+    rows = [("8/22/2013" if i % 5 else "bad", s, a, s, a)
+            for i, (s, a) in enumerate(zip(clocks, reversed(clocks)))]
+    df = spark.createDataFrame(rows, "date string, sched_dep_time int, dep_time int, "
+                                     "sched_arr_time int, arr_time int")
+    e = enrich_flights(df, shift_seconds=shift)
+    check = e.select(
+        (F.col("dep_delay").eqNullSafe(delay_minutes("dep_ts", "sched_dep_ts"))).alias("dd"),
+        (F.col("arr_delay").eqNullSafe(delay_minutes("arr_ts", "sched_arr_ts"))).alias("ad"),
+        (F.col("hour").eqNullSafe(F.hour("sched_dep_ts"))).alias("h"),
+        F.col("date").isNull().alias("no_date"), F.col("dep_delay").isNull().alias("no_delay"))
+    rows = check.collect()
+    assert all(r.dd and r.ad and r.h for r in rows)
+    assert all(r.no_date == r.no_delay for r in rows)
+    assert any(r.no_date for r in rows) and not all(r.no_date for r in rows)
