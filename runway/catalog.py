@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from . import plans  # noqa: F401  (namespace)
 from .functions.clock import hhmm_minutes, hhmm_minutes_text
 from .operators.quality import (column_profile, distinct_values, drop_null_rows,
                                 drop_sparse_columns, duplicate_keys, fill_group_mean,
