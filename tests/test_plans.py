@@ -66,3 +66,14 @@ def test_top_k_is_pushed_below_the_sql_window(spark):
 def test_stored_trips_prune_year_partitions(spark):
     plan = _plan(spark, "busiest_route_one_year_stored")
     assert re.search(r"PartitionFilters: \[[^\]]*year[^\]]*= 1997", plan), plan
+
+
+def test_package_source_avoids_slow_or_unsafe_calls():
+    import pathlib
+    root = pathlib.Path(__file__).resolve().parent.parent / "runway"
+    banned = ("localCheckpoint(", "crossJoin(", "pandas_udf", "F.udf(", "@udf", ".rdd.",
+              ".cache()", ".persist(", ".collect()")
+    for p in root.rglob("*.py"):
+        src = p.read_text()
+        for b in banned:
+            assert b not in src, f"{p.name}: {b}"
