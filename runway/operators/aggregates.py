@@ -38,8 +38,9 @@ def top_n_sql(df: DataFrame, by: str, keys: Sequence[str], k: int) -> DataFrame:
     """The same top-k written as SQL text with ``row_number``.
 
     The frame is passed as a query parameter, so no global temp view is
-    left behind.  Catalyst places a ``WindowGroupLimit`` under the single
-    partition window, so each task hands over at most k rows.
+    left behind.  Catalyst puts a ``TakeOrderedAndProject(k)`` under the
+    global window, so each task hands over at most k rows and the window
+    sees only k (``tests/test_plans.py``).
     """
     order = ", ".join([f"`{by}` DESC"] + [f"`{c}`" for c in keys])
     q = (f"SELECT * FROM (SELECT *, row_number() OVER (ORDER BY {order}) AS rn "
