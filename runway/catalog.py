@@ -56,7 +56,7 @@ def r4(df: DataFrame) -> DataFrame:
                       for f in df.schema.fields])
 
 
-# -- roles and pipelines ------------------------------------------------------
+# -- roles and derived tables --------------------------------------------------
 
 def trips(spark, d):
     return roles.trips(spark, d)
