@@ -29,7 +29,7 @@ from .plans.routes import (busiest_routes, busiest_routes_sql, carrier_route_vs_
                            carrier_totals,
                            carriers_on_top_routes, route_carrier_counts, route_counts)
 from .plans.series import binned_counts, chart_series, pairwise_corr, pairwise_series
-from .plans.weather import (delay_by_wind_speed, join_weather, monthly_weather_delay,
-                            prepare_weather)
+from .plans.weather import (delay_by_wind_speed, delay_by_wind_speed_from, join_weather,
+                            monthly_weather_delay, monthly_weather_delay_from, prepare_weather)
 
 __version__ = "0.1.0"

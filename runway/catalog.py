@@ -29,8 +29,8 @@ from .plans.hours import busiest_hour
 from .plans.routes import (busiest_routes, busiest_routes_sql, carrier_route_vs_total,
                            carrier_totals, carriers_on_top_routes)
 from .plans.series import binned_counts, chart_series, pairwise_corr
-from .plans.weather import (delay_by_wind_speed, join_weather, monthly_weather_delay,
-                            prepare_weather)
+from .plans.weather import (delay_by_wind_speed, delay_by_wind_speed_from, join_weather,
+                            monthly_weather_delay, monthly_weather_delay_from, prepare_weather)
 from .session import scratch_path
 from .sources import roles
 from .sources.csv import read_flights, write_table
@@ -206,6 +206,10 @@ QUERIES: dict[str, Query] = {
     "join_weather_csv_roundtrip": joined_csv_roundtrip,
     "monthly_weather_delay": lambda s, d: r4(monthly_weather_delay(joined(s, d))),
     "delay_by_wind_speed": lambda s, d: r4(delay_by_wind_speed(joined(s, d, only_delayed=True))),
+    "monthly_weather_delay_preaggregated":
+        lambda s, d: r4(monthly_weather_delay_from(flights(s, d), weather(s, d))),
+    "delay_by_wind_speed_preaggregated":
+        lambda s, d: r4(delay_by_wind_speed_from(flights(s, d), weather(s, d))),
     # fleet role
     "null_counts_planes": lambda s, d: null_counts(raw_planes(s, d)),
     "null_pct": lambda s, d: r4(null_pct(raw_planes(s, d))),

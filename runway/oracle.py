@@ -404,6 +404,14 @@ GROUP BY date, origin, hour HAVING count(*) > 1""", "weather_prep"),
     "delay_by_wind_speed": _with(
         "SELECT round(wind_speed, 4) AS wind_speed, round(avg(arr_delay), 4) AS avg_arr_delay "
         "FROM joined_delayed GROUP BY wind_speed", "joined_delayed"),
+    "monthly_weather_delay_preaggregated": _with(
+        "SELECT month, " + ", ".join(
+            _r(f"avg({c})", f"avg_{c}")
+            for c in ("dep_delay", "temp", "wind_dir", "wind_speed", "pressure", "visib"))
+        + " FROM joined GROUP BY month", "joined"),
+    "delay_by_wind_speed_preaggregated": _with(
+        "SELECT round(wind_speed, 4) AS wind_speed, round(avg(arr_delay), 4) AS avg_arr_delay "
+        "FROM joined_delayed GROUP BY wind_speed", "joined_delayed"),
     "null_counts_planes": _with(
         f"SELECT {_null_counts(_RAW_PLANE_COLS, {'fuel_cc'})} FROM raw_planes", "raw_planes"),
     "null_pct": _with("SELECT " + ", ".join(

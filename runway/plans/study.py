@@ -5,13 +5,13 @@ the cleaned, enriched flights are written once as Parquet partitioned by
 (year, month) under a work folder (by default in the shared checkpoint
 folder), cleaned weather and planes are checkpointed, and every answer is a
 lazy DataFrame over those stored tables: columnar, pruned, never recomputed
-from the raw input.
+from the raw input.  The weather answers sum the trips per (date, origin,
+hour) before they meet the weather, so no row-level join is built.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..operators.joins import materialize
 from ..session import scratch_path
@@ -23,7 +23,7 @@ from .enrich import enrich_flights
 from .fleet import fuel_by_each_trait, fuel_by_plane_traits, fuel_by_year
 from .hours import busiest_hour
 from .routes import busiest_routes, carrier_route_vs_total, carrier_totals, carriers_on_top_routes
-from .weather import delay_by_wind_speed, join_weather, monthly_weather_delay
+from .weather import delay_by_wind_speed_from, monthly_weather_delay_from
 
 
 def run_study(flights: DataFrame, weather: DataFrame, planes: DataFrame, origin,
@@ -43,7 +43,6 @@ def run_study(flights: DataFrame, weather: DataFrame, planes: DataFrame, origin,
     trips = load_stored(spark, f"{work}/flights")
     wx = materialize(clean_weather(weather))
     fleet = materialize(clean_planes(planes))
-    joined = join_weather(trips, wx)
     answers = {
         "busiest_route": busiest_routes(trips, 1),
         "top_routes": busiest_routes(trips, k),
@@ -55,8 +54,8 @@ def run_study(flights: DataFrame, weather: DataFrame, planes: DataFrame, origin,
         "delayed_share": delayed_share(trips, origin),
         "least_delayed_origin": least_delayed_origin(trips),
         "most_delayed_dest": most_delayed_dest(trips),
-        "monthly_weather_delay": monthly_weather_delay(joined),
-        "delay_by_wind_speed": delay_by_wind_speed(joined.where(F.col("arr_delay") > 0)),
+        "monthly_weather_delay": monthly_weather_delay_from(trips, wx),
+        "delay_by_wind_speed": delay_by_wind_speed_from(trips, wx, only_delayed=True),
         "fuel_by_year": fuel_by_year(fleet),
         "fuel_by_plane_traits": fuel_by_plane_traits(fleet),
         "fuel_by_each_trait": fuel_by_each_trait(fleet),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -55,3 +55,50 @@ def delay_by_wind_speed(joined: DataFrame) -> DataFrame:
     """Q15: mean arrival delay per wind speed."""
     return (joined.groupBy("wind_speed").agg(F.avg("arr_delay").alias("avg_arr_delay"))
             .orderBy("wind_speed"))
+
+
+def _per_hour(trips: DataFrame, only_delayed: bool) -> DataFrame:
+    """Trips pre-aggregated to one row per (date, origin, hour): the join key
+    fixes the month, so the means below need only counts and sums."""
+    t = trips.where(F.col("arr_delay") > 0) if only_delayed else trips
+    return t.groupBy(*JOIN_KEYS).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("dep_delay").alias("s_dep"), F.count("dep_delay").alias("n_dep"),
+        F.sum("arr_delay").alias("s_arr"), F.count("arr_delay").alias("n_arr"))
+
+
+def _hourly_joined(trips: DataFrame, weather: DataFrame, only_delayed: bool,
+                   max_weather_rows: int | None) -> DataFrame:
+    w = prepare_weather(weather).select(*JOIN_KEYS, *WEATHER_MEASURES)
+    return join_bounded(_per_hour(trips, only_delayed), w, list(JOIN_KEYS), "inner",
+                        max_weather_rows)
+
+
+def _weighted_avg(col: str) -> Column:
+    """Mean of a weather measure over the trips of each hour: weighted by the
+    hour's trip count, over the hours where the measure is known."""
+    m = F.col(col)
+    return F.sum(m * F.col("n")) / F.sum(F.when(m.isNotNull(), F.col("n")))
+
+
+def monthly_weather_delay_from(trips: DataFrame, weather: DataFrame,
+                               only_delayed: bool = False,
+                               max_weather_rows: int | None = None) -> DataFrame:
+    """Q14 without the row-level join: trips are summed per (date, origin,
+    hour) first (a partial + final aggregate), so only one row per hour and
+    airport meets the weather; same means as
+    ``monthly_weather_delay(join_weather(trips, weather))``."""
+    j = _hourly_joined(trips, weather, only_delayed, max_weather_rows)
+    return (j.groupBy(F.month("date").alias("month"))
+            .agg((F.sum("s_dep") / F.sum("n_dep")).alias("avg_dep_delay"),
+                 *[_weighted_avg(c).alias(f"avg_{c}") for c in WEATHER_MEASURES])
+            .orderBy("month"))
+
+
+def delay_by_wind_speed_from(trips: DataFrame, weather: DataFrame, only_delayed: bool = True,
+                             max_weather_rows: int | None = None) -> DataFrame:
+    """Q15 without the row-level join (see :func:`monthly_weather_delay_from`);
+    by default over trips that arrived late, as the Spark notebook."""
+    j = _hourly_joined(trips, weather, only_delayed, max_weather_rows)
+    return (j.groupBy("wind_speed").agg((F.sum("s_arr") / F.sum("n_arr")).alias("avg_arr_delay"))
+            .orderBy("wind_speed"))
