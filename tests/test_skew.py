@@ -62,3 +62,21 @@ def test_hot_key_aggregates_are_partial(spark):
     assert hot == 20000
     best = argmax_by_group(count_by(df.withColumn("g", F.lit(1)), ["g", "k"]), "g", "k", "count")
     assert best.first().k == 0
+
+
+def test_hot_null_key_fill_splits_and_stays_whole(spark):
+    # a third of the rows have a null key: they never match a mean, and in a
+    # shuffle join they would all hash to one partition
+    k = F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 500 + 1)
+    df = spark.range(60000).select(k.cast("long").alias("k"),
+                                   F.when(F.col("id") % 4 != 0, F.col("id") / 7.0).alias("v"))
+    expected = fill_group_mean(df, ["k"], ["v"])
+    with conf(spark, SKEW_CONF):
+        got = fill_group_mean(df, ["k"], ["v"], max_groups=0)
+        rows = got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in plan, plan
+    assert len(rows) == 60000
+    nulls = [r.v for r in rows if r.k is None]
+    assert len(nulls) == 20000 and sum(v is None for v in nulls) == 5000   # never filled
+    assert frames_equal(spark.createDataFrame(rows, got.schema), expected)
