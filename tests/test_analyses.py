@@ -136,3 +136,11 @@ def test_cleaning_invariants_on_roles(spark):
     planes = clean_planes(roles.fleet(spark, SF_SMALL))
     assert "speed" not in planes.columns
     assert all(v == 0 for v in null_counts(planes).first().asDict().values())
+
+
+def test_weather_join_fallback_equals_broadcast(spark):
+    from runway import catalog
+    f, w = catalog.flights(spark, SF_SMALL), catalog.weather(spark, SF_SMALL)
+    a = join_weather(f, w)
+    b = join_weather(f, w, max_weather_rows=0)     # over the bound: shuffle join
+    assert a.count() > 0 and frames_equal(a, b)
