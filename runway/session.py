@@ -7,6 +7,7 @@ helpers are for tests, the bench and scripts.
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -69,9 +70,16 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder (never a local temp dir)."""
+    """A fresh path under the shared checkpoint folder.
+
+    On a cluster the folder must be configured (``spark.checkpoint.dir``);
+    only a local-mode session without one, where the one machine is the
+    whole cluster, gets its own folder, as tests do.
+    """
     d = checkpoint_dir(spark)
     if not d:
-        raise RuntimeError(
-            "no shared folder: set spark.checkpoint.dir for this session")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "no shared folder: set spark.checkpoint.dir for this session")
+        d = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="runway-local-"))
     return f"{d.rstrip('/')}/runway-scratch/{name}-{uuid.uuid4().hex}"
