@@ -97,10 +97,11 @@ def fill_group_mean(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
 
     Plan: partial+final ``avg`` per group (hot keys are absorbed by the
     map-side combine), then a left join of the rows to the group means.
-    The means side is broadcast only after its row count is checked against
-    ``max_groups`` (see :func:`join_bounded`); above the bound it is a
-    shuffle join that AQE can split for skewed keys.  No window over the
-    whole group, so no task ever holds a whole hot group.
+    The means are checkpointed and measured when this function is called
+    (one job); they are broadcast only within ``max_groups`` rows and the
+    byte bound of :func:`join_bounded`, otherwise it is a shuffle join that
+    AQE can split for skewed keys.  No window over the whole group, so no
+    task ever holds a whole hot group.
 
     A group with no value stays null; a row with a null key is not filled
     (pandas ``transform('mean')`` and the notebook's left join agree).
