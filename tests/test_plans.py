@@ -77,3 +77,11 @@ def test_package_source_avoids_slow_or_unsafe_calls():
         src = p.read_text()
         for b in banned:
             assert b not in src, f"{p.name}: {b}"
+
+
+def test_public_functions_are_documented():
+    import inspect
+    import runway
+    missing = [n for n, f in vars(runway).items()
+               if inspect.isfunction(f) and not n.startswith("_") and not (f.__doc__ or "").strip()]
+    assert not missing, missing

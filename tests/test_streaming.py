@@ -39,3 +39,19 @@ def test_stream_matches_batch(spark):
     finally:
         q1.stop()
         q2.stop()
+
+
+def test_stream_hourly_counts_match_batch(spark):
+    from runway.plans.hours import hourly_counts
+    from runway.streaming.incremental import running_hourly_counts
+    src = scratch_path(spark, "flight-stream-hours")
+    raw = catalog.raw_flights(spark, SF_SMALL)
+    write_table(raw, src, "csv", null_value="NA")
+    name = f"hours_{uuid.uuid4().hex}"
+    q = start_running(running_hourly_counts(read_flight_stream(spark, src), "origin"), name)
+    try:
+        q.processAllAvailable()
+        flown = enrich_flights(raw.na.drop(subset=["dep_time", "arr_time", "tailnum"]))
+        assert frames_equal(spark.table(name), hourly_counts(flown, "origin"))
+    finally:
+        q.stop()
