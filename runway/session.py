@@ -48,16 +48,27 @@ def build_session(master: str | None = None, app: str = "runway",
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, or None if unset."""
-    d = spark.sparkContext.getCheckpointDir()
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        return conf
+    d = sc.getCheckpointDir()
     if d:
         return d
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if d:
-        spark.sparkContext.setCheckpointDir(d)
-        return spark.sparkContext.getCheckpointDir()
+    if conf:
+        sc.setCheckpointDir(conf)
+        return sc.getCheckpointDir()
     return None
 
 
+def _is_local(spark: SparkSession) -> bool:
+    try:
+        return spark.sparkContext.master.startswith("local")
+    except Exception:
+        return False
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     """Use the session's checkpoint folder; set ``fallback`` only when unset
     (tests and local runs)."""
@@ -78,7 +89,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     d = checkpoint_dir(spark)
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not _is_local(spark):
             raise RuntimeError(
                 "no shared folder: set spark.checkpoint.dir for this session")
         d = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="runway-local-"))
