@@ -37,3 +37,13 @@ def test_command_line_study(spark):
     assert frames_equal(got, catalog.QUERIES["busiest_hour_by_carrier"](spark, SF_SMALL))
     share = spark.read.parquet(f"{out}/delayed_share")
     assert frames_equal(catalog.r4(share), catalog.QUERIES["delayed_share"](spark, SF_SMALL))
+
+
+def test_study_writes_csv_answers(spark):
+    out = scratch_path(spark, "study-csv-out")
+    ans = run_study(catalog.raw_flights(spark, SF_SMALL), catalog.raw_weather(spark, SF_SMALL),
+                    catalog.raw_planes(spark, SF_SMALL), origin="0", out_dir=out,
+                    out_format="csv")
+    back = spark.read.option("header", True).schema(ans["carrier_totals"].schema) \
+        .csv(f"{out}/carrier_totals")
+    assert frames_equal(back, ans["carrier_totals"])
