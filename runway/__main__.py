@@ -18,11 +18,11 @@ from .sources.csv import read_flights, read_planes, read_weather
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="runway", description=__doc__.splitlines()[0])
-    ap.add_argument("--flights", required=True)
-    ap.add_argument("--weather", required=True)
-    ap.add_argument("--planes", required=True)
+    ap.add_argument("--flights", required=True, help="flights CSV file or folder (with header)")
+    ap.add_argument("--weather", required=True, help="weather CSV file or folder (with header)")
+    ap.add_argument("--planes", required=True, help="planes CSV file or folder (with header)")
     ap.add_argument("--origin", required=True, help="airport of the delayed-share question")
-    ap.add_argument("--out", required=True)
+    ap.add_argument("--out", required=True, help="folder for the answers, one sub-folder each")
     ap.add_argument("--format", default="parquet", choices=("parquet", "csv"))
     ap.add_argument("--k", type=int, default=5, help="top routes to break down by carrier")
     ap.add_argument("--shift-seconds", type=int, default=1,
