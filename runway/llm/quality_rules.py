@@ -111,8 +111,10 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         " else sort_array(transform(filter(sequence(0, cardinality(__pairs) - 1),"
         " k -> coalesce(get(__pairs, k - 1).x = __pairs[k].x, false)"
         " or coalesce(get(__pairs, k + 1).x = __pairs[k].x, false)), k -> __pairs[k].i)) end"))
+    # the row number added as 0 keeps a later filter above this step: pushed down,
+    # it would repeat the nested expressions below many times over
     d = d.withColumns({
-        "__repeat": F.expr(
+        "__repeat": F.least(F.lit(0), F.monotonically_increasing_id()) + F.expr(
             "if(__at is null, 0L, aggregate(sequence(0, cardinality(__at) - 1), 0L,"
             " (acc, j) -> acc + least(5, coalesce(get(__at, j + 1) - __at[j], 5))))"),
         "__lost": F.expr(
