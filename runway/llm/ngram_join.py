@@ -7,14 +7,14 @@ sets with sizes a <= b that link share at least ceil(pct * b / 100) shingles.
   sets that link have a subset in common.
 * Heavy sets scan inverted lists.  A set is listed under the shingles that it
   cannot miss all of: the first (size - required overlap + 1) in a global order
-  that puts shingles met often in the corpus last.
+  that puts shingles met often in the corpus last, the most frequent at the end.
 * The boundary is the size at which enumerating costs more than scanning, from
   the sizes and the repeat counts of the whole corpus.  Light sets that can
   link to heavy ones are listed too, and pairs that lists bring together must
 share enough of their listed shingles.
 
 Equal sets are joined as one.  A short list gives all its pairs; a long one
-first gives the pairs with its smallest member of about the same size, and then
+first gives the pairs with its most listed member of about the same size, and then
 only pairs of members that these have not already brought together, so a group
 of near copies costs its size and not its square, and no link that joins two
 groups is missed.  Candidates are distinct and are checked on the whole texts.
@@ -49,6 +49,8 @@ SHORT_LIST = 24
 BUCKET_POSTINGS = 100_000
 #: Stands for as many shared shingles as any pair needs.
 SURE = 1 << 40
+#: Members of a long list that are compared at a time.
+LIST_PART = 1024
 #: Largest size whose subsets are ever enumerated.
 LARGEST_LIGHT = 16
 #: Sets that are checked with texts sent to every executor (ids only).
@@ -128,10 +130,10 @@ def _subset_keys(s: np.ndarray, sizes: list[int]) -> np.ndarray:
     return np.concatenate(keys)
 
 
-def _list(k: int, pct: int, light: int, often: np.ndarray, buckets: int):
-    """Postings (token, set id, size), packed per list bucket; those of shingles
-    known to be met often come one by one (bucket -1).  Subset postings carry a
-    negative size."""
+def _list(k: int, pct: int, light: int, often: tuple[np.ndarray, np.ndarray], buckets: int):
+    """Postings (token, set id, size), packed per list bucket.  Those of shingles
+    known to be met often go to buckets of their own, dealt by token and set,
+    as their lists are long.  Subset postings carry a negative size."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         held: list[tuple[np.ndarray, int, int]] = []
@@ -141,23 +143,17 @@ def _list(k: int, pct: int, light: int, often: np.ndarray, buckets: int):
             token = np.concatenate([t for t, _, _ in held])
             ids = np.repeat(np.array([i for _, i, _ in held], np.int64), [len(t) for t, _, _ in held])
             size = np.repeat(np.array([z for _, _, z in held], np.int32), [len(t) for t, _, _ in held])
-            late = (size > 0) & _is_in(token, often)
-            bucket = (mix64(token) % np.uint64(buckets)).astype(np.int32)
-            bucket[late] = -1
+            late = (size > 0) & (_levels(token, often) > 0)
+            spread = np.where(late, mix64(token) ^ ids.view(np.uint64), token)
+            bucket = (mix64(spread) % np.uint64(buckets)).astype(np.int32) + np.where(late, buckets, 0).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
             token, ids, size, bucket = token[order].view(np.int64), ids[order], size[order], bucket[order]
-            n_late = int(late.sum())
-            at = np.r_[n_late, n_late + np.flatnonzero(np.diff(bucket[n_late:])) + 1, len(bucket)]
+            at = np.r_[0, np.flatnonzero(np.diff(bucket)) + 1, len(bucket)]
             spans = [(a, b) for a, b in zip(at[:-1].tolist(), at[1:].tolist()) if b > a]
-            none = pa.nulls(len(spans), pa.int64())
-            yield pa.RecordBatch.from_arrays(
+            return pa.RecordBatch.from_arrays(
                 [pa.array([int(bucket[a]) for a, _ in spans], pa.int32()),
-                 pa.array([token[a:b].tobytes() + ids[a:b].tobytes() + size[a:b].tobytes() for a, b in spans], pa.binary()),
-                 none, none, none.cast(pa.int32())], names=names)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n_late, -1, np.int32)), pa.nulls(n_late, pa.binary()), pa.array(token[:n_late]),
-                 pa.array(ids[:n_late]), pa.array(size[:n_late])], names=names)
-        names = ["bucket", "packed", "token", "set_id", "size"]
+                 pa.array([token[a:b].tobytes() + ids[a:b].tobytes() + size[a:b].tobytes() for a, b in spans], pa.binary())],
+                names=["bucket", "packed"])
         for batch in batches:
             for s in shingle_sets(batch.column(2), k):
                 if not len(s) or (i := _set_id(s)) in seen:
@@ -168,31 +164,34 @@ def _list(k: int, pct: int, light: int, often: np.ndarray, buckets: int):
                     held.append((_subset_keys(s, subset_sizes(n, pct, light)), i, -n))
                     n_held += len(held[-1][0])
                 if n > light or 100 * n >= pct * (light + 1):
-                    late = _is_in(s, often)
-                    first = np.concatenate([s[~late], s[late]])[:n - required(n, pct) + 1]
+                    order = np.argsort(_levels(s, often), kind="stable")
+                    first = s[order[:n - required(n, pct) + 1]]
                     held.append((first, i, n))
                     n_held += len(first)
                 if n_held > COUNTED_AT_ONCE:
-                    yield from packed()
+                    yield packed()
                     held, n_held = [], 0
-        if held:
-            yield from packed()
+        if n_held:
+            yield packed()
     return run
 
 
-def _is_in(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+def _levels(tokens: np.ndarray, often: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The level (log2 of the count) of tokens met often, 0 for the others."""
+    ordered, level = often
     if not len(ordered):
-        return np.zeros(len(values), dtype=bool)
-    at = np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)
-    return ordered[at] == values
+        return np.zeros(len(tokens), dtype=np.uint8)
+    at = np.minimum(np.searchsorted(ordered, tokens), len(ordered) - 1)
+    return np.where(ordered[at] == tokens, level[at], 0).astype(np.uint8)
 
 
 def _fits(a: np.ndarray, b: np.ndarray, pct: int) -> np.ndarray:
     return 100 * np.minimum(a, b) >= pct * np.maximum(a, b)
 
 
-def _scan_lists(pct: int, light: int):
-    """All pairs of short lists; the postings of long ones."""
+def _scan_lists(pct: int, light: int, buckets: int):
+    """All pairs of short lists; the postings of long ones, and of the buckets
+    of shingles met often."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         token, ids, size = [], [], []
         for raw in pdf["packed"]:
@@ -209,7 +208,7 @@ def _scan_lists(pct: int, light: int):
         begin = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
         length = np.diff(np.r_[begin, len(token)])
         length = np.repeat(length, length)
-        long = length > SHORT_LIST
+        long = (length > SHORT_LIST) | bool(pdf["bucket"].iloc[0] >= buckets)
         found = [np.zeros((0, 5), np.int64)]
         for d in range(1, min(SHORT_LIST, len(token))):
             i = np.flatnonzero((token[:-d] == token[d:]) & ~long[:-d])
@@ -234,7 +233,7 @@ def _scan_lists(pct: int, light: int):
     return run
 
 
-def _enough_shared(met: DataFrame, long: DataFrame, pct: int) -> DataFrame:
+def _enough_shared(met: DataFrame, in_long: DataFrame, pct: int) -> DataFrame:
     """Pairs of short lists that share enough of their listed shingles.
 
     Of two sets, the one whose list ends first in the order has all its common
@@ -243,7 +242,6 @@ def _enough_shared(met: DataFrame, long: DataFrame, pct: int) -> DataFrame:
     not paired there, so they all count as shared."""
     pairs = met.where("shared > 0").groupBy("a", "b").agg(
         F.sum("shared").alias("shared"), F.min("size").alias("za"), F.min("other").alias("zb"))
-    in_long = written(long.groupBy("set_id").agg(F.count(F.lit(1)).alias("n")), "join-long-counts")
     for side in "ab":
         pairs = pairs.join(in_long.select(F.col("set_id").alias(side), F.col("n").alias(f"l{side}")), side, "left")
     overlap = F.ceil(pct * (F.col("za") + F.col("zb")) / F.lit(100 + pct))
@@ -253,6 +251,58 @@ def _enough_shared(met: DataFrame, long: DataFrame, pct: int) -> DataFrame:
     return pairs.where(F.col("shared") + unseen >= needed).select("a", "b")
 
 
+def _pair_apart(pct: int):
+    """Of one part of a long list: pairs of members of different groups that
+    share enough shingles of long lists, reported under the first one shared."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        lists = pdf["listed"].tolist()
+        words, column = np.unique(np.concatenate(lists), return_inverse=True)
+        has = np.zeros((len(pdf), len(words)), dtype=np.float32)
+        has[np.repeat(np.arange(len(pdf)), [len(x) for x in lists]), column] = 1
+        here = int(np.searchsorted(words, pdf["token"].iloc[0]))
+        size, ids = pdf["size"].to_numpy(np.int64), pdf["set_id"].to_numpy()
+        group, side = pdf["component"].to_numpy(), pdf["side"].to_numpy()
+        listed = size - -(-pct * size // 100) + 1
+        out = [np.zeros((0, 2), np.int64)]
+        one = np.flatnonzero(side == pdf["lo"].iloc[0])
+        two = np.flatnonzero(side == pdf["hi"].iloc[0])
+        for start in range(0, len(one), 256):
+            x = one[start:start + 256]
+            shared = has[x] @ has[two].T
+            za, zb = size[x][:, None], size[two][None, :]
+            overlap = -(-pct * (za + zb) // (100 + pct))
+            needed = np.minimum(listed[x][:, None] - za + overlap, listed[two][None, :] - zb + overlap)
+            hit = (shared >= needed) & (group[x][:, None] != group[two][None, :]) & _fits(za, zb, pct)
+            if pdf["lo"].iloc[0] == pdf["hi"].iloc[0]:
+                hit &= ids[x][:, None] < ids[two][None, :]
+            i, j = np.nonzero(hit)
+            for c in range(0, len(i), 4096):
+                p, q = x[i[c:c + 4096]], two[j[c:c + 4096]]
+                first = np.argmax(has[p] * has[q], axis=1) == here
+                pair = np.sort(np.stack([ids[p[first]], ids[q[first]]], axis=1), axis=1)
+                out.append(pair)
+        pairs = np.concatenate(out)
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+    return run
+
+
+def _apart(grouped: DataFrame, mixed: DataFrame, long: DataFrame, pct: int) -> DataFrame:
+    """Candidates among members of long lists that are still in different groups.
+
+    A pair that shares a shingle of a short list was settled there (checked, or
+    shown to share too few); any other must share enough in long lists alone.
+    A list is compared in parts of LIST_PART members, so no task holds one whole
+    and no pair becomes a row unless it shares enough."""
+    of_set = written(long.groupBy("set_id").agg(F.sort_array(F.collect_list("token")).alias("listed")), "join-listed")
+    parts = F.ceil(F.col("n") / LIST_PART).cast("int")
+    apart = (grouped.join(mixed, "token").withColumn("parts", parts).join(of_set, "set_id")
+             .withColumn("side", F.pmod(F.xxhash64("set_id"), F.col("parts")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+             .select("token", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side",
+                     "set_id", "size", "component", "listed"))
+    return apart.groupBy("token", "lo", "hi").applyInPandas(_pair_apart(pct), "a long, b long").distinct()
+
+
 def _check(k: int, pct: int):
     """Rows (a, b, text_a, text_b) whose sets link."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,8 +369,11 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     level = int(math.log2(OFTEN))
     while sum(n for v, (n, _) in levels.items() if v >= level) > MOST_OFTEN:
         level += 1
-    often = counts.where(F.col("count") >= 2 ** level).select("token").toPandas()["token"].to_numpy(np.int64)
-    often = spark.sparkContext.broadcast(np.sort(often.view(np.uint64)))
+    often = counts.where(F.col("count") >= 2 ** level).select(
+        "token", F.floor(F.log2("count")).cast("int").alias("level")).toPandas()
+    token = often["token"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(token)
+    often = spark.sparkContext.broadcast((token[order], often["level"].to_numpy(np.uint8)[order]))
 
     # sizes below the largest light one by number, the others as their postings
     small = {r["n_shingles"]: r["n"] for r in classes.where(F.col("n_shingles") <= 2 * LARGEST_LIGHT)
@@ -332,12 +385,10 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     def listing(batches):
         return _list(k, pct, light, often.value, buckets)(batches)
-    listed = written(rows.where("doc is not null").mapInArrow(
-        listing, "bucket int, packed binary, token long, set_id long, size int"), "join-postings")
-    met = written(listed.where("bucket >= 0").select("bucket", "packed").groupBy("bucket").applyInPandas(
-        _scan_lists(pct, light), "a long, b long, token long, size int, other int, shared long"), "join-lists")
-    long = written(met.where("shared = 0").select("token", F.col("a").alias("set_id"), "size").unionByName(
-        listed.where("bucket < 0").select("token", "set_id", "size")).distinct(), "join-long-lists")
+    listed = rows.where("doc is not null").mapInArrow(listing, "bucket int, packed binary")
+    met = written(listed.groupBy("bucket").applyInPandas(
+        _scan_lists(pct, light, buckets), "a long, b long, token long, size int, other int, shared long"), "join-lists")
+    long = written(met.where("shared = 0").select("token", F.col("a").alias("set_id"), "size").distinct(), "join-long-lists")
 
     def texts_of(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
@@ -346,28 +397,27 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             firsts = F.broadcast(firsts)
         return written(rows.join(firsts, ["doc", "version"]).select("set_id", "text").dropDuplicates(["set_id"]), "join-texts")
 
-    # long lists: every member with the first of about its size
+    # long lists: every member with the one of about its size that stands in most
+    # of them, which of a group of near copies is the one they were made from
+    in_long = written(long.groupBy("set_id").agg(F.count(F.lit(1)).alias("n")), "join-long-counts")
     band = F.floor(F.log(F.col("size").cast("double")) / math.log(100.0 / pct)).cast("int")
-    banded = long.withColumn("band", band)
-    firsts = written(banded.groupBy("token", "band").agg(F.min("set_id").alias("a")), "join-list-firsts")
-    stars = banded.join(firsts, ["token", "band"]).select("a", F.col("set_id").alias("b")).where("a <> b")
-    links = _linked(_enough_shared(met, long, pct).unionByName(stars).distinct(), texts_of, k, pct)
+    banded = written(long.join(in_long, "set_id").withColumn("band", band), "join-long-bands")
+    centres = written(banded.groupBy("token", "band").agg(F.max(F.struct("n", "set_id"))["set_id"].alias("centre")),
+                      "join-centres")
+    stars = (banded.join(centres, ["token", "band"])
+             .select(F.least("centre", "set_id").alias("a"), F.greatest("centre", "set_id").alias("b")).where("a <> b"))
+    links = _linked(_enough_shared(met, in_long, pct).unionByName(stars).distinct(), texts_of, k, pct)
 
     # what is left of long lists: members that are still apart
     groups = components(links, "a", "b")
     grouped = written(long.join(groups.select(F.col("node").alias("set_id"), "component"), "set_id", "left")
                       .select("token", "set_id", "size", F.coalesce("component", "set_id").alias("component")),
                       "join-long-groups")
-    mixed = written(grouped.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                    .where("lo <> hi").select("token"), "join-mixed-lists")
+    mixed = written(grouped.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                                 F.count(F.lit(1)).alias("n"))
+                    .where("lo <> hi").select("token", "n"), "join-mixed-lists")
     if mixed.head(1):
-        apart = written(grouped.join(mixed, "token"), "join-apart")
-        one = apart.select("token", F.col("set_id").alias("a"), F.col("size").alias("za"), F.col("component").alias("ca"))
-        two = apart.select("token", F.col("set_id").alias("b"), F.col("size").alias("zb"), F.col("component").alias("cb"))
-        more = (one.join(two, "token").where("a < b and ca <> cb")
-                .where(100 * F.least("za", "zb") >= pct * F.greatest("za", "zb")).select("a", "b").distinct())
-        more = _linked(more, texts_of, k, pct)
-        links = links.unionByName(more)
+        links = links.unionByName(_linked(_apart(grouped, mixed, long, pct), texts_of, k, pct))
         groups = components(links, "a", "b")
 
     labelled = (classes.join(groups.withColumnRenamed("node", "set_id"), "set_id", "left")
