@@ -34,14 +34,12 @@ from .plans.weather import (delay_by_wind_speed, delay_by_wind_speed_from, join_
 from .session import scratch_path
 from .sources import roles
 from .sources.csv import read_flights, write_table
-from .sources.store import load_stored, store_partitioned
 from .sources.schemas import FLIGHT_REQUIRED_COLUMNS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: Parameters of the registered queries (fixed values of this catalogue).
 TOP_K = 5
-FIRST_ROWS = 16
 ONE_YEAR = 1997
 SHARE_ORIGIN_TRIPS = 0
 SHARE_ORIGIN_FLIGHTS = "1"
@@ -100,11 +98,16 @@ def csv_roundtrip(spark, d):
     return read_flights(spark, path)
 
 
-def stored_trips(spark, d):
-    """Trips written once under the shared folder, partitioned by year."""
-    path = scratch_path(spark, "trips-by-year")
-    store_partitioned(trips(spark, d), path, partition_by=("year",))
-    return load_stored(spark, path)
+def csv_reordered(spark, d):
+    """A1: a file whose columns stand in another order, with one more and with
+    clocks written as ``517.0``, read by its header."""
+    f = raw_flights(spark, d)
+    clocks = ("sched_dep_time", "dep_time", "sched_arr_time", "arr_time")
+    path = scratch_path(spark, "flights-csv")
+    out = f.select(F.lit("x").alias("extra"), *[F.col(c).cast("double").cast("string").alias(c) if c in clocks else F.col(c)
+                                                for c in reversed(f.columns)])
+    write_table(out, path, "csv", null_value="NA")
+    return read_flights(spark, path)
 
 
 def joined_csv_roundtrip(spark, d):
@@ -151,16 +154,10 @@ QUERIES: dict[str, Query] = {
     "busiest_route": lambda s, d: busiest_routes(trips(s, d), 1),
     "top5_routes": lambda s, d: busiest_routes(trips(s, d), TOP_K),
     "busiest_route_one_year": lambda s, d: busiest_routes(trips(s, d), 1, year=ONE_YEAR),
-    "busiest_route_one_year_stored":
-        lambda s, d: busiest_routes(stored_trips(s, d), 1, year=ONE_YEAR),
     "top5_routes_sql": lambda s, d: busiest_routes_sql(trips(s, d), TOP_K),
     "carriers_on_top_routes": lambda s, d: carriers_on_top_routes(trips(s, d), TOP_K),
-    "carriers_on_top_routes_first16":
-        lambda s, d: carriers_on_top_routes(trips(s, d), TOP_K, limit=FIRST_ROWS),
     "carrier_totals": lambda s, d: carrier_totals(trips(s, d)),
     "carrier_route_vs_total": lambda s, d: carrier_route_vs_total(trips(s, d), TOP_K),
-    "carrier_route_vs_total_first16":
-        lambda s, d: carrier_route_vs_total(trips(s, d), TOP_K, limit=FIRST_ROWS),
     "least_delayed_origin": lambda s, d: least_delayed_origin(trips(s, d)),
     "most_delayed_dest": lambda s, d: most_delayed_dest(trips(s, d)),
     "delayed_share_trips": lambda s, d: r4(delayed_share(trips(s, d), SHARE_ORIGIN_TRIPS)),
@@ -193,6 +190,7 @@ QUERIES: dict[str, Query] = {
     "most_delayed_dest_flights": lambda s, d: most_delayed_dest(flights(s, d)),
     "delay_by_hour": lambda s, d: r4(delay_by_hour(flights(s, d))),
     "csv_roundtrip": csv_roundtrip,
+    "csv_reordered": csv_reordered,
     # weather role
     "sentinel_counts": lambda s, d: sentinel_counts(roles.weather_text(raw_weather(s, d)), "NA"),
     "null_counts_weather": lambda s, d: null_counts(raw_weather(s, d)),

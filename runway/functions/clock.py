@@ -76,11 +76,10 @@ def hhmm_minutes(c: ColumnOrName) -> Column:
 
 
 def hhmm_minutes_text(c: ColumnOrName) -> Column:
-    """Clock that arrives as text ('517', '0005'); bad text -> null."""
-    s = F.concat(F.lit("000"), F.trim(_c(c).cast("string")))
-    hours = F.substr(s, F.lit(1), F.length(s) - 2).try_cast("int")
-    mins = F.substr(s, F.lit(-2), F.lit(2)).try_cast("int")
-    return (hours * 60 + mins).cast("int")
+    """Clock that arrives as text ('517', '0005', '517.0'); text that is not
+    a whole number from 0 on -> null."""
+    n = F.trim(_c(c).cast("string")).try_cast("double")
+    return hhmm_minutes(F.when((n >= 0) & (n == F.floor(n)), n))
 
 
 def minutes_of(df: DataFrame, name: str) -> Column:

@@ -50,14 +50,14 @@ def top_n_sql(df: DataFrame, by: str, keys: Sequence[str], k: int) -> DataFrame:
 
 def argmax_by_group(df: DataFrame, group: str, item: str, score: str) -> DataFrame:
     """Per ``group`` the ``item`` with the highest (numeric) ``score``
-    (smallest item on ties), with that score.
+    (smallest item on ties), with that score; a null score comes last.
 
     ``min_by`` over a (-score, item) struct is an ordinary aggregate:
     partial per task, no sort of the group and no window; ``item`` may be
     of any orderable type.
     """
     best = F.min_by(F.struct(F.col(item), F.col(score)),
-                    F.struct(-F.col(score), F.col(item)))
+                    F.struct(F.col(score).isNull(), -F.col(score), F.col(item)))
     return (df.groupBy(group).agg(best.alias("_best"))
             .select(group, F.col(f"_best.{item}").alias(item),
                     F.col(f"_best.{score}").alias(score)))

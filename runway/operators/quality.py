@@ -88,7 +88,7 @@ def drop_sparse_columns(df: DataFrame, threshold_pct: float = 70.0) -> DataFrame
 
 def drop_null_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Drop rows missing any value in ``subset`` (all columns if None)."""
-    return df.na.drop(how="any", subset=list(subset) if subset else None)
+    return df.na.drop(how="any", subset=None if subset is None else list(subset)) if subset is None or subset else df
 
 
 def fill_group_mean(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
@@ -145,9 +145,11 @@ def fill_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def column_profile(df: DataFrame) -> DataFrame:
-    """A5: column_name, data_type, non_null (one aggregation, then unpivot)."""
+    """A5: column_name, data_type, non_null (one aggregation, then unpivot); NaN
+    counts as missing, as in the null counts."""
     fields = df.schema.fields
-    counts = df.selectExpr(*[f"count({_q(f.name)}) AS c{i}" for i, f in enumerate(fields)])
+    counts = df.selectExpr(*[
+        f"count_if(NOT ({_missing_sql(f.name, f.dataType)})) AS c{i}" for i, f in enumerate(fields)])
     rows = ", ".join(
         f"named_struct('column_name', {_lit(f.name)}, 'data_type', "
         f"{_lit(f.dataType.simpleString())}, 'non_null', c{i})" for i, f in enumerate(fields))

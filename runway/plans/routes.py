@@ -51,18 +51,13 @@ def _top_routes_from(rc: DataFrame, k: int) -> DataFrame:
     return top_n(routes, "route_freq", ROUTE, k).select(*ROUTE)
 
 
-def carriers_on_top_routes(trips: DataFrame, k: int = 5, limit: int | None = None,
+def carriers_on_top_routes(trips: DataFrame, k: int = 5,
                            year: int | None = None) -> DataFrame:
-    """Q6: trips per carrier on the ``k`` busiest routes, sorted by keys.
-
-    ``limit`` keeps the first rows after the sort (the pandas notebook kept
-    16); off by default.
-    """
+    """Q6: trips per carrier on the ``k`` busiest routes, sorted by keys."""
     rc = materialize(route_carrier_counts(trips, year))
-    out = (join_top_k(rc, _top_routes_from(rc, k), ROUTE)
-           .select("origin", "dest", "carrier", "count")
-           .orderBy("origin", "dest", "carrier"))
-    return out.limit(limit) if limit else out
+    return (join_top_k(rc, _top_routes_from(rc, k), ROUTE, k)
+            .select("origin", "dest", "carrier", "count")
+            .orderBy("origin", "dest", "carrier"))
 
 
 def carrier_totals(trips: DataFrame, year: int | None = None) -> DataFrame:
@@ -70,7 +65,7 @@ def carrier_totals(trips: DataFrame, year: int | None = None) -> DataFrame:
     return count_by(_scope(trips, year), ["carrier"], "count2").orderBy("carrier")
 
 
-def carrier_route_vs_total(trips: DataFrame, k: int = 5, limit: int | None = None,
+def carrier_route_vs_total(trips: DataFrame, k: int = 5,
                            year: int | None = None) -> DataFrame:
     """Q7: Q6 next to each carrier's total trips (``count2``).
 
@@ -78,10 +73,8 @@ def carrier_route_vs_total(trips: DataFrame, k: int = 5, limit: int | None = Non
     from their runtime sizes.
     """
     rc = materialize(route_carrier_counts(trips, year))
-    top = (join_top_k(rc, _top_routes_from(rc, k), ROUTE)
+    top = (join_top_k(rc, _top_routes_from(rc, k), ROUTE, k)
            .select("origin", "dest", "carrier", "count"))
-    if limit:
-        top = top.orderBy("origin", "dest", "carrier").limit(limit)
     totals = rc.groupBy("carrier").agg(F.sum("count").alias("count2"))
     return (top.join(totals, "carrier", "inner")
             .select("carrier", "origin", "dest", "count", "count2")

@@ -31,13 +31,14 @@ def pairwise_corr(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def _bin(v: Column, lo: float | None, hi: float | None, bins: int) -> Column:
-    """Equal-width bin 1..bins of ``v`` over [lo, hi]; the max lands in the
-    last bin; null when ``v`` is null."""
+    """Equal-width bin 1..bins of ``v`` over [lo, hi]; values at or beyond an end
+    land in the end bin; null when ``v`` is null or NaN."""
+    v = F.when(~F.isnan(v.cast("double")), v)
     if lo is None or hi is None or hi == lo:
         return F.when(v.isNotNull(), F.lit(1))
     x = F.floor((v.cast("double") - F.lit(float(lo))) * F.lit(float(bins))
                 / F.lit(float(hi) - float(lo)))
-    return F.least(x + 1, F.lit(bins)).cast("int")
+    return F.when(v.isNotNull(), F.greatest(F.lit(1), F.least(x + 1, F.lit(bins)))).cast("int")
 
 
 def binned_counts(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
@@ -48,8 +49,9 @@ def binned_counts(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFra
     partial + final aggregate.
     """
     cols = list(cols)
-    b = df.agg(*[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
-               *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
+    there = [F.when(~F.isnan(F.col(c).cast("double")), F.col(c)) for c in cols]
+    b = df.agg(*[F.min(v).alias(f"lo{i}") for i, v in enumerate(there)],
+               *[F.max(v).alias(f"hi{i}") for i, v in enumerate(there)]).first()
     pairs = F.array(*[F.struct(F.lit(c).alias("col"),
                                _bin(F.col(c), b[f"lo{i}"], b[f"hi{i}"], bins).alias("bin"))
                       for i, c in enumerate(cols)])

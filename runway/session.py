@@ -6,11 +6,11 @@ helpers are for tests, the bench and scripts.
 
 from __future__ import annotations
 
+import atexit
 import os
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every session gets from :func:`build_session`.  AQE re-plans
 #: joins from runtime sizes, coalesces small shuffle partitions and splits
@@ -47,26 +47,15 @@ def build_session(master: str | None = None, app: str = "runway",
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder the cluster names, or None if unset."""
+    """The shared checkpoint folder the cluster names, or None if unset.
+    Reads only: nothing is set on the session."""
     conf = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: no SparkContext on the client
-        return conf
-    d = sc.getCheckpointDir()
-    if d:
-        return d
     if conf:
-        sc.setCheckpointDir(conf)
-        return sc.getCheckpointDir()
-    return None
-
-
-def _is_local(spark: SparkSession) -> bool:
+        return conf
     try:
-        return spark.sparkContext.master.startswith("local")
-    except Exception:
-        return False
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # Spark Connect: no SparkContext on the client
+        return None
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
@@ -80,17 +69,31 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """Where intermediate tables go: the checkpoint folder, or else a folder in
+    the session's warehouse, which executors share as well."""
+    named = checkpoint_dir(spark)
+    return named.rstrip("/") if named else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
 
-    On a cluster the folder must be configured (``spark.checkpoint.dir``);
-    only a local-mode session without one, where the one machine is the
-    whole cluster, gets its own folder, as tests do.
-    """
-    d = checkpoint_dir(spark)
-    if not d:
-        if not _is_local(spark):
-            raise RuntimeError(
-                "no shared folder: set spark.checkpoint.dir for this session")
-        d = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="runway-local-"))
-    return f"{d.rstrip('/')}/runway-scratch/{name}-{uuid.uuid4().hex}"
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # the session is gone already
+        pass
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared folder, removed when the session's driver
+    ends.  Nothing is set on the session, so plans do not depend on it."""
+    path = f"{shared_folder(spark)}/runway-scratch/{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed once: Parquet in the shared folder, read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,24 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, ShortType, StringType, StructField, StructType
 
 from . import schemas
 
 
+def _text(spark: SparkSession, path: str, schema: StructType, null_value: str) -> DataFrame:
+    """The file's columns as text, by the names of its header; ``null_value``
+    text is null.  A declared column that the header lacks is an error."""
+    df = spark.read.option("header", True).option("nullValue", null_value).csv(path)
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header ({', '.join(df.columns)})")
+    return df
+
+
+def _parsed(field: StructField) -> Column:
+    """A text cell as its declared type; whole numbers may have a zero fraction."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (IntegerType, LongType, ShortType)):
+        n = F.trim(c).try_cast("double")
+        return F.coalesce(F.trim(c).try_cast(field.dataType), F.when(n == F.floor(n), n).try_cast(field.dataType))
+    return c if isinstance(field.dataType, StringType) else F.trim(c).try_cast(field.dataType)
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType,
              null_value: str = "NA") -> DataFrame:
-    """Header CSV with a declared schema; ``null_value`` text becomes null.
+    """Header CSV with declared types; ``null_value`` text becomes null.
 
-    No inference pass, so the scan is one job and types never depend on
-    what the data happens to hold.
+    Columns are found by name: the file may hold them in any order, and others
+    beside them, which stay behind.  The header is read when this is called;
+    types are declared, so they never depend on what the data happens to hold.
+    A cell that does not parse is null; :func:`unparsed_counts` counts those.
     """
-    return (spark.read.schema(schema)
-            .option("header", True)
-            .option("nullValue", null_value)
-            .option("mode", "PERMISSIVE")
-            .csv(path))
+    text = _text(spark, path, schema, null_value)
+    return text.select(*[_parsed(f).alias(f.name) for f in schema.fields])
+
+
+def unparsed_counts(spark: SparkSession, path: str, schema: StructType,
+                    null_value: str = "NA") -> DataFrame:
+    """One row: per declared column, the cells that hold text but not a value
+    of its type (one scan, one aggregate)."""
+    text = _text(spark, path, schema, null_value)
+    return text.agg(*[F.count_if(F.col(f"`{f.name}`").isNotNull() & _parsed(f).isNull()).alias(f.name)
+                      for f in schema.fields])
 
 
 def read_flights(spark: SparkSession, path: str, null_value: str = "NA") -> DataFrame:

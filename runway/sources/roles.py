@@ -96,9 +96,8 @@ def clock_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly conditions per origin (schema ``schemas.WEATHER``), with gaps."""
-    ev = read_table(spark, sf_dir, "events", ["ts", "user_id", "event_type", "value"])
-    g = (ev.where(F.col("event_type") == "view")
-         .groupBy(F.to_date("ts").alias("day"), F.hour("ts").alias("hr"),
+    ev = read_table(spark, sf_dir, "events", ["ts", "user_id", "value"])
+    g = (ev.groupBy(F.to_date("ts").alias("day"), F.hour("ts").alias("hr"),
                   (F.col("user_id") % 3).cast("string").alias("origin"))
          .agg(F.count(F.lit(1)).alias("n"), F.avg(F.sqrt("value")).alias("mean"),
               F.min("value").alias("lo"), F.max("value").alias("hi"),

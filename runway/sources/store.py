@@ -4,9 +4,10 @@ The notebooks re-read and re-cleaned their CSVs for every action.  Here a
 derived table (enriched trips, say) is written once as Parquet in hive
 layout, partitioned by columns later filters use (``year``, ``month``), so
 ``where(year == ...)`` reads only the matching folders (``PartitionFilters``
-in the plan).  There is no repartition before the write: that would send a
-whole month to one task; each task writes its own files instead, capped by
-``max_records_per_file``.
+in the plan).  There is no plain repartition before the write: that would send a
+whole month to one task; a rebalance hint lets the adaptive plan merge small
+and split large partitions of the write instead, so the number of files
+follows the data's size and not tasks times partitions.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def store_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("year", "month"),
                       mode: str = "overwrite", max_records_per_file: int = 5_000_000) -> None:
-    (df.write.mode(mode).format("parquet")
+    (df.hint("rebalance", *partition_by).write.mode(mode).format("parquet")
        .option("maxRecordsPerFile", max_records_per_file)
        .partitionBy(*partition_by)
        .save(path))

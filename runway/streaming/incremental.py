@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.enrich import enrich_flights
-from ..session import scratch_path
 from ..sources.schemas import FLIGHT_REQUIRED_COLUMNS, FLIGHTS
 
 
@@ -57,16 +56,14 @@ def running_delayed_share(stream: DataFrame, shift_seconds: int = 1) -> DataFram
                  F.try_divide(late * F.lit(100.0), total).alias("delayed_pct")))
 
 
-def start_running(df: DataFrame, name: str, output_mode: str = "complete",
-                  fmt: str = "memory", path: str | None = None,
-                  checkpoint_location: str | None = None) -> StreamingQuery:
-    """Start a running analysis.  Its state and progress log go to
-    ``checkpoint_location`` or, by default, a fresh folder under the shared
-    ``spark.checkpoint.dir`` (never a machine-local temp folder), so a
-    restarted query resumes where it stopped.  State is one row per key."""
-    loc = checkpoint_location or scratch_path(df.sparkSession, f"stream-{name}")
+def start_running(df: DataFrame, name: str, fmt: str, checkpoint_location: str,
+                  output_mode: str = "complete", path: str | None = None) -> StreamingQuery:
+    """Start a running analysis into a sink of format ``fmt``.  Its state and
+    progress log go to ``checkpoint_location``, a folder all executors share; a
+    query started again with the same one resumes where it stopped.  State is
+    one row per key."""
     w = (df.writeStream.outputMode(output_mode).format(fmt).queryName(name)
-         .option("checkpointLocation", loc))
+         .option("checkpointLocation", checkpoint_location))
     if path:
         w = w.option("path", path)
     return w.start()

@@ -4,11 +4,12 @@ import pytest
 
 import __spark_entry__ as entry_mod
 from oracle_check import compare, duck_connect
+from runway import catalog, oracle
 
 from conftest import SF_ORACLE, SF_SMALL
 
-QUERIES = entry_mod.queries()
-SQL = entry_mod.oracle_sql()
+QUERIES = {k: v for k, v in entry_mod.queries().items() if k in catalog.QUERIES}
+SQL = {k: v for k, v in entry_mod.oracle_sql().items() if k in oracle.QUERIES}
 
 
 @pytest.fixture(scope="module")

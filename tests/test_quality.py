@@ -146,7 +146,7 @@ def test_bounded_join_checks_bytes_too(spark):
     from runway.operators.joins import join_bounded, row_bytes
     big = spark.range(100).select((F.col("id") % 10).alias("k"))
     small = spark.range(10).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 50).alias("s"))
-    assert small.select(row_bytes(small).alias("b")).first().b == 8 + 8 + 50
+    assert small.select(row_bytes(small).alias("b")).first().b == 40 + 8 + 2 * 8 + 57  # entry, null bits, fields, text in words
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only our hint broadcasts
     try:
@@ -169,3 +169,17 @@ def test_profiles_quote_odd_column_names(spark):
     assert null_pct(df).first()["x`y"] == 50.0
     prof = {r.column_name: (r.data_type, r.non_null) for r in column_profile(df).collect()}
     assert prof == {"a b": ("string", 2), "x`y": ("string", 1), "it's": ("double", 1)}
+
+
+def test_verdict_edge_cases(spark):
+    from runway.operators.aggregates import argmax_by_group
+    from runway.operators.quality import column_profile, drop_null_rows
+    from runway.plans.series import binned_counts
+    df = spark.createDataFrame([("a", 1, 1.0), ("a", 2, float("nan")), ("a", 3, None)], "k string, item int, x double")
+    assert {r.column_name: r.non_null for r in column_profile(df).collect()}["x"] == 1
+    assert drop_null_rows(df, []).count() == 3 and drop_null_rows(df).count() in (1, 2)
+    scored = spark.createDataFrame([("a", 7, None), ("a", 9, 3), ("b", 1, None)], "k string, item int, score int")
+    assert {r.k: r.item for r in argmax_by_group(scored, "k", "item", "score").collect()} == {"a": 9, "b": 1}
+    bins = {r.bin: r["count"] for r in binned_counts(spark.createDataFrame(
+        [(v,) for v in (0.0, 0.5, 10.0, float("nan"), None)], "v double"), ["v"], 10).collect()}
+    assert bins == {1: 2, 10: 1, None: 2}

@@ -40,3 +40,35 @@ def test_store_partitioned_round_trip(spark):
     store_partitioned(trips, path, partition_by=("year",), max_records_per_file=500)
     back = load_stored(spark, path)
     assert frames_equal(back.select(*trips.columns), trips)
+
+
+def test_store_makes_few_files(spark):
+    import os
+    df = spark.range(0, 20_000, numPartitions=20).selectExpr("id", "id % 40 AS part")
+    path = scratch_path(spark, "few-files")
+    store_partitioned(df, path, partition_by=("part",))
+    files = [f for _, _, names in os.walk(path.removeprefix("file:")) for f in names if f.startswith("part-")]
+    assert 40 <= len(files) <= 80
+
+
+def test_csv_by_header_name(spark):
+    import pytest
+
+    from runway.sources.csv import read_flights, unparsed_counts
+    from runway.sources.schemas import FLIGHTS
+    from runway import catalog
+    raw = catalog.raw_flights(spark, SF_SMALL)
+    path = scratch_path(spark, "reordered")
+    odd = raw.select(F.lit("x").alias("more"), *reversed(raw.columns)).withColumn(
+        "dep_time", F.when(F.col("flight") % 2 == 0, F.concat(F.col("dep_time").cast("string"), F.lit(".0")))
+        .otherwise(F.col("dep_time").cast("string")))
+    write_table(odd, path, "csv", null_value="NA")
+    assert frames_equal(read_flights(spark, path), raw.select(*FLIGHTS.names))
+    assert set(unparsed_counts(spark, path, FLIGHTS).first()) == {0}
+    bad = scratch_path(spark, "bad")
+    write_table(odd.withColumn("dep_time", F.lit("soon")), bad, "csv", null_value="NA")
+    assert unparsed_counts(spark, bad, FLIGHTS).first()["dep_time"] == raw.count()
+    short = scratch_path(spark, "short")
+    write_table(odd.drop("carrier"), short, "csv", null_value="NA")
+    with pytest.raises(ValueError, match="carrier"):
+        read_flights(spark, short)

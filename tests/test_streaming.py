@@ -24,8 +24,8 @@ def test_stream_matches_batch(spark):
     write_table(raw.where(F.col("flight") % 2 == 1), src + "/part-b", "csv", null_value="NA")
     stream = read_flight_stream(spark, src + "/*", max_files_per_trigger=2)
     name_r, name_s = f"routes_{uuid.uuid4().hex}", f"share_{uuid.uuid4().hex}"
-    q1 = start_running(running_route_counts(stream), name_r)
-    q2 = start_running(running_delayed_share(stream), name_s)
+    q1 = start_running(running_route_counts(stream), name_r, "memory", scratch_path(spark, name_r))
+    q2 = start_running(running_delayed_share(stream), name_s, "memory", scratch_path(spark, name_s))
     try:
         q1.processAllAvailable()
         q2.processAllAvailable()
@@ -48,7 +48,8 @@ def test_stream_hourly_counts_match_batch(spark):
     raw = catalog.raw_flights(spark, SF_SMALL)
     write_table(raw, src, "csv", null_value="NA")
     name = f"hours_{uuid.uuid4().hex}"
-    q = start_running(running_hourly_counts(read_flight_stream(spark, src), "origin"), name)
+    q = start_running(running_hourly_counts(read_flight_stream(spark, src), "origin"), name, "memory",
+                      scratch_path(spark, name))
     try:
         q.processAllAvailable()
         flown = enrich_flights(raw.na.drop(subset=["dep_time", "arr_time", "tailnum"]))
