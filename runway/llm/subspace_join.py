@@ -26,9 +26,10 @@ from .workers import ship
 #: Dimensions of a block, and most grid coordinates of a cell key.
 BLOCK_DIMS = 8
 MOST_GRID_DIMS = 5
-#: Vectors of a cell from which it is split, and most cells that are split
+#: Vectors of a cell from which it is split (a vector is copied once per part
+#: it meets, so small parts cost more copies), and most cells that are split
 #: (beyond that the first number is doubled until they are few enough).
-CELL_ROWS = 1024
+CELL_ROWS = 4096
 MOST_SPLIT_CELLS = 200_000
 #: Rows compared at a time, and candidate pairs checked at a time.
 TILE = 1024
@@ -201,7 +202,10 @@ def _join_cell(width: int, cosine: float, grid_dims: int, seed: int):
         norm = (part * part).sum(axis=1)
         rep, same = pdf["rep"].to_numpy(), pdf["same"].to_numpy()
         guest = role == _GUEST
-        links_i, links_j = [], []
+        # a vector that both builds and probes a split group has two rows here
+        ids, at = np.unique(rep, return_inverse=True)
+        weight, n_links, root = np.zeros(len(ids), np.int64), np.zeros(len(ids)), np.arange(len(ids))
+        weight[at] = same
         for s in range(0, len(build), TILE):
             x = build[s:s + TILE]
             for t in range(0, len(probe), TILE):
@@ -209,6 +213,7 @@ def _join_cell(width: int, cosine: float, grid_dims: int, seed: int):
                 near = norm[x][:, None] + norm[y][None, :] - 2 * (part[x] @ part[y].T) <= blocks.budget[b] + 1e-9
                 near &= guest[y][None, :] | (rep[x][:, None] < rep[y][None, :])
                 p, q = np.nonzero(near)
+                links_i, links_j = [at[:0]], [at[:0]]
                 for c in range(0, len(p), CHECKED):
                     i, j = x[p[c:c + CHECKED]], y[q[c:c + CHECKED]]
                     hit = np.einsum("ij,ij->i", unit[i], unit[j]) >= cosine
@@ -216,18 +221,16 @@ def _join_cell(width: int, cosine: float, grid_dims: int, seed: int):
                     apart = np.add.reduceat((turned[i] - turned[j]) ** 2, blocks.edges[:-1], axis=1)
                     within = apart <= blocks.budget
                     first = within[:, b] & ~within[:, :b].any(axis=1)
-                    links_i.append(i[first])
-                    links_j.append(j[first])
-        i = np.concatenate(links_i) if links_i else np.zeros(0, np.int64)
-        j = np.concatenate(links_j) if links_j else np.zeros(0, np.int64)
-        # a vector that both builds and probes a split group has two rows here
-        ids, at = np.unique(rep, return_inverse=True)
-        i, j, weight = at[i], at[j], np.zeros(len(ids), np.int64)
-        weight[at] = same
-        n_links = np.bincount(i, weight[j], len(ids)) + np.bincount(j, weight[i], len(ids))
+                    links_i.append(at[i[first]])
+                    links_j.append(at[j[first]])
+                # of the links of a tile only degrees and roots are held
+                i, j = np.concatenate(links_i), np.concatenate(links_j)
+                if len(i):
+                    n_links += np.bincount(i, weight[j], len(ids)) + np.bincount(j, weight[i], len(ids))
+                    root = _roots(len(ids), np.r_[i, np.arange(len(ids))], np.r_[j, root])
         hit = np.flatnonzero(n_links)
         return pd.DataFrame({"rep": ids[hit], "n_links": n_links[hit].astype(np.int64),
-                             "root": ids[_roots(len(ids), i, j)[hit]]})
+                             "root": ids[root[hit]]})
     return run
 
 

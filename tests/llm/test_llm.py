@@ -61,8 +61,11 @@ def test_empty_tables(spark, empty):
         assert out.collect() == []
 
 
-def test_subspace_join_brute_force(spark):
+@pytest.mark.parametrize("cell_rows", [4096, 300])
+def test_subspace_join_brute_force(spark, monkeypatch, cell_rows):
+    from runway.llm import subspace_join
     from runway.llm.subspace_join import subspace_components
+    monkeypatch.setattr(subspace_join, "CELL_ROWS", cell_rows)
     rng = np.random.default_rng(0)
     base = rng.standard_normal((30, 16)).astype(np.float32)
     group = base[:1] + 0.12 * rng.standard_normal((1300, 16)).astype(np.float32)
