@@ -1,5 +1,9 @@
 """Known licence texts and notices (public texts)."""
 
+from __future__ import annotations
+
+from pathlib import Path
+
 # One-line notices by SPDX identifier.
 NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -97,3 +101,37 @@ not required.
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 3. This notice may not be removed or altered from any source distribution."""),
 )
+
+# SPDX identifier lines that NOTICES does not have.
+MORE_NOTICES = tuple((spdx.removesuffix("-only"), f"SPDX-License-Identifier: {spdx}") for spdx in """
+0BSD BSL-1.0 CC0-1.0 ISC Unlicense Zlib CC-BY-4.0 CC-BY-SA-4.0 CC-BY-NC-4.0 CC-BY-ND-4.0 CC-BY-NC-SA-4.0 CC-BY-NC-ND-4.0
+GPL-2.0 GPL-2.0-only GPL-2.0-or-later GPL-3.0 GPL-3.0-only GPL-3.0-or-later LGPL-2.1 LGPL-2.1-only LGPL-2.1-or-later
+LGPL-3.0 LGPL-3.0-only LGPL-3.0-or-later AGPL-3.0 AGPL-3.0-only AGPL-3.0-or-later""".split())
+
+# Titles that a copy may carry or lack.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "MIT", "Expat License"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)", "ISC"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "0BSD"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "Simplified BSD License", "FreeBSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "New BSD License", "Modified BSD License", "BSD License"),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng License"),
+    "Unlicense": ("The Unlicense", "Unlicense"),
+    "CC0-1.0": ("Creative Commons Legal Code",),
+}
+_END = "END OF TERMS AND CONDITIONS"
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """(licence, text) of every known whole text: TEXTS and the files of
+    ``licenses``, under each title and under none, and with and without what
+    follows the terms (how to apply them)."""
+    out = []
+    files = [(p.stem, p.read_text()) for p in sorted((Path(__file__).parent / "licenses").glob("*.txt"))]
+    for spdx, text in [*TEXTS, *files]:
+        for title in TITLES.get(spdx, ()):
+            text = text.strip().removeprefix(title).strip()
+        terms = text.partition(_END)[0] if _END in text else text
+        for body in dict.fromkeys((text, terms, terms + _END if _END in text else text)):
+            out += [(spdx, f"{title}\n\n{body}") for title in ("", *TITLES.get(spdx, ()))]
+    return out
