@@ -1,7 +1,7 @@
 """HTML extraction by two-pass block rules.
 
-Pass one decides blocks by where they stand, their link density, their length
-and their density of stop words; pass two gives blocks that are too short to
+Pass one decides blocks by their link density, their length and their density of
+stop words, with where they stand (page furniture, main element) as a prior; pass two gives blocks that are too short to
 judge the label of their nearest decided neighbours.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,6 +41,8 @@ al como con del el ella las lo los no para por se su una y""".split())
 #: Lengths (characters) and densities of the block rules.
 SHORT, LONG = 70, 200
 LINK_DENSITY, STOP_DENSITY = 0.5, 0.25
+#: Inside the main element fewer stop words are enough.
+MAIN_STOP_DENSITY = 0.15
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*+|[^>]*)>|<[!?][^>]*>|<[a-zA-Z/!?][^>]*\Z""",
                   re.S)
@@ -49,29 +52,32 @@ _WORD = re.compile(r"[^\W\d_]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])|[^A-Za-z]+")
 
 GOOD, BAD, OPEN = 1, -1, 0
+#: How sure it is that an element is page furniture: a weak name, a name, its kind.
+NO, WEAK, NAMED, SURE = range(4)
 
 
-def _is_furniture(tag: str, attrs: str, in_main: bool) -> bool:
+def _furniture(tag: str, attrs: str, in_main: bool) -> int:
     if tag in FURNITURE_TAGS or (tag == "header" and not in_main):
-        return True
+        return SURE
     if not attrs or tag in ("html", "body"):
-        return False
+        return NO
     if _HIDDEN.search(attrs):
-        return True
+        return SURE
     for value in _LABELS.findall(attrs):
         for word in _CAMEL.split("".join(value)):
             word = word.lower()
             if word in FURNITURE_WORDS and not (tag in MAIN_TAGS and word != "comment"):
-                return True
+                return SURE
             if word in HEADER_WORDS and not in_main and tag not in MAIN_TAGS:
-                return True
-    return False
+                return SURE
+    return NO
 
 
-def blocks(page: str) -> Iterator[tuple[str, int, bool, bool]]:
-    """(text, characters inside links, stands in page furniture, stands in the
-    main element) for each block of text, in page order."""
-    stack: list[tuple[str, bool, bool]] = [("", False, False)]
+def blocks(page: str) -> Iterator[tuple[str, int, int, bool, int]]:
+    """(text, characters inside links, page furniture or not, stands in the main
+    element, what an element around the main element says of it) for each block
+    of text, in page order."""
+    stack: list[tuple[str, int, bool, int]] = [("", NO, False, NO)]
     parts: list[str] = []
     linked, links, at = 0, 0, 0
 
@@ -80,7 +86,7 @@ def blocks(page: str) -> Iterator[tuple[str, int, bool, bool]]:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         chars, linked = linked, 0
-        return (text, chars, stack[-1][1], stack[-1][2]) if text else None
+        return (text, chars, *stack[-1][1:]) if text else None
 
     while at < len(page):
         m = _TAG.search(page, at)
@@ -124,48 +130,67 @@ def blocks(page: str) -> Iterator[tuple[str, int, bool, bool]]:
                 stack.pop()
             if tag == "li" and stack[-1][0] == "li":
                 stack.pop()
-            _, furniture, main = stack[-1]
-            mine = _is_furniture(tag, m[3] or "", main)
+            _, furniture, main, around = stack[-1]
+            mine = _furniture(tag, m[3] or "", main)
+            if tag in MAIN_TAGS and not main and furniture < SURE:
+                around, furniture = NO if tag == "main" else furniture, NO
             if tag in BLOCK_TAGS or mine:
                 if mine and tag not in BLOCK_TAGS:
                     block = flush()
                     if block:
                         yield block
-                stack.append((tag, furniture or mine, main or tag in MAIN_TAGS))
+                stack.append((tag, max(furniture, mine), main or tag in MAIN_TAGS, around))
     block = flush()
     if block:
         yield block
 
 
-def label(found: list[tuple[str, int, bool, bool]]) -> list[int]:
+def label(found: list[tuple[str, int, int, bool, int]]) -> list[int]:
     """GOOD or BAD for each block."""
-    has_main = any(main and not furniture for _, _, furniture, main in found)
+    labels = _label([(t, linked, max(level, around), main) for t, linked, level, main, around in found])
+    if GOOD not in labels and any(b[4] for b in found):  # that element stands around the whole page
+        labels = _label([b[:4] for b in found])
+    return labels
+
+
+def _label(found: list[tuple[str, int, int, bool]]) -> list[int]:
+    inside = sum(len(t) for t, linked, level, main in found if main and level < NAMED and linked <= LINK_DENSITY * len(t))
+    outside = sum(len(t) for t, linked, level, main in found if not main and not level and linked <= LINK_DENSITY * len(t))
+    # the main element speaks for its blocks, and against others, if it has most of the text
+    has_main = 0 < inside >= outside
     labels = []
-    for text, linked, furniture, main in found:
+    for text, linked, level, main in found:
         words = _WORD.findall(text.lower())
         stops = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
-        if furniture or linked > LINK_DENSITY * len(text) or (has_main and not main):
+        likely, unlikely = has_main and main and not level, level == WEAK or (has_main and not main)
+        if level >= NAMED or linked > LINK_DENSITY * len(text):
             labels.append(BAD)
-        elif main:
-            labels.append(GOOD)
         elif len(text) < SHORT:
-            labels.append(BAD if linked else OPEN)
-        elif stops >= STOP_DENSITY or len(text) >= LONG:
+            labels.append(BAD if level or (linked and not likely) else OPEN)
+        elif stops >= (MAIN_STOP_DENSITY if likely else STOP_DENSITY) or (len(text) >= LONG and not unlikely):
             labels.append(GOOD)
         else:
             labels.append(OPEN)
-    # blocks of the page's own furniture say nothing about their neighbours
-    judged = [k for k, b in enumerate(found) if not b[2]]
-    decided = [k for k in judged if labels[k] != OPEN]
+    # blocks of the page's own furniture say nothing about their neighbours, nor
+    # do blocks inside the main element about those outside
     out = list(labels)
-    for k in judged:
-        if labels[k] == OPEN:
-            before = max((d for d in decided if d < k), default=None)
-            after = min((d for d in decided if d > k), default=None)
+    sides = groupby((k for k, b in enumerate(found) if b[2] < NAMED), lambda k: found[k][3] or not has_main)
+    for side, run in sides:
+        judged = list(run)
+        follows, after = {}, None
+        for k in reversed(judged):
+            follows[k] = after
+            after = k if labels[k] != OPEN else after
+        before = None
+        for k in judged:
+            if labels[k] != OPEN:
+                before = k
+                continue
+            after = follows[k]
             near = [labels[d] for d in (before, after) if d is not None]
             if len(set(near)) > 1:  # they disagree: the nearer, then the one that follows
                 near = [labels[after] if after - k <= k - before else labels[before]]
-            out[k] = near[0] if near else GOOD
+            out[k] = near[0] if near else GOOD if side else BAD
     return out
 
 
