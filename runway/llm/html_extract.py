@@ -7,6 +7,7 @@ judge the label of their nearest decided neighbours.
 
 from __future__ import annotations
 
+import functools
 import html
 import re
 from collections.abc import Iterator
@@ -33,6 +34,14 @@ footer gdpr legal login masthead menu menubar modal nav navbar navigation newsle
 pager pagination popup promo promotion recommended related replies reply respond responses search share
 sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget""".split())
 HEADER_WORDS = frozenset("header topbar".split())
+# names that text may have too: such blocks are judged by their densities, at a higher bar
+WEAK_WORDS = frozenset("""alert comment complementary copyright discussion disclaimer legal notice notices related replies
+reply respond responses search share sharing skip social""".split())
+# words behind the name itself, words of layouts, and words that make a name a state
+GENERIC_WORDS = frozenset("""area articles bar block body bottom box btn button buttons container content form group header
+icons inner items left links list panel posts primary right row secondary section stories text top wrap wrapper""".split())
+LAYOUT_WORDS = frozenset("article content layout main page site".split())
+STATE_WORDS = frozenset("has hide is no not show with without".split())
 STOP_WORDS = frozenset("""a and are as at be by for from have he in is it of on that the this to was were with you
 au dans de des du en est et il la le les ne pas pour que qui sur un une
 auf das dem den der die ein eine er es im ist mit nicht sich sie und von zu
@@ -46,8 +55,8 @@ MAIN_STOP_DENSITY = 0.15
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*+|[^>]*)>|<[!?][^>]*>|<[a-zA-Z/!?][^>]*\Z""",
                   re.S)
-_LABELS = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTR = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])|[^A-Za-z]+")
 
@@ -56,21 +65,47 @@ GOOD, BAD, OPEN = 1, -1, 0
 NO, WEAK, NAMED, SURE = range(4)
 
 
+@functools.lru_cache(maxsize=4096)
+def _named(token: str, header: bool) -> int:
+    """What a class, id or role says: its words count as a whole or by the last
+    (behind words like ``wrapper``), not as any part of it."""
+    words = [w.lower() for w in _CAMEL.split(token) if w]
+    known = FURNITURE_WORDS | HEADER_WORDS if header else FURNITURE_WORDS
+    if not words or words[0] in STATE_WORDS:
+        return NO
+    name = list(words)
+    if not all(w in known for w in name):
+        while len(name) > 1 and name[-1] in GENERIC_WORDS and name[-1] not in known:
+            name.pop()
+        if name != words and not LAYOUT_WORDS.isdisjoint(name):
+            return NO
+    if all(w in known for w in name):
+        return WEAK if all(w in WEAK_WORDS for w in name) else NAMED
+    if name[-1] in known and name[-1] not in WEAK_WORDS and name[-2] not in STATE_WORDS:
+        return NAMED
+    return NO
+
+
 def _furniture(tag: str, attrs: str, in_main: bool) -> int:
+    if tag == "form":  # some pages stand in one form as a whole
+        return NAMED
     if tag in FURNITURE_TAGS or (tag == "header" and not in_main):
         return SURE
     if not attrs or tag in ("html", "body"):
         return NO
-    if _HIDDEN.search(attrs):
-        return SURE
-    for value in _LABELS.findall(attrs):
-        for word in _CAMEL.split("".join(value)):
-            word = word.lower()
-            if word in FURNITURE_WORDS and not (tag in MAIN_TAGS and word != "comment"):
-                return SURE
-            if word in HEADER_WORDS and not in_main and tag not in MAIN_TAGS:
-                return SURE
-    return NO
+    level = NO
+    for name, *values in _ATTR.findall(attrs):
+        name, value = name.lower(), "".join(values)
+        if name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true") or (
+                name == "style" and _NOT_SHOWN.search(value)):
+            return SURE
+        if name in ("class", "id", "role"):
+            for token in value.split():
+                if tag not in MAIN_TAGS:
+                    level = max(level, _named(token, not in_main))
+                elif "comment" in (w.lower() for w in _CAMEL.split(token)):
+                    level = NAMED
+    return level
 
 
 def blocks(page: str) -> Iterator[tuple[str, int, int, bool, int]]:
