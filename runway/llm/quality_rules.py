@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 
-#: Fixed phrases of page furniture (matched without regard to case in lines
-#: of at most MAX_FURNITURE_CHARS characters).
+#: Fixed phrases of page furniture (matched as whole words without regard to case,
+#: in lines of at most MAX_FURNITURE_CHARS characters).
 FURNITURE = (
     "all rights reserved", "accept cookies", "cookie policy", "cookie settings",
     "click here", "enable javascript", "privacy policy", "read more", "sign up",
@@ -25,6 +25,10 @@ MAX_FURNITURE_CHARS = 200
 LONG_LINE = 300
 SEPARATORS = "|»›•·"
 
+#: Marks of any script that close or divide sentences, and letters of scripts that go without.
+_PUNCTUATION = r"[.,;:!?]|[\\p{P}&&[^\\x00-\\x7F]]"
+_UNMARKED = r"[\\x{0E00}-\\x{0EFF}]"
+_PHRASES = rf"(?<![\\p{{L}}\\p{{N}}])(?:{'|'.join(FURNITURE)})(?![\\p{{L}}\\p{{N}}])"
 _MARK = "[#*$%&|<>]"
 _WORDS = r"array_remove(split(%s, '[\\x20\\x09-\\x0D]+'), '')"
 
@@ -42,8 +46,9 @@ def line_fails(line: str, suspect: str = "true") -> str:
       every three words or more;
     * punctuation: symbols are more than a tenth of its non-blank characters,
       or doubled ``!!``/``??`` follow more than a fifth of its words (3 at least),
-      or LONG_LINE characters or more have no punctuation at all;
-    * boilerplate: a short line with one of FURNITURE's phrases.
+      or LONG_LINE characters or more have no punctuation of any script at all (and
+      are not Thai or Lao for the most part, which need none);
+    * boilerplate: a short line most of whose letters and digits are FURNITURE's phrases.
 
     A line without a word passes.  ``suspect`` is a condition on the whole text
     without which the first two kinds cannot occur."""
@@ -53,11 +58,15 @@ def line_fails(line: str, suspect: str = "true") -> str:
     doubled = (f"((2 * length({line}) - length(replace({line}, '!!', ''))"
                f" - length(replace({line}, '??', ''))) div 2)")
     phrases = " or ".join(f"contains(lower({line}), '{p}')" for p in FURNITURE)
+    letters = r"length(regexp_replace(%s, '[^\\p{L}\\p{N}]', ''))"
+    rest = f"regexp_replace(lower({line}), '{_PHRASES}', '')"
     return (f"(({suspect} and (10 * regexp_count({line}, '{_MARK}') > {solid}"
             f" or ({seps} >= 3 and 3 * {seps} >= {n})))"
             f" or ({suspect} and {doubled} >= 3 and 5 * {doubled} > {n})"
-            f" or (length({line}) >= {LONG_LINE} and not ({line} rlike '[.,;:!?]'))"
-            f" or (length({line}) <= {MAX_FURNITURE_CHARS} and ({phrases})))")
+            f" or (length({line}) >= {LONG_LINE} and not ({line} rlike '{_PUNCTUATION}')"
+            f" and 2 * regexp_count({line}, '{_UNMARKED}') < length({line}))"
+            f" or (length({line}) <= {MAX_FURNITURE_CHARS} and ({phrases})"
+            f" and 2 * {letters % rest} < {letters % line}))")
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
