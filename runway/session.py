@@ -9,6 +9,8 @@ from __future__ import annotations
 import atexit
 import os
 import uuid
+import warnings
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,11 +79,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def _remove(spark: SparkSession, path: str) -> None:
+    """Remove scratch data when the driver ends; a failure is said, not hidden."""
+    sc = spark.sparkContext
+    if sc._jsc is None or sc._jsc.sc().isStopped():  # nothing left to remove it with
+        return
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
     try:
-        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    except Exception:  # the session is gone already
-        pass
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception as e:
+        warnings.warn(f"scratch data stays at {path}: {type(e).__name__}")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -97,3 +103,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, keys: Sequence[str], name: str, buckets: int | None = None,
+             compression: str = "zstd") -> DataFrame:
+    """``df`` computed once: a table bucketed and sorted by ``keys`` in the
+    shared folder.
+
+    One shuffle deals the rows; joins and aggregates on ``keys`` after it read
+    the buckets as they lie, without another exchange of this side.  Each task
+    writes one file, as the shuffle deals by the same hash as the buckets.
+    ``buckets`` is the session's number of shuffle partitions if not given.
+    The table is the session's own (a fresh name) and its files are removed
+    when the driver ends.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"runway_{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    (df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).option("compression", compression)
+       .option("path", scratch_path(spark, name)).saveAsTable(table))
+    return spark.table(table)
