@@ -22,6 +22,7 @@ from .periodic_runs import periodic_runs, strongest
 from .quality_classifier import score_quality
 from .quality_rules import quality_rules
 from .subspace_join import subspace_components
+from .suffix_dedup import suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +78,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", F.expr("aggregate(spans, 0L, (n, s) -> n + s.length)").alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def planted_periods(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, text): every tenth document, by checksum of its id, repeats a
     stretch of its words up to the end.  A null id is left as it is."""
@@ -124,4 +131,4 @@ def op13_nra_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_subspace_pigeonhole, op2_line_dedup, op3_ngram_jaccard, op4_quality_classifier, op5_interleaved_shards,
-        op6_best_fit_packing, op7_html_extraction, op8_mix_sources, op9_quality_rules, op10_license_scan, op12_periodic_runs, op13_nra_search)}
+        op6_best_fit_packing, op7_html_extraction, op8_mix_sources, op9_quality_rules, op10_license_scan, op11_suffix_dedup, op12_periodic_runs, op13_nra_search)}
