@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DecimalType, MapType, StringType, StructType
 
-from ..session import written
+from ..session import written, written_with
 
 #: Bounds a checked side must stay within to be broadcast: rows, and bytes of
 #: its rows as Spark holds them, far below ``spark.sql.maxBroadcastTableSize``.
@@ -51,11 +50,8 @@ def join_bounded(big: DataFrame, small: DataFrame, on: Sequence[str] | str,
     """
     max_rows = DEFAULT_MAX_BROADCAST_ROWS if max_rows is None else max_rows
     max_bytes = DEFAULT_MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
-    obs = Observation(f"bounded_side_{uuid.uuid4().hex}")
-    side = written(small.observe(obs, F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(small)).alias("bytes")),
-                   "bounded-side")
-    seen = obs.get
-    fits = seen["rows"] <= max_rows and (seen["bytes"] or 0) <= max_bytes
+    side, seen = written_with(small, "bounded-side", rows=F.count(F.lit(1)), bytes=F.sum(row_bytes(small)))
+    fits = (seen["rows"] or 0) <= max_rows and (seen["bytes"] or 0) <= max_bytes
     side = F.broadcast(side) if fits else side
     return big.join(side, list(on) if not isinstance(on, str) else on, how)
 

@@ -10,9 +10,11 @@ import atexit
 import os
 import uuid
 import warnings
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 #: Settings every session gets from :func:`build_session`.  AQE re-plans
 #: joins from runtime sizes, coalesces small shuffle partitions and splits
@@ -90,14 +92,34 @@ def _remove(spark: SparkSession, path: str) -> None:
         warnings.warn(f"scratch data stays at {path}: {type(e).__name__}")
 
 
+#: Paths handed out within each open :func:`scratch_scope`, innermost last.
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder, removed when the session's driver
-    ends.  Nothing is set on the session, so plans do not depend on it."""
+    """A fresh path under the shared folder, removed at the end of the innermost
+    :func:`scratch_scope`, or else when the session's driver ends.  Nothing is
+    set on the session, so plans do not depend on it."""
     path = f"{shared_folder(spark)}/runway-scratch/{name}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, path)
+    if _scopes:
+        _scopes[-1].append(path)
+    else:
+        atexit.register(_remove, spark, path)
     return path
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Frees the intermediate tables made inside when it ends: results of the
+    scope must be written (to a path from outside) by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            _remove(spark, path)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` computed once: Parquet in the shared folder, read back."""
     path = scratch_path(df.sparkSession, name)
@@ -105,6 +127,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_with(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """``written(df)`` and aggregates of its rows that ride on the same job.
+    All measures are null for a table that the optimizer knows to be empty: its
+    observation is planned away."""
+    seen = Observation(f"{name}_{uuid.uuid4().hex}")
+    table = written(df.observe(seen, *[c.alias(k) for k, c in measures.items()]), name)
+    try:
+        return table, seen.get
+    except Py4JJavaError:
+        if table.head(1):
+            raise
+        return table, dict.fromkeys(measures)
+
+
 def bucketed(df: DataFrame, keys: Sequence[str], name: str, buckets: int | None = None,
              compression: str = "zstd") -> DataFrame:
     """``df`` computed once: a table bucketed and sorted by ``keys`` in the
