@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import written
+from .store import written, written_with
 
 
 def _counted(df: DataFrame, name: str, what) -> tuple[DataFrame, int]:
     """``df`` written, and an aggregate of its rows seen by the same job."""
-    obs = Observation(f"{name}_{uuid.uuid4().hex}")
-    table = written(df.observe(obs, what.alias("n")), name)
-    return table, obs.get["n"] or 0
+    table, seen = written_with(df, name, n=what)
+    return table, seen["n"] or 0
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:

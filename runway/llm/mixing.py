@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import join_bounded
 from .ranks import fraction, hash_place, running
 from .store import written
 
@@ -65,6 +66,14 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     (rows with the same id and size are interchangeable).  A source without
     words has target 0.  Other columns are ignored.  An empty table gives none.
     """
+    return _mix(docs, id_col, text_col, source_col, weights, share_pct, cap, seed).select(
+        F.col("__id").alias(id_col), "size", F.col("total").alias("source_size"), "target", "taken",
+        F.col("__source").alias("source"))
+
+
+def _mix(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], share_pct: int,
+         cap: int, seed: int) -> DataFrame:
+    """The narrow rows in their order, with what the mix takes of each."""
     size = F.expr(f"cast(cardinality({_WORDS % '__text'}) as bigint)")
     rows = (docs.select(F.col(id_col).alias("__id"), F.col(source_col).alias("__source"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
@@ -73,10 +82,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = written(rows, "mix-rows")
     placed = running(rows, ["key"], fraction(F.col("place")), ["place", "__id", "size"], F.col("size"), rows.count())
     sizes = written(rows.groupBy("key").agg(F.sum("size").alias("size")), "mix-sources")
-    targets = source_targets(sizes, weights, share_pct, cap).select("key", "target")
-    return _taken(placed, targets).select(
-        F.col("__id").alias(id_col), "size", F.col("total").alias("source_size"), "target", "taken",
-        F.col("__source").alias("source"))
+    return _taken(placed, source_targets(sizes, weights, share_pct, cap).select("key", "target"))
 
 
 def _taken(placed: DataFrame, targets: DataFrame) -> DataFrame:
@@ -91,18 +97,36 @@ def _taken(placed: DataFrame, targets: DataFrame) -> DataFrame:
     full = F.when(F.col("total") > 0, F.floor(budget / F.col("total"))).otherwise(F.lit(0)).cast("long")
     rest = budget - full * F.col("total")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before")))
-    return placed.withColumn("taken", (full * F.col("size") + part).cast("long"))
+    return placed.withColumns({"passes": full, "taken": (full * F.col("size") + part).cast("long")})
 
 
-def mixed_documents(docs: DataFrame, **params) -> DataFrame:
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share_pct: int = 150, cap: int = 2,
+                    seed: int = 17) -> DataFrame:
     """The mix as documents: every document as often as its share of taken
     words says (taken / size, rounded half up), whole; columns as in ``docs``.
-    Rows with a null id, whose shares cannot be told apart, come once each."""
-    mix = mix_sources(docs, **params)
-    times = (mix.where("doc_id is not null and size > 0")
-             .groupBy("doc_id").agg((F.sum("taken") / F.sum("size")).alias("__share"))
-             .select("doc_id", F.floor(F.col("__share") + 0.5).cast("int").alias("__times")))
-    out = (docs.join(written(times, "mix-times"), "doc_id", "left")
-           .withColumn("__times", F.when(F.col("doc_id").isNull(), F.lit(1)).otherwise(F.coalesce("__times", F.lit(0))))
-           .where("__times > 0"))
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__times"))).select(*docs.columns)
+
+    Each source is cut at one place of its order: documents ahead of it come once
+    more than those behind, the one at the cut if at least half of it is taken.
+    So a source is one row (whole passes, place, id and share at the cut) and
+    documents are compared with their source's row: no text is shuffled while
+    these rows fit a checked broadcast.
+
+    Documents without words are left out.  Rows with a null id, whose places
+    cannot be told apart, come once each; rows of one id and source are taken
+    alike.  Columns of ``docs`` may have any names besides; an empty table gives none.
+    """
+    mix = written(_mix(docs, "doc_id", "text", "source", weights, share_pct, cap, seed)
+                  .select("key", "place", "__id", "size", "passes", "taken"), "mix-taken")
+    # the first row of the order that is not taken once more in whole
+    at = F.min(F.when((F.col("size") > 0) & (F.col("taken") < (F.col("passes") + 1) * F.col("size")), F.struct(
+        "place", F.col("__id").alias("id"),
+        (F.col("taken") / F.col("size") - F.col("passes")).alias("share"))))
+    cuts = mix.groupBy("key").agg(F.max("passes").alias("passes"), at.alias("cut"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"))
+    rows = rows.withColumns({"key": source_key(F.col("d.source")), "place": hash_place(F.col("d.doc_id"), seed=seed)})
+    own, cut = F.struct("place", F.col("d.doc_id").alias("id")), F.struct("cut.place", "cut.id")
+    more = F.when(F.col("cut").isNull() | (own < cut), F.lit(1)).when(own == cut, F.floor(F.col("cut.share") + 0.5)).otherwise(0)
+    times = (F.when(F.col("d.doc_id").isNull(), F.lit(1))
+             .when(F.col("d.text").rlike(r"[^\x20\x09-\x0D]"), F.col("passes") + more).otherwise(0))
+    out = join_bounded(rows, cuts.select("key", "passes", "cut"), "key").withColumn("times", times.cast("int")).where("times > 0")
+    return out.withColumn("copy", F.explode(F.sequence(F.lit(1), "times"))).select("d.*")

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.joins import join_bounded
 from .components import components
 from .store import written
 from .textops import mix64, shingle_sets
@@ -433,10 +434,14 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def one_of_each(docs: DataFrame, **params) -> DataFrame:
     """``docs`` with one document of each group of linked ones: the smallest
     id.  Rows that repeat an id count as that document, so one of them stays;
-    rows with a null id all stay.  Columns as in ``docs``."""
+    rows with a null id all stay.  Columns as in ``docs``, whatever their names;
+    an empty table gives none.
+
+    The ids that go are the narrow side: while they fit a checked broadcast no
+    text is shuffled."""
     found = written(ngram_components(docs, **params), "join-result")
-    stay = found.where("doc_id is not null and doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(stay, "doc_id", "left_semi")
+    gone = found.where("doc_id is not null and doc_id <> component_id").select("doc_id").distinct()
+    kept = join_bounded(docs, gone, "doc_id", "left_anti")
     if found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").head(1):
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+        kept = kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+    return kept

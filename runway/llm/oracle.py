@@ -161,6 +161,87 @@ FROM (SELECT doc_id, sha256({_canonical("coalesce(text, '')")}) AS digest FROM d
 LEFT JOIN whole ON d.digest = whole.digest LEFT JOIN found ON d.doc_id = found.doc_id
 """
 
+#: Strings of 100 bytes (as hex), all but the first of equal ones mark their bytes.
+OP11 = """
+WITH d AS (SELECT doc_id, hex(coalesce(text, '')) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+places AS (SELECT doc_id, h, unnest(range(n - 99)) AS i FROM d WHERE n >= 100),
+strings AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS s FROM places),
+later AS (SELECT doc_id, i FROM (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS r FROM strings) WHERE r > 1),
+begun AS (SELECT *, CASE WHEN i <= 100 + lag(i) OVER (PARTITION BY doc_id ORDER BY i) THEN 0 ELSE 1 END AS fresh FROM later),
+spans AS (
+  SELECT doc_id, min(i) AS a, max(i) + 100 AS b
+  FROM (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM begun) GROUP BY doc_id, g),
+gaps AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS x, a AS y, b FROM spans),
+rest AS (
+  SELECT d.doc_id, CAST(sum(b - y) AS BIGINT) AS n_removed, count(*) AS n_spans,
+         string_agg(substr(h, 2 * x + 1, 2 * (y - x)), '' ORDER BY y) || substr(any_value(h), 2 * max(b) + 1) AS kept
+  FROM gaps JOIN d USING (doc_id) GROUP BY d.doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN rest USING (doc_id)
+"""
+
+#: The checksum of an id bit by bit, then runs as islands of equal words q apart.
+OP12 = f"""
+WITH d AS (
+  SELECT doc_id, {_WORDS % "coalesce(text, '')"} AS w,
+         xor(list_reduce(flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+               lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])),
+             lambda x, e: xor(xor(x, e) >> 1, 3988292384 * (xor(x, e) & 1)), CAST(4294967295 AS BIGINT)), 4294967295) AS h
+  FROM documents),
+g AS (SELECT doc_id, w, h % 10 = 0 AND len(w) > 0 AS planted, len(w) AS n, h // 10 AS g FROM d),
+p AS (SELECT *, CASE WHEN planted THEN g % n END AS a,
+             CASE WHEN planted THEN 1 + (n - g % n) // (3 + g % 8) END AS p FROM g),
+words AS (
+  SELECT doc_id, n, i, w[CASE WHEN planted AND i >= a THEN a + (i - a) % p ELSE i END + 1] AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM p)),
+equal AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q FROM words x JOIN words y
+  ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 3 * (y.i - x.i) <= x.n),
+islands AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS g FROM equal) GROUP BY doc_id, q, g),
+runs AS (
+  SELECT doc_id, start, length, min(q) AS period FROM islands
+  WHERE length >= greatest(24, 3 * q) GROUP BY doc_id, start, length),
+best AS (
+  SELECT doc_id, count(*) AS n_runs,
+         first({{'s': start, 'l': length, 'p': period}} ORDER BY length / period DESC, start, period) AS top,
+         sha256(string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period)) AS digest
+  FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS rest
+         FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, top.s AS start, top.l AS length, top.p AS period,
+       1000 * top.l // top.p AS exponent_milli, coalesce(digest, sha256('')) AS runs_sha256,
+       sha256(coalesce(rest, '')) AS collapsed_sha256
+FROM d LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+_TERMS = r"regexp_extract_all(%s, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')" % (_LOWER % "coalesce(text, '')")
+
+OP13 = f"""
+WITH words AS (SELECT doc_id, unnest({_TERMS}) AS t FROM documents),
+sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+norms AS (SELECT doc_id, 50 + (50 * n * docs) // terms AS m FROM sizes, totals),
+asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS t FROM benchmark),
+postings AS (SELECT t, doc_id, count(*) AS tf FROM words WHERE t IN (SELECT t FROM asked) GROUP BY t, doc_id),
+weights AS (
+  SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT t, count(*) AS df FROM postings GROUP BY t), totals),
+impacts AS (
+  SELECT t, doc_id, w * ((1000000000 * tf) // (1000 * tf + 20 * m)) AS impact
+  FROM postings JOIN weights USING (t) JOIN norms USING (doc_id)),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(impact) AS BIGINT) AS score FROM asked JOIN impacts USING (t)
+  GROUP BY item_id, doc_id HAVING sum(impact) > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores) WHERE rank <= 50
+"""
+
 QUERIES: dict[str, str] = {
     "op1_subspace_pigeonhole": OP1,
     "op2_line_dedup": OP2,
@@ -168,4 +249,7 @@ QUERIES: dict[str, str] = {
     "op8_mix_sources": OP8,
     "op9_quality_rules": OP9,
     "op10_license_scan": OP10,
+    "op11_suffix_dedup": OP11,
+    "op12_periodic_runs": OP12,
+    "op13_nra_search": OP13,
 }

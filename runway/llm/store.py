@@ -1,48 +1,7 @@
-"""Intermediate tables in the shared folder the cluster names."""
+"""Intermediate tables in the folder that all executors share (the core's)."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
+from ..session import scratch_path, scratch_scope, written, written_with
 
-from pyspark.sql import DataFrame, SparkSession
-
-_own_dir: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir`` (or the one already set on the
-    context).  Only a ``local[...]`` session without one, where one machine is
-    the whole cluster, gets a folder of its own; any other session must name it."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local") or master.startswith("local-cluster"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own_dir:
-        _own_dir[app] = tempfile.mkdtemp(prefix="llm-scratch-")
-    return _own_dir[app]
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    except Exception:  # the session is gone already
-        pass
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` computed once: a Parquet table in the shared folder, read back.
-
-    Lineage is cut there, so a lost executor costs at most the tasks since
-    the table; the table is removed when the driver's session ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm-scratch/{name}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, path)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["scratch_path", "scratch_scope", "written", "written_with"]

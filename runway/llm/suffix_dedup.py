@@ -26,13 +26,12 @@ without an exchange.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import bucketed
@@ -488,12 +487,11 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ship(spark)
     if match < 12:
         raise ValueError("match must be 12 or more")
-    seen = Observation(f"suffix_texts_{uuid.uuid4().hex}")
     rows = docs.select(F.monotonically_increasing_id().alias("row"), docs[id_col].cast("long").alias("given"),
                        F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    texts = bucketed(rows.withColumns({"id": F.coalesce("given", F.lit((1 << 63) - 1)), "version": F.xxhash64("text")})
-                     .observe(seen, F.sum(F.octet_length("text")).alias("n")), ["row"], "suffix-texts")
-    n_bytes = seen.get["n"] or 0
+    texts = bucketed(rows.withColumns({"id": F.coalesce("given", F.lit((1 << 63) - 1)), "version": F.xxhash64("text")}),
+                     ["row"], "suffix-texts")
+    n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     marks, hot_spans = _marked(texts, n_bytes, match, match // 3, hot, None)
     if hot_spans is not None:
         more, _ = _marked(texts, n_bytes, match, match, 1 << 62, written(hot_spans, "suffix-hot"))
