@@ -15,7 +15,7 @@ from runway.llm.mixing import mixed_documents
 from runway.llm.ngram_join import one_of_each
 from runway.llm.quality_rules import keep_good
 from runway.llm.queries import vocabulary_path
-from runway.llm.store import written
+from runway.llm.store import scratch_path, scratch_scope
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +51,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole ``documents`` table."""
+    """All stages over the whole ``documents`` table.  What a stage wrote on its
+    way is freed when its result is there."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = scratch_path(spark, f"stage-{name}")
+        with scratch_scope(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
