@@ -48,12 +48,18 @@ def join_bounded(big: DataFrame, small: DataFrame, on: Sequence[str] | str,
     join, where AQE can still split skewed partitions of the big side.
     The write runs when this function is called.
     """
+    side, fits = measured(small, max_rows, max_bytes)
+    side = F.broadcast(side) if fits else side
+    return big.join(side, list(on) if not isinstance(on, str) else on, how)
+
+
+def measured(small: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
+    """``small`` written to the shared folder, and whether it is within the
+    bounds of a broadcast."""
     max_rows = DEFAULT_MAX_BROADCAST_ROWS if max_rows is None else max_rows
     max_bytes = DEFAULT_MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
     side, seen = written_with(small, "bounded-side", rows=F.count(F.lit(1)), bytes=F.sum(row_bytes(small)))
-    fits = (seen["rows"] or 0) <= max_rows and (seen["bytes"] or 0) <= max_bytes
-    side = F.broadcast(side) if fits else side
-    return big.join(side, list(on) if not isinstance(on, str) else on, how)
+    return side, (seen["rows"] or 0) <= max_rows and (seen["bytes"] or 0) <= max_bytes
 
 
 def join_top_k(big: DataFrame, top: DataFrame, on: Sequence[str], k: int, how: str = "inner") -> DataFrame:

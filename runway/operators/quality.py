@@ -86,6 +86,15 @@ def drop_sparse_columns(df: DataFrame, threshold_pct: float = 70.0) -> DataFrame
     return df.drop(*cols) if cols else df
 
 
+def drop_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Without the named helper columns; a name that is not there is an
+    error, never silently nothing (``drop`` ignores it)."""
+    missing = [n for n in names if n not in df.columns]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} among {', '.join(df.columns)}")
+    return df.drop(*names)
+
+
 def drop_null_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Drop rows missing any value in ``subset`` (all columns if None)."""
     return df.na.drop(how="any", subset=None if subset is None else list(subset)) if subset is None or subset else df
@@ -167,9 +176,41 @@ def distinct_values(df: DataFrame, where: Column | str, cols: Sequence[str]) ->
     return df.where(where).select(*cols).distinct()
 
 
+def frame_difference(a: DataFrame, b: DataFrame) -> DataFrame:
+    """The rows that differ, with ``times``: how often more ``a`` holds the
+    row than ``b`` (negative: less often).  Rows equal as often are left out.
+
+    A signed multiset difference: +1 for each row of ``a``, -1 for each of
+    ``b``, one sum per distinct row.  The sum is a partial aggregate, so a row
+    that a third of a frame repeats is one row per task, and both frames meet in
+    one shuffle.  Nulls equal nulls and NaN equals NaN.  ``b`` needs the columns
+    of ``a`` by name, in any order; a common type is taken as ``unionByName`` does.
+    """
+    if sorted(a.columns) != sorted(b.columns) or "times" in a.columns:
+        raise ValueError(f"cannot compare columns {a.columns} with {b.columns}")
+    both = a.withColumn("times", F.lit(1)).unionByName(b.withColumn("times", F.lit(-1)))
+    return (both.groupBy(*[F.col(_q(c)) for c in a.columns]).agg(F.sum("times").alias("times"))
+            .where("times <> 0"))
+
+
 def frames_equal(a: DataFrame, b: DataFrame) -> bool:
     """Same rows with the same multiplicities (order ignored)."""
-    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    return frame_difference(a, b).isEmpty()
+
+
+def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """One whole row per key: the one with the greatest ``order`` values.
+
+    An aggregate over an ordered struct (``max_by``), not a window: each task
+    keeps one row per key, so a key with a third of all rows is never gathered
+    or sorted in one task.  Null order values come before all others; rows that
+    tie on every one are told apart by their columns in input order, so the
+    choice does not depend on the shuffle.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    row = F.struct(*[F.col(_q(c)) for c in rest])
+    best = df.groupBy(*keys).agg(F.max_by(row, F.struct(*order, row)).alias("__best"))
+    return best.select(*[F.col(_q(c)) if c in keys else F.col(f"__best.{_q(c)}").alias(c) for c in df.columns])
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

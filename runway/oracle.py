@@ -7,6 +7,8 @@ pulls in the ones it needs, in dependency order.
 
 from __future__ import annotations
 
+import re
+
 # -- roles ---------------------------------------------------------------------
 
 _CTE: dict[str, tuple[tuple[str, ...], str]] = {}
@@ -135,6 +137,35 @@ FROM flights f JOIN weather_prep w
 _cte("joined", _JOIN_BODY, "flights", "weather_prep")
 _cte("joined_delayed", _JOIN_BODY + " WHERE f.arr_delay > 0", "flights", "weather_prep")
 
+#: The same roles with the events spread over twelve months.
+_YEAR = "(SELECT * REPLACE (ts + to_months(CAST(event_id % 12 AS INTEGER)) AS ts) FROM events)"
+_SPREAD = {"ev_minutes", "raw_flights", "kept_flights", "clean_flights", "flights", "raw_weather", "weather",
+           "weather_prep", "joined", "joined_delayed"}
+for _name in [n for n in _CTE if n in _SPREAD]:
+    _deps, _sql = _CTE[_name]
+    for _n in sorted(_SPREAD, key=len, reverse=True):
+        _sql = re.sub(rf"\b(FROM|JOIN) {_n}\b", rf"\1 {_n}_year", _sql)
+    _sql = re.sub(r"\bFROM events\b", f"FROM {_YEAR} e", _sql)
+    _cte(f"{_name}_year", _sql, *[f"{n}_year" for n in _deps])
+
+_cte("reports", """
+SELECT day AS date, CAST(hr AS INTEGER) AS hour, origin,
+       strftime(day, '%Y-%m-%d') || ' ' || lpad(CAST(hr AS VARCHAR), 2, '0') || ':00:00' AS hour_sched_dep,
+       station, reported, sqrt(lo) * 10 AS temp, CAST(n * 10 AS DOUBLE) AS wind_dir,
+       CASE WHEN hr % 9 <> 4 THEN CAST(floor(hi) % 25 AS DOUBLE) END AS wind_speed,
+       sqrt(hi) + 1000 AS pressure, CAST(least(n, 10) AS DOUBLE) AS visib
+FROM (SELECT CAST(ts AS DATE) AS day, hour(ts) AS hr, CAST(user_id % 3 AS VARCHAR) AS origin, event_type AS station,
+             count(*) AS n, min(value) AS lo, max(value) AS hi, max(event_id) AS reported
+      FROM events GROUP BY ALL)""")
+_cte("latest", """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY date, origin, hour ORDER BY reported DESC) AS rn FROM reports)
+WHERE rn = 1""", "reports")
+_cte("csv_lines", """
+SELECT *, CASE WHEN flight % 29 = 0 THEN 'n/a' ELSE CAST(dep_time AS VARCHAR) END AS dep_text,
+       CASE WHEN flight % 43 = 0 THEN '12:30' ELSE CAST(sched_arr_time AS VARCHAR) END AS arr_text
+FROM raw_flights""", "raw_flights")
+
 _cte("raw_planes", """
 SELECT 'N' || CAST(p_partkey AS VARCHAR) AS tailnum,
        CAST(p_partkey % 57 + 1956 AS INTEGER) AS manufacturing_year,
@@ -221,6 +252,33 @@ _ENRICHED_COLS = _FLIGHT_COLS + ("year", "month", "day", "sched_dep_ts", "dep_ts
                                  "sched_arr_ts", "arr_ts", "dep_delay", "arr_delay", "hour")
 
 
+_CARRIERS_TOP5_OF_YEAR = _CARRIERS_TOP5.replace(
+    _top_routes("trips", 5), _top_routes("trips", 5, "WHERE year = 1997"))
+
+
+def _weather_join(source: str) -> str:
+    return f"""
+SELECT f.month, f.date, f.origin, f.hour, f.flight, round(f.dep_delay, 4) AS dep_delay,
+       round(f.arr_delay, 4) AS arr_delay, round(w.temp, 4) AS temp, round(w.wind_dir, 4) AS wind_dir,
+       round(w.wind_speed, 4) AS wind_speed, round(w.pressure, 4) AS pressure, round(w.visib, 4) AS visib
+FROM flights f JOIN {source} w ON f.date = w.date AND f.origin = w.origin AND f.hour = w.hour"""
+
+
+_MONTH_MEANS = ("dep_delay", "temp", "wind_dir", "wind_speed", "pressure", "visib")
+
+
+def _monthly(source: str) -> str:
+    return ("SELECT month, " + ", ".join(_r(f"avg({c})", f"avg_{c}") for c in _MONTH_MEANS)
+            + f" FROM {source} GROUP BY month")
+
+
+_MONTHLY_SCOPES = f"""
+SELECT month, count(*) AS trips, {', '.join(_r(f"avg({c})", f"avg_{c}") for c in _MONTH_MEANS)},
+       count(*) FILTER (WHERE arr_delay > 0) AS late_trips,
+       {', '.join(_r(f"avg({c}) FILTER (WHERE arr_delay > 0)", f"late_{c}") for c in _MONTH_MEANS)}
+FROM joined_year GROUP BY month"""
+
+
 def _busiest_hour(by: str) -> str:
     return _with(f"""
 SELECT {by}, hour, count FROM (
@@ -306,6 +364,11 @@ JOIN (SELECT carrier, count(*) AS count2 FROM trips GROUP BY carrier) b ON a.car
     "column_profile": _with(" UNION ALL ".join(
         f"SELECT '{c}' AS column_name, '{t}' AS data_type, count({c}) AS non_null FROM raw_flights"
         for c, t in _PROFILE_TYPES.items()), "raw_flights"),
+    "preview": _with(f"SELECT {_select_r4(_FLIGHT_COLS, _DOUBLE_FLIGHT)} FROM raw_flights ORDER BY flight LIMIT 5",
+                     "raw_flights"),
+    "drop_named_columns": _with(
+        "SELECT " + _select_r4([c for c in _ENRICHED_COLS if not (c.endswith("_time") and c != "air_time")], _ENRICHED_DOUBLES)
+        + " FROM flights", "flights"),
     "drop_null_rows_subset": _with(
         f"SELECT {_select_r4(_FLIGHT_COLS, _DOUBLE_FLIGHT)} FROM kept_flights", "kept_flights"),
     "fill_group_mean": _with(f"""
@@ -372,8 +435,42 @@ SELECT origin, round(pressure, 4) AS pressure, round(humid, 4) AS humid,
 FROM (SELECT DISTINCT origin, pressure, humid, wind_dir
       FROM weather WHERE origin = '0' AND wind_speed = 3.0)""", "weather"),
     "weather_duplicate_keys": _with("""
-SELECT date, origin, hour, count(*) AS n FROM weather_prep
-GROUP BY date, origin, hour HAVING count(*) > 1""", "weather_prep"),
+SELECT date, origin, hour, count(*) AS n FROM reports
+GROUP BY date, origin, hour HAVING count(*) > 1""", "reports"),
+    "weather_latest_report": _with("""
+SELECT date, hour, origin, hour_sched_dep, station, reported, round(temp, 4) AS temp, round(wind_dir, 4) AS wind_dir,
+       round(wind_speed, 4) AS wind_speed, round(pressure, 4) AS pressure, round(visib, 4) AS visib FROM latest""",
+                                   "latest"),
+    "join_weather_reports": _with(_weather_join("reports"), "flights", "reports"),
+    "join_weather_latest_report": _with(_weather_join("latest"), "flights", "latest"),
+    "join_weather_stored": _with(_weather_join("weather_prep"), "flights", "weather_prep"),
+    "monthly_weather_delay_year": _with(_monthly("joined_year"), "joined_year"),
+    "monthly_weather_delay_late": _with(_monthly("joined_delayed_year"), "joined_delayed_year"),
+    "monthly_weather_delay_scopes": _with(_MONTHLY_SCOPES, "joined_year"),
+    "carriers_on_top_routes_of_year": _with(_CARRIERS_TOP5_OF_YEAR, "trips"),
+    "carrier_route_vs_total_of_year": _with(f"""
+SELECT a.carrier, a.origin, a.dest, a.count, b.count2
+FROM ({_CARRIERS_TOP5_OF_YEAR}) a
+JOIN (SELECT carrier, count(*) AS count2 FROM trips GROUP BY carrier) b ON a.carrier = b.carrier""", "trips"),
+    "csv_checked_rows": _with(f"""
+SELECT {_select_r4(_FLIGHT_COLS, _DOUBLE_FLIGHT)} FROM csv_lines
+WHERE flight % 29 <> 0 AND flight % 43 <> 0""", "csv_lines"),
+    "csv_rejects": _with("""
+SELECT array_to_string([date, CAST(sched_dep_time AS VARCHAR), coalesce(dep_text, 'NA'), coalesce(arr_text, 'NA'),
+         coalesce(CAST(arr_time AS VARCHAR), 'NA'), carrier, CAST(flight AS VARCHAR), coalesce(tailnum, 'NA'), origin,
+         dest], ',') AS row_text, b.c AS "column", b.t AS cell
+FROM csv_lines, LATERAL (SELECT 'dep_time' AS c, dep_text AS t WHERE flight % 29 = 0
+                         UNION ALL SELECT 'sched_arr_time', arr_text WHERE flight % 43 = 0) b""", "csv_lines"),
+    "fill_group_mean_from_states": _with(
+        f"SELECT {_select_r4(_FLIGHT_COLS, _DOUBLE_FLIGHT)} FROM clean_flights", "clean_flights"),
+    "group_mean_without_a_day": _with("""
+SELECT carrier, origin, dest, round(avg(air_time), 4) AS mean_air_time, count(air_time) AS n FROM kept_flights
+WHERE date <> '1/3/2024' GROUP BY carrier, origin, dest HAVING count(air_time) > 0""", "kept_flights"),
+    "cleaning_difference": _with(f"""
+SELECT {', '.join(_FLIGHT_COLS)}, CAST(sum(sign) AS BIGINT) AS times
+FROM (SELECT {_select_r4(_FLIGHT_COLS, _DOUBLE_FLIGHT)}, 1 AS sign FROM raw_flights
+      UNION ALL SELECT {_select_r4(_FLIGHT_COLS, _DOUBLE_FLIGHT)}, -1 FROM clean_flights)
+GROUP BY {', '.join(_FLIGHT_COLS)} HAVING sum(sign) <> 0""", "raw_flights", "clean_flights"),
     "join_weather": _with(
         "SELECT month, date, origin, hour, flight, round(dep_delay, 4) AS dep_delay, "
         "round(arr_delay, 4) AS arr_delay, round(temp, 4) AS temp, round(wind_dir, 4) AS wind_dir, "

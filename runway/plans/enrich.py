@@ -7,8 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clock import (FLIGHT_DATE_FORMATS, clock_timestamp, date_of,
-                               delay_from_minutes, minutes_of, weekday_name)
+from pyspark.sql.types import StringType
+
+from ..functions.clock import (FLIGHT_DATE_FORMATS, clock_timestamp, date_of, delay_from_minutes,
+                               minutes_of, parse_date, weekday_name)
+from ..functions.dictionary import decoded
 
 
 def enrich_flights(df: DataFrame, shift_seconds: int = 1, wrap: str | None = None,
@@ -22,7 +25,13 @@ def enrich_flights(df: DataFrame, shift_seconds: int = 1, wrap: str | None = Non
     at least two minutes).  One ``select``: a single projection, no stack
     of per-column rewrites.  ``date`` may arrive as text (parsed with
     ``date_formats``), a date or a timestamp; clocks as integers or text.
+
+    Date texts are decoded through a dictionary (a job when this is called): a
+    year of flights has 365 of them, and a filter on a delay below a join does
+    not parse them again.
     """
+    if isinstance(df.schema["date"].dataType, StringType):
+        df = decoded(df, "date", lambda text: parse_date(text, date_formats))
     d = date_of(df, "date", date_formats)
     sd, dm = minutes_of(df, "sched_dep_time"), minutes_of(df, "dep_time")
     sa, am = minutes_of(df, "sched_arr_time"), minutes_of(df, "arr_time")

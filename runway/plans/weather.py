@@ -8,7 +8,9 @@ from pyspark.sql.types import StringType
 
 from ..functions.clock import WEATHER_DATE_FORMATS, date_of, parse_hour
 from ..operators.joins import join_bounded
+from ..sources.store import JoinSides, store_join_sides
 
+# Column names of the study's files and answers.
 JOIN_KEYS = ("date", "origin", "hour")
 WEATHER_MEASURES = ("temp", "wind_dir", "wind_speed", "pressure", "visib")
 TRIP_COLUMNS = ("month", "date", "origin", "hour", "flight", "dep_delay", "arr_delay")
@@ -35,7 +37,14 @@ def join_weather(trips: DataFrame, weather: DataFrame, only_delayed: bool = Fals
     ``only_delayed`` keeps ``arr_delay > 0`` (the Spark notebook); Catalyst
     pushes that filter below the join.
     """
-    w = prepare_weather(weather).select(*JOIN_KEYS, *WEATHER_MEASURES)
+    return join_prepared(trips, prepare_weather(weather), only_delayed, max_weather_rows)
+
+
+def join_prepared(trips: DataFrame, prepared: DataFrame, only_delayed: bool = False,
+                  max_weather_rows: int | None = None) -> DataFrame:
+    """:func:`join_weather` with weather whose keys are typed already, such as
+    one report per key (``quality.one_per_key``)."""
+    w = prepared.select(*JOIN_KEYS, *WEATHER_MEASURES)
     t = trips.select(*TRIP_COLUMNS)
     if only_delayed:
         t = t.where(F.col("arr_delay") > 0)
@@ -43,6 +52,22 @@ def join_weather(trips: DataFrame, weather: DataFrame, only_delayed: bool = Fals
     return j.select(*TRIP_COLUMNS[:5], "dep_delay", "arr_delay", *WEATHER_MEASURES)
 
 
+def store_weather_join(trips: DataFrame, weather: DataFrame, **params) -> JoinSides:
+    """Q13 for repeated use: enriched trips and prepared weather stored once,
+    bucketed by (date, origin, hour); see :func:`join_stored_weather`."""
+    return store_join_sides(trips.select(*TRIP_COLUMNS), prepare_weather(weather).select(*JOIN_KEYS, *WEATHER_MEASURES),
+                            JOIN_KEYS, **params)
+
+
+def join_stored_weather(sides: JoinSides, only_delayed: bool = False) -> DataFrame:
+    """Q13 from stored sides: the same rows as :func:`join_weather`, a merge join
+    of buckets without an exchange, however large the weather is."""
+    j = sides.joined()
+    if only_delayed:
+        j = j.where(F.col("arr_delay") > 0)
+    return j.select(*TRIP_COLUMNS[:5], "dep_delay", "arr_delay", *WEATHER_MEASURES)
+
+
 def monthly_weather_delay(joined: DataFrame) -> DataFrame:
     """Q14: per month, mean departure delay and mean of each measure."""
     cols = ("dep_delay",) + WEATHER_MEASURES
@@ -51,6 +76,21 @@ def monthly_weather_delay(joined: DataFrame) -> DataFrame:
             .orderBy("month"))
 
 
+def monthly_weather_delay_scopes(joined: DataFrame) -> DataFrame:
+    """Q14 in both notebooks' forms from one pass: per month the means over all
+    trips (pandas) and, as ``late_*``, over trips that arrived late (Spark).
+
+    Filtered measures of one aggregate; a month without late trips keeps its row
+    with null ``late_*`` means and ``late_trips`` 0."""
+    cols = ("dep_delay",) + WEATHER_MEASURES
+    late = F.col("arr_delay") > 0
+    return (joined.groupBy("month")
+            .agg(F.count(F.lit(1)).alias("trips"), *[F.avg(c).alias(f"avg_{c}") for c in cols],
+                 F.count_if(late).alias("late_trips"),
+                 *[F.avg(F.when(late, F.col(c))).alias(f"late_{c}") for c in cols])
+            .orderBy("month"))
+
+
 def delay_by_wind_speed(joined: DataFrame) -> DataFrame:
     """Q15: mean arrival delay per wind speed."""
     return (joined.groupBy("wind_speed").agg(F.avg("arr_delay").alias("avg_arr_delay"))

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, ShortType, StringType, StructField, StructType
+from pyspark.sql.types import (ArrayType, BooleanType, IntegerType, LongType, ShortType, StringType,
+                               StructField, StructType)
 
+from ..session import scratch_path
 from . import schemas
 
+_BROKEN = "__broken_line"
+_BAD = StructType([StructField("column", StringType()), StructField("cell", StringType())])
+
 
 def _text(spark: SparkSession, path: str, schema: StructType, null_value: str) -> DataFrame:
     """The file's columns as text, by the names of its header; ``null_value``
@@ -20,12 +25,16 @@ def _text(spark: SparkSession, path: str, schema: StructType, null_value: str) -
 
 
 def _parsed(field: StructField) -> Column:
-    """A text cell as its declared type; whole numbers may have a zero fraction."""
+    """A text cell as its declared type; whole numbers may have a zero fraction
+    (``517.0``), which is cut off as text, so each cell is cast once."""
     c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, StringType):
+        return c
     if isinstance(field.dataType, (IntegerType, LongType, ShortType)):
-        n = F.trim(c).try_cast("double")
-        return F.coalesce(F.trim(c).try_cast(field.dataType), F.when(n == F.floor(n), n).try_cast(field.dataType))
-    return c if isinstance(field.dataType, StringType) else F.trim(c).try_cast(field.dataType)
+        whole = F.substring_index(c, ".", 1)
+        fraction = F.rtrim(F.substring(c, F.length(whole) + 2, F.length(c)))
+        c = F.when(F.translate(fraction, "0", "") == "", whole)
+    return F.trim(c).try_cast(field.dataType)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType,
@@ -41,6 +50,47 @@ def read_csv(spark: SparkSession, path: str, schema: StructType,
     return text.select(*[_parsed(f).alias(f.name) for f in schema.fields])
 
 
+def read_csv_checked(spark: SparkSession, path: str, schema: StructType,
+                     null_value: str = "NA") -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of a header CSV: the rows whose every cell parses, typed,
+    and per cell that does not (file, row_text, column, cell).
+
+    One pass: each line is parsed once into its values and its list of bad cells
+    and written; rows and rejects are the two folders of that one write, so each
+    reads its own files only.  The pass runs when this is called.
+
+    A line with more or fewer cells than the header is a reject without column
+    and cell.  ``null_value`` text and empty cells are null, which is no reject.
+    Lines are lines of the file (a quoted cell holds no line break); the header
+    stands first in every file and is known by its text.
+    """
+    names = _text(spark, path, schema, null_value).columns
+    header = spark.read.text(path).first()[0]
+    cells = ", ".join(f"`{n}` string" for n in [*names, _BROKEN])
+    lines = spark.read.text(path).where(F.col("value") != F.lit(header)).select(
+        F.col("_metadata.file_path").alias("file"), F.col("value").alias("row_text"),
+        F.from_csv("value", cells, {"nullValue": null_value, "columnNameOfCorruptRecord": _BROKEN}).alias("cells"))
+    flat = lines.select("file", "row_text", "cells.*")
+    broken = F.when(F.col(_BROKEN).isNotNull(), F.array(F.struct(
+        F.lit(None).cast("string").alias("column"), F.lit(None).cast("string").alias("cell"))))
+    bad = F.array_compact(F.array(*[
+        F.when(_parsed(f).isNull() & F.col(f"`{f.name}`").isNotNull(),
+               F.struct(F.lit(f.name).alias("column"), F.col(f"`{f.name}`").alias("cell")))
+        for f in schema.fields if not isinstance(f.dataType, StringType)] or [F.lit(None).cast("struct<column:string,cell:string>")]))
+    judged = flat.select("file", "row_text", F.coalesce(broken, bad).alias("bad"),
+                         F.struct(*[_parsed(f).alias(f.name) for f in schema.fields]).alias("row"))
+    good = F.size("bad") == 0
+    out = scratch_path(spark, "csv-checked")
+    (judged.select(good.alias("good"), "bad", F.when(good, F.col("row")).alias("row"),
+                   F.when(~good, F.col("file")).alias("file"), F.when(~good, F.col("row_text")).alias("row_text"))
+     .write.partitionBy("good").parquet(out))
+    kinds = StructType([StructField("good", BooleanType()), StructField("row", schema),
+                        StructField("bad", ArrayType(_BAD)), StructField("file", StringType()), StructField("row_text", StringType())])
+    stored = spark.read.schema(kinds).parquet(out)
+    rejects = stored.where(~F.col("good")).select("file", "row_text", F.explode("bad").alias("b"))
+    return stored.where("good").select("row.*"), rejects.select("file", "row_text", "b.column", "b.cell")
+
+
 def unparsed_counts(spark: SparkSession, path: str, schema: StructType,
                     null_value: str = "NA") -> DataFrame:
     """One row: per declared column, the cells that hold text but not a value

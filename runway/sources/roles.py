@@ -66,8 +66,14 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def clock_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as a flights file (schema ``schemas.FLIGHTS``).
+def _spread(ev: DataFrame, months: int) -> DataFrame:
+    """The events over ``months`` months: ``event_id % months`` months later."""
+    return ev if months == 1 else ev.withColumn("ts", F.expr(f"ts + make_ym_interval(0, CAST(event_id % {months} AS INT))"))
+
+
+def clock_trips(spark: SparkSession, sf_dir: str, months: int = 1) -> DataFrame:
+    """``events`` as a flights file (schema ``schemas.FLIGHTS``), spread over
+    ``months`` months.
 
     Scheduled departure = the event's clock; actual departure = scheduled
     + (event_id % 61) - 15 minutes, kept inside the day; scheduled arrival
@@ -75,7 +81,7 @@ def clock_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     scheduled + (event_id % 37) - 8 minutes, kept inside the day.
     """
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
-    m = (ev.selectExpr("*", "hour(ts) * 60 + minute(ts) AS sd")
+    m = (_spread(ev, months).selectExpr("*", "hour(ts) * 60 + minute(ts) AS sd")
          .selectExpr("*", "least(greatest(sd + event_id % 61 - 15, 1), 1440) AS dm",
                      "least(sd + 30 + event_id % 151, 1440) AS sa")
          .selectExpr("*", "least(greatest(sa + event_id % 37 - 8, 1), 1440) AS am"))
@@ -94,10 +100,11 @@ def clock_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly conditions per origin (schema ``schemas.WEATHER``), with gaps."""
-    ev = read_table(spark, sf_dir, "events", ["ts", "user_id", "value"])
-    g = (ev.groupBy(F.to_date("ts").alias("day"), F.hour("ts").alias("hr"),
+def weather(spark: SparkSession, sf_dir: str, months: int = 1) -> DataFrame:
+    """Hourly conditions per origin (schema ``schemas.WEATHER``), with gaps,
+    over as many months as :func:`clock_trips`."""
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value"])
+    g = (_spread(ev, months).groupBy(F.to_date("ts").alias("day"), F.hour("ts").alias("hr"),
                   (F.col("user_id") % 3).cast("string").alias("origin"))
          .agg(F.count(F.lit(1)).alias("n"), F.avg(F.sqrt("value")).alias("mean"),
               F.min("value").alias("lo"), F.max("value").alias("hi"),
@@ -118,6 +125,29 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def weather_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather as it comes in: one report per event kind, so most (date, origin,
+    hour) have several.  ``reported`` is the last event a report knows of."""
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+    g = (ev.groupBy(F.to_date("ts").alias("day"), F.hour("ts").alias("hr"),
+                    (F.col("user_id") % 3).cast("string").alias("origin"), "event_type")
+         .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"),
+              F.max("event_id").alias("reported")))
+    return g.selectExpr(
+        "origin",
+        "date_format(day, 'M-d-yyyy') AS date",
+        "concat(date_format(day, 'yyyy-MM-dd'), ' ', lpad(CAST(hr AS STRING), 2, '0'), ':00:00')"
+        " AS hour_sched_dep",
+        "event_type AS station",
+        "reported",
+        "sqrt(lo) * 10 AS temp",
+        "CAST(n * 10 AS DOUBLE) AS wind_dir",
+        "CASE WHEN hr % 9 != 4 THEN CAST(floor(hi) % 25 AS DOUBLE) END AS wind_speed",
+        "sqrt(hi) + 1000 AS pressure",
+        "CAST(least(n, 10) AS DOUBLE) AS visib",
+    )
+
+
 def weather_text(df: DataFrame, sentinel: str = "NA") -> DataFrame:
     """Weather as text, gaps written as ``sentinel`` (how the study's CSV
     arrived when read without ``nullValue``)."""
