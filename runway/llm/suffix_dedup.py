@@ -199,6 +199,20 @@ def _repeats(buckets: int, hot: int):
     return run
 
 
+def joined_spans(row: np.ndarray, start: np.ndarray, until: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Spans of rows with those that overlap or touch made one, by row and start."""
+    order = np.lexsort((start, row))
+    row, start, until = row[order], start[order], until[order]
+    if not len(row):
+        return row, start, until
+    # places of all rows on one line, far apart from row to row
+    group = np.cumsum(np.r_[0, row[1:] != row[:-1]]) * (int(until.max()) + 2)
+    reach = np.maximum.accumulate(until + group)
+    fresh = np.flatnonzero(np.r_[True, start[1:] + group[1:] > reach[:-1]])
+    last = np.r_[fresh[1:], len(row)] - 1
+    return row[fresh], start[fresh], reach[last] - group[fresh]
+
+
 class _Held:
     """Distinct windows with their smallest place (id, version, start)."""
 
@@ -238,7 +252,8 @@ def _cut(match: int, k: int, buckets: int, hot, inside: bool):
             got = [(int.from_bytes(anchor, "big") % buckets, window, place[0], place[1], row, place[2], place[2] + n)
                    for anchor, window, place, row, n in
                    ((key[:8], key[8:8 + n + match - 1], place, row, n) for key, (place, row, n) in held.of.items())]
-            got += [(buckets + (row + at) % buckets, None, 0, 0, row, at, until) for row, at, until in held.copies]
+            got += [(buckets + (row + at) % buckets, None, 0, 0, row, at, until)
+                    for row, at, until in zip(*(x.tolist() for x in joined_spans(*np.array(held.copies, np.int64).reshape(-1, 3).T)))]
             got += out
             held.__init__()
             out.clear()
@@ -379,10 +394,19 @@ def equal_strings(text: np.ndarray, starts: np.ndarray, match: int) -> tuple[np.
 
 def _sorted(match: int, buckets: int):
     """The (row, start, until) that go: of a bucket's strings all but the one of
-    the smallest place."""
+    the smallest place.  Equal windows of different tasks are sorted once."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         if pdf["bucket"].iloc[0] >= buckets:
             return pdf[["row", "start", "until"]]
+        pdf = pdf.sort_values(["id", "version", "start"], ignore_index=True)
+        code, _ = pd.factorize(pdf["window"])
+        _, first = np.unique(code, return_index=True)
+        first = first[code]
+        place = pdf[["id", "version", "start"]].to_numpy(np.int64)
+        copy = (place != place[first]).any(axis=1)
+        copies = pdf.loc[copy, ["row", "start"]]
+        copies["until"] = copies["start"] + pdf.loc[copy, "window"].str.len()
+        pdf = pdf[~copy].reset_index(drop=True)
         size = pdf["window"].str.len().to_numpy(np.int64)
         # windows one behind another, a byte that UTF-8 lacks behind each
         text = np.frombuffer(b"\xff".join(pdf["window"]) + b"\xff", np.uint8)
@@ -404,7 +428,7 @@ def _sorted(match: int, buckets: int):
         begin = np.r_[True, (row[1:] != row[:-1]) | (at[1:] > at[:-1] + 1)][:len(row)]
         begin = np.flatnonzero(begin)
         end = np.r_[begin[1:], len(row)] - 1 if len(begin) else begin
-        return pd.DataFrame({"row": row[begin], "start": at[begin], "until": at[end] + match})
+        return pd.concat([copies, pd.DataFrame({"row": row[begin], "start": at[begin], "until": at[end] + match})])
     return run
 
 
@@ -412,25 +436,25 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, n_bytes, spans, kept): the maximal spans that go and the bytes that stay."""
     for batch in batches:
         data, offsets = utf8_buffers(batch.column(1))
-        n, spans, kept = np.diff(offsets), [], []
-        for i, marks in enumerate(batch.column(2).to_pylist()):
-            merged: list[list[int]] = []
-            for start, until in sorted((m["start"], m["until"]) for m in marks or ()):
-                if merged and start <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], until)
-                else:
-                    merged.append([start, until])
-            text = data[offsets[i]:offsets[i + 1]].tobytes()
-            at, parts = 0, []
-            for start, until in merged:
-                parts.append(text[at:start])
-                at = until
-            kept.append(b"".join([*parts, text[at:]]))
-            spans.append([{"start": a, "length": b - a} for a, b in merged])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()),
-             pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))),
-             pa.array(kept, pa.binary())], names=["id", "n_bytes", "spans", "kept"])
+        marks = batch.column(2)
+        flat, many = marks.flatten(), marks.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        row, start, until = joined_spans(np.repeat(np.arange(len(many)), many), flat.field(0).to_numpy(), flat.field(1).to_numpy())
+        first = np.searchsorted(row, np.arange(len(many) + 1))
+        # what stays: the bytes between spans, one behind another
+        stays = np.ones(int(offsets[-1] - offsets[0]) + 1, np.int8)
+        edge = offsets[row] - offsets[0]
+        change = np.zeros(len(stays), np.int8)
+        change[edge + start] -= 1
+        np.add.at(change, edge + until, 1)
+        stays = (stays + np.cumsum(change, dtype=np.int8))[:-1] > 0
+        gone = np.bincount(row, until - start, len(many)).astype(np.int64)
+        at = np.r_[0, np.cumsum(np.diff(offsets) - gone)]
+        text = data[offsets[0]:offsets[-1]][stays]
+        spans = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.StructArray.from_arrays(
+            [pa.array(start, pa.int64()), pa.array(until - start, pa.int64())], names=["start", "length"]))
+        kept = pa.Array.from_buffers(pa.large_binary(), len(many), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(text.tobytes())])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offsets), pa.int64()), spans, kept.cast(pa.binary())],
+                                         names=["id", "n_bytes", "spans", "kept"])
 
 
 def _marked(texts: DataFrame, n_bytes: int, match: int, k: int, hot: int, inside: DataFrame | None) -> tuple[DataFrame, DataFrame]:
