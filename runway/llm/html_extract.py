@@ -1,8 +1,9 @@
 """HTML extraction by two-pass block rules.
 
 Pass one decides blocks by their link density, their length and their density of
-stop words, with where they stand (page furniture, main element) as a prior; pass two gives blocks that are too short to
-judge the label of their nearest decided neighbours.
+stop words (of marks of sentences in other scripts and languages), with where they
+stand (page furniture, main element) as a prior; pass two gives blocks that are
+too short to judge the label of their nearest decided neighbours.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import functools
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -52,6 +54,11 @@ SHORT, LONG = 70, 200
 LINK_DENSITY, STOP_DENSITY = 0.5, 0.25
 #: Inside the main element fewer stop words are enough.
 MAIN_STOP_DENSITY = 0.15
+#: A page with fewer stop words than this is in none of their languages: marks of
+#: sentences stand in for them there, as they do in text of another script.
+KNOWN_DENSITY = 0.05
+#: What a character of a wide script counts for.
+WIDE = 3
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*+|[^>]*)>|<[!?][^>]*>|<[a-zA-Z/!?][^>]*\Z""",
                   re.S)
@@ -60,9 +67,16 @@ _NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])|[^A-Za-z]+")
 
+_LATIN = re.compile(r"[A-Za-z\u00aa\u00ba\u00c0-\u024f\u1e00-\u1eff]")
+_WIDES = re.compile(r"[\u1100-\u11ff\u2e80-\u2fdf\u3005-\u3007\u3040-\u30ff\u3130-\u318f\u3400-\u4dbf\u4e00-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff]")
+#: Marks that divide or end sentences; Thai, Lao, Khmer and Burmese prose goes without.
+_MARKS = re.compile(r"[.,;:!?…\u037e\u0387\u0589\u05c3\u060c\u061b\u061f\u06d4\u0964\u0965\u104a\u104b\u1362-\u1368\u17d4\u17d5\u3001\u3002\uff01\uff0c\uff0e\uff1a\uff1b\uff1f]")
+_UNMARKED = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff]")
+
 GOOD, BAD, OPEN = 1, -1, 0
-#: How sure it is that an element is page furniture: a weak name, a name, its kind.
-NO, WEAK, NAMED, SURE = range(4)
+#: How sure it is that an element is page furniture: a weak name, a form (unless
+#: the page stands in it), a name, its kind.
+NO, WEAK, FORM, NAMED, SURE = range(5)
 
 
 @functools.lru_cache(maxsize=4096)
@@ -87,8 +101,8 @@ def _named(token: str, header: bool) -> int:
 
 
 def _furniture(tag: str, attrs: str, in_main: bool) -> int:
-    if tag == "form":  # some pages stand in one form as a whole
-        return NAMED
+    if tag == "form":
+        return FORM
     if tag in FURNITURE_TAGS or (tag == "header" and not in_main):
         return SURE
     if not attrs or tag in ("html", "body"):
@@ -113,15 +127,20 @@ def blocks(page: str) -> Iterator[tuple[str, int, int, bool, int]]:
     element, what an element around the main element says of it) for each block
     of text, in page order."""
     stack: list[tuple[str, int, bool, int]] = [("", NO, False, NO)]
+    opened: Counter[str] = Counter()
     parts: list[str] = []
-    linked, links, at = 0, 0, 0
+    linked: list[str] = []
+    links, at = 0, 0
 
     def flush():
-        nonlocal linked
-        text = " ".join(html.unescape("".join(parts)).split())
+        text, inside = _plain(parts), _plain(linked)
         parts.clear()
-        chars, linked = linked, 0
-        return (text, chars, *stack[-1][1:]) if text else None
+        linked.clear()
+        return (text, len(inside), *stack[-1][1:]) if text else None
+
+    def close(depth: int) -> None:
+        opened.subtract(e[0] for e in stack[depth:])
+        del stack[depth:]
 
     while at < len(page):
         m = _TAG.search(page, at)
@@ -129,7 +148,7 @@ def blocks(page: str) -> Iterator[tuple[str, int, int, bool, int]]:
         if text:
             parts.append(text)
             if links:
-                linked += len(text)
+                linked.append(text)
         if not m:
             break
         at = m.end()
@@ -145,6 +164,7 @@ def blocks(page: str) -> Iterator[tuple[str, int, int, bool, int]]:
             links = 0 if closing else 1
         if tag == "br":
             parts.append(" ")
+            linked.append(" ")
         if tag not in BLOCK_TAGS and tag not in ("button", "span"):
             continue
         if tag in BLOCK_TAGS:
@@ -153,18 +173,22 @@ def blocks(page: str) -> Iterator[tuple[str, int, int, bool, int]]:
                 yield block
             links = 0 if tag != "li" else links
         if closing:
-            depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
-            if depth and (tag == "span") <= (depth == len(stack) - 1):
+            # a tag that is not open is not looked for, and only the last span ends
+            depth = 0
+            if opened[tag] > 0:
+                low = len(stack) - 2 if tag == "span" else 0
+                depth = next((k for k in range(len(stack) - 1, low, -1) if stack[k][0] == tag), 0)
+            if depth:
                 if stack[depth][1] != stack[depth - 1][1] and tag not in BLOCK_TAGS:
                     block = flush()
                     if block:
                         yield block
-                del stack[depth:]
+                close(depth)
         elif tag not in VOID_TAGS:
             if tag in BLOCK_TAGS and stack[-1][0] == "p":
-                stack.pop()
+                close(len(stack) - 1)
             if tag == "li" and stack[-1][0] == "li":
-                stack.pop()
+                close(len(stack) - 1)
             _, furniture, main, around = stack[-1]
             mine = _furniture(tag, m[3] or "", main)
             if tag in MAIN_TAGS and not main and furniture < SURE:
@@ -175,13 +199,51 @@ def blocks(page: str) -> Iterator[tuple[str, int, int, bool, int]]:
                     if block:
                         yield block
                 stack.append((tag, max(furniture, mine), main or tag in MAIN_TAGS, around))
+                opened[tag] += 1
     block = flush()
     if block:
         yield block
 
 
+def _plain(parts: list[str]) -> str:
+    """Characters as they are read: references decoded, white space one space."""
+    text = "".join(parts)
+    return " ".join((html.unescape(text) if "&" in text else text).split())
+
+
+def width(text: str) -> int:
+    """The length of a text, characters of wide scripts counted WIDE times."""
+    return len(text) if text.isascii() else len(text) + (WIDE - 1) * len(_WIDES.findall(text))
+
+
+def _stops(text: str) -> tuple[int, int]:
+    words = _WORD.findall(text.lower())
+    return sum(map(STOP_WORDS.__contains__, words)), len(words)
+
+
+def stop_density(text: str, counts: tuple[int, int], known: bool) -> float:
+    """The share of stop words (``counts``: of them and of all words).  Text that they cannot tell anything about, in a
+    script other than Latin or (not ``known``) on a page in another language, has
+    the density of prose if it has marks of sentences or needs none."""
+    foreign = not known
+    if not text.isascii():
+        letters = sum(map(str.isalpha, text))
+        foreign = foreign or 2 * len(_LATIN.findall(text)) < letters
+    if foreign:
+        return STOP_DENSITY if _MARKS.search(text) or 2 * len(_UNMARKED.findall(text)) >= len(text) else 0.0
+    return counts[0] / counts[1] if counts[1] else 0.0
+
+
 def label(found: list[tuple[str, int, int, bool, int]]) -> list[int]:
     """GOOD or BAD for each block."""
+    # a form that holds most of the prose is no furniture: the page stands in it
+    prose = Counter()
+    for t, linked, level, _, _ in found:
+        if level <= FORM and width(t) >= SHORT and linked <= LINK_DENSITY * len(t):
+            prose[level == FORM] += len(t)
+    form = NO if prose[True] > prose[False] else NAMED
+    found = [(t, linked, form if level == FORM else level, main, form if around == FORM else around)
+             for t, linked, level, main, around in found]
     labels = _label([(t, linked, max(level, around), main) for t, linked, level, main, around in found])
     if GOOD not in labels and any(b[4] for b in found):  # that element stands around the whole page
         labels = _label([b[:4] for b in found])
@@ -189,23 +251,27 @@ def label(found: list[tuple[str, int, int, bool, int]]) -> list[int]:
 
 
 def _label(found: list[tuple[str, int, int, bool]]) -> list[int]:
+    stops = [_stops(t) if level < NAMED and linked <= LINK_DENSITY * len(t) else (0, 0) for t, linked, level, _ in found]
+    known = sum(s for s, _ in stops) >= KNOWN_DENSITY * sum(n for _, n in stops)
     inside = sum(len(t) for t, linked, level, main in found if main and level < NAMED and linked <= LINK_DENSITY * len(t))
     outside = sum(len(t) for t, linked, level, main in found if not main and not level and linked <= LINK_DENSITY * len(t))
     # the main element speaks for its blocks, and against others, if it has most of the text
     has_main = 0 < inside >= outside
     labels = []
-    for text, linked, level, main in found:
-        words = _WORD.findall(text.lower())
-        stops = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+    for (text, linked, level, main), counts in zip(found, stops):
+        size = width(text)
         likely, unlikely = has_main and main and not level, level == WEAK or (has_main and not main)
         if level >= NAMED or linked > LINK_DENSITY * len(text):
             labels.append(BAD)
-        elif len(text) < SHORT:
+        elif size < SHORT:
             labels.append(BAD if level or (linked and not likely) else OPEN)
-        elif stops >= (MAIN_STOP_DENSITY if likely else STOP_DENSITY) or (len(text) >= LONG and not unlikely):
+        elif (size >= LONG and not unlikely) or stop_density(text, counts, known) >= (
+                MAIN_STOP_DENSITY if likely else STOP_DENSITY):
             labels.append(GOOD)
         else:
             labels.append(OPEN)
+    if GOOD not in labels:  # nothing is sure: what is long enough and not linked is the text
+        labels = [GOOD if kind == OPEN and width(b[0]) >= SHORT and not b[1] else kind for kind, b in zip(labels, found)]
     # blocks of the page's own furniture say nothing about their neighbours, nor
     # do blocks inside the main element about those outside
     out = list(labels)
