@@ -3,6 +3,7 @@ digests are hash-joined with those of known licences."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,9 +22,9 @@ EQUIVALENT = (
 )
 #: A line that states a copyright, behind any comment marks; it varies from copy to copy.
 COPYRIGHT_LINE = r"(?m)^[ \t/*#;%-]*(copyright|\(c\)|©)[^\n]*$"
-#: Every known notice has this in it (in lower case), so other lines are not looked up.
+#: Built-in notices have this in them (in lower case): while all notices do, other lines are not looked up.
 NOTICE_MARK = "licen"
-#: Every known whole text has one of these in it (in lower case), so other documents are not looked up.
+#: Built-in whole texts have one of these in them (in lower case): while all texts do, other documents are not looked up.
 TEXT_MARKS = "licen|software"
 
 #: Marks of comments and lists that a line may begin with.
@@ -107,12 +108,14 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     spark = docs.sparkSession
     d = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
-    lower = F.lower("__text")
+    texts = [*whole_texts(), *notices] if texts is None else list(texts)
+    text_marks = TEXT_MARKS if all(re.search(TEXT_MARKS, t.lower()) for _, t in texts) else ""
+    notice_mark = F.lit(NOTICE_MARK if all(NOTICE_MARK in t.lower() for _, t in notices) else "")
     d = d.withColumns({
         "digest": F.sha2(canonical(F.col("__text")), 256),
-        "__digest": F.when(lower.rlike(TEXT_MARKS), F.sha2(bare(F.col("__text")), 256)),
-        "__lines": F.when(F.contains(F.lower("__text"), F.lit(NOTICE_MARK)), F.transform(
-            F.filter(F.split("__text", "\n"), lambda line: F.contains(F.lower(line), F.lit(NOTICE_MARK))),
+        "__digest": F.when(F.lower("__text").rlike(text_marks), F.sha2(bare(F.col("__text")), 256)),
+        "__lines": F.when(F.contains(F.lower("__text"), notice_mark), F.transform(
+            F.filter(F.split("__text", "\n"), lambda line: F.contains(F.lower(line), notice_mark)),
             lambda line: F.sha2(canonical(line), 256)))})
     # one constant digest -> licence map of a few dozen entries, folded into the plan
     of_notice = {r["digest"]: r["license"] for r in known_digests(spark, notices).collect()}
@@ -120,7 +123,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     known = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
     d = d.withColumn("__found", F.filter(F.transform("__lines", lambda x: F.try_element_at(known, x)),
                                          lambda x: x.isNotNull()))
-    of_text = known_digests(spark, [*whole_texts(), *notices] if texts is None else texts, bare)
+    of_text = known_digests(spark, texts, bare)
     whole = spark.createDataFrame([tuple(r) for r in of_text.collect()], "__digest string, license string")
     return d.join(F.broadcast(whole), "__digest", "left").select(
         F.col("__id").alias(id_col), "digest", "license",

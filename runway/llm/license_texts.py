@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pathlib import Path
+from importlib import resources
 
 # One-line notices by SPDX identifier.
 NOTICES = (
@@ -119,6 +119,8 @@ TITLES = {
     "Unlicense": ("The Unlicense", "Unlicense"),
     "CC0-1.0": ("Creative Commons Legal Code",),
 }
+#: The licences whose texts are files of ``licenses``.
+FILES = tuple("Apache-2.0 BSL-1.0 CC0-1.0 GPL-2.0 GPL-3.0 LGPL-2.1 LGPL-3.0 MPL-2.0 Unlicense".split())
 _END = "END OF TERMS AND CONDITIONS"
 
 
@@ -127,7 +129,10 @@ def whole_texts() -> list[tuple[str, str]]:
     ``licenses``, under each title and under none, and with and without what
     follows the terms (how to apply them)."""
     out = []
-    files = [(p.stem, p.read_text()) for p in sorted((Path(__file__).parent / "licenses").glob("*.txt"))]
+    folder = resources.files(__package__) / "licenses"  # a folder, or a part of an archive
+    files = sorted((p.name.removesuffix(".txt"), p.read_text("utf-8")) for p in folder.iterdir() if p.name.endswith(".txt"))
+    if missing := set(FILES) - {name for name, _ in files}:
+        raise FileNotFoundError(f"licence texts missing from {folder}: {', '.join(sorted(missing))}")
     for spdx, text in [*TEXTS, *files]:
         for title in TITLES.get(spdx, ()):
             text = text.strip().removeprefix(title).strip()
