@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +23,8 @@ DIMS = 48
 NONZEROS = 4
 WINDOW = 2
 STRIPE = 1 << 10
+#: Partial sums that are added up in one task, and how often they are (64^3 tasks).
+FAN_IN, LEVELS = 64, 3
 #: Words gathered before their contexts are added up, and words pooled at a time.
 GATHERED = 1 << 20
 POOLED = 1 << 15
@@ -74,29 +77,35 @@ def _contexts(seed: int):
         whole = np.c_[total.reshape(BUCKETS, DIMS), count].astype(np.int64)
         whole = np.clip(whole, -2 ** 31, 2 ** 31 - 1).astype(np.int32).reshape(-1, STRIPE * (DIMS + 1))
         some = np.flatnonzero(whole.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([whole[i].tobytes() for i in some], pa.binary())],
-                                         names=["stripe", "sums"])
+        task = np.full(len(some), TaskContext.get().partitionId())
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(task, pa.int64()),
+                                          pa.array([whole[i].astype(np.int64).tobytes() for i in some], pa.binary())],
+                                         names=["stripe", "part", "sums"])
     return run
 
 
 def _sum_stripes(pdf: pd.DataFrame) -> pd.DataFrame:
     total = np.zeros(STRIPE * (DIMS + 1), dtype=np.int64)
     for raw in pdf["sums"]:
-        total += np.frombuffer(raw, np.int32)
-    return pd.DataFrame({"stripe": pdf["stripe"].iloc[:1], "sums": [total.tobytes()]})
+        total += np.frombuffer(raw, np.int64)
+    return pd.DataFrame({"stripe": pdf["stripe"].iloc[:1], "part": pdf["part"].iloc[:1], "sums": [total.tobytes()]})
 
 
 def word_vectors(docs: DataFrame, text_col: str = "text", seed: int = 11) -> np.ndarray:
     """The word table of the whole corpus, BUCKETS x DIMS: each bucket's summed
     contexts at unit length plus half its own index vector.  The table's size is
-    fixed; that is what the driver receives."""
+    fixed; that is what the driver receives.  The tasks' sums are added up FAN_IN
+    at a time, so however many tasks there are, none reads more than FAN_IN of them."""
     ship(docs.sparkSession)
-    sums = (docs.select(F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(_contexts(seed), "stripe int, sums binary")
-            .groupBy("stripe").applyInPandas(_sum_stripes, "stripe int, sums binary").collect())
+    schema = "stripe int, part long, sums binary"
+    sums = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_contexts(seed), schema)
+    for _ in range(LEVELS):
+        sums = (sums.withColumn("part", F.expr(f"part div {FAN_IN}")).groupBy("stripe", "part")
+                .applyInPandas(_sum_stripes, schema))
+    sums = sums.collect()
     whole = np.zeros((BUCKETS, DIMS + 1))
     for r in sums:
-        whole[r["stripe"] * STRIPE:(r["stripe"] + 1) * STRIPE] = np.frombuffer(r["sums"], np.int64).reshape(STRIPE, -1)
+        whole[r["stripe"] * STRIPE:(r["stripe"] + 1) * STRIPE] += np.frombuffer(r["sums"], np.int64).reshape(STRIPE, -1)
     context = whole[:, :DIMS]
     context = context / np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1e-9)
     places, signs = index_vectors(seed)
