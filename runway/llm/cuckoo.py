@@ -92,9 +92,18 @@ class CuckooFilter:
         return not len(bucket)
 
     def delete(self, keys: np.ndarray) -> None:
-        for bucket, mark in zip(*map(np.ndarray.tolist, self._place(keys))):
-            for b in (bucket, int(self._other(np.array([bucket]), np.array([mark], dtype=np.uint16))[0])):
-                slot = np.flatnonzero(self.table[b] == mark)
-                if len(slot):
-                    self.table[b, slot[0]] = 0
-                    break
+        """Delete each key once, in rounds of one key per bucket."""
+        bucket, mark = self._place(keys)
+        moved = np.zeros(len(bucket), dtype=bool)
+        while len(bucket):
+            _, one = np.unique(bucket, return_index=True)
+            hit = self.table[bucket[one]] == mark[one, None]
+            found = hit.any(axis=1)
+            self.table[bucket[one[found]], hit.argmax(axis=1)[found]] = 0
+            stays = np.ones(len(bucket), dtype=bool)
+            stays[one[found]] = False
+            miss = one[~found]
+            stays[miss[moved[miss]]] = False
+            moved[miss] = True
+            bucket[miss] = self._other(bucket[miss], mark[miss])
+            bucket, mark, moved = bucket[stays], mark[stays], moved[stays]

@@ -4,6 +4,7 @@ documents can be inserted and deleted and every step can be taken back."""
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -18,6 +19,8 @@ BLANKS = " \t\n\x0b\x0c\r"
 #: Keys per shard of the filters, and rows per task group that probes one.
 SHARD_KEYS = 100_000
 PROBE_ROWS = 4_000
+#: Tables of postings of an index before they are made one.
+MOST_PARTS = 16
 
 
 def _lines(text: str) -> str:
@@ -85,11 +88,13 @@ def _shards_for(n_keys: int) -> int:
 class LineIndex:
     """What is known of the lines of a set of documents.
 
-    ``rows`` are the postings, ``refs`` the exact reference table over them and
-    ``seen`` the sharded filters over its keys.  All three are tables in the
-    shared folder; an index is never changed, a step makes another one."""
+    ``parts`` are the postings, a table for each insertion (documents deleted
+    since are left out when they are read), ``refs`` the exact reference table
+    over them and ``seen`` the sharded filters over its keys.  An index is never
+    changed, a step makes another one; a step reads and counts only the keys of
+    the documents it is about."""
 
-    rows: DataFrame
+    parts: list[DataFrame]
     refs: DataFrame
     shards: int
     seen: DataFrame | None = None
@@ -99,7 +104,11 @@ class LineIndex:
         ship(docs.sparkSession)
         rows = written(postings(docs, **params), "line-postings")
         refs = written(references(rows), "line-refs")
-        return cls(rows, refs, _shards_for(refs.count()))
+        return cls([rows], refs, _shards_for(refs.count()))
+
+    @property
+    def rows(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, self.parts)
 
     def filters(self) -> DataFrame:
         """The filters over all keys, built when first asked for."""
@@ -107,6 +116,16 @@ class LineIndex:
             self.seen = written(build_filters(self.refs, self.shards), "line-filters")
         return self.seen
 
+    def _stepped(self, parts: list[DataFrame], refs: DataFrame, seen) -> LineIndex:
+        """The index after a step: postings in one table again after MOST_PARTS
+        steps, filters dealt over more shards when the keys outgrow them."""
+        if len(parts) > MOST_PARTS:
+            parts = [written(reduce(DataFrame.unionByName, parts), "line-postings")]
+        shards = _shards_for(refs.count())
+        if shards > self.shards:
+            return LineIndex(parts, refs, shards)
+        return LineIndex(parts, refs, self.shards, seen())
+
     def insert(self, docs: DataFrame, **params) -> LineIndex:
         """The index with more documents.  Only keys that the filters may hold
         are looked up in the exact table; the others are certainly new."""
@@ -122,17 +141,26 @@ class LineIndex:
         refs = (self.refs.join(touched.select("k1", "k2"), ["k1", "k2"], "left_anti")
                 .unionByName(touched).unionByName(fresh))
         added = batch.join(self.refs.select("k1", "k2"), ["k1", "k2"], "left_anti")
-        return LineIndex(written(self.rows.unionByName(new), "line-postings"), written(refs, "line-refs"),
-                         self.shards, self._changed(added, delete=False))
+        return self._stepped([*self.parts, new], written(refs, "line-refs"), lambda: self._changed(added, delete=False))
 
     def delete(self, ids: DataFrame, id_col: str = "doc_id") -> LineIndex:
-        """The index without these documents: a key's first holder becomes the
-        next one, and keys that nobody holds any more leave the filters."""
-        gone = ids.select(F.col(id_col).alias("doc")).distinct()
-        rows = written(self.rows.join(gone, "doc", "left_anti"), "line-postings")
-        refs = written(references(rows), "line-refs")
-        return LineIndex(rows, refs, self.shards,
-                         self._changed(self.refs.join(refs.select("k1", "k2"), ["k1", "k2"], "left_anti"), delete=True))
+        """The index without these documents.
+
+        Their lines are subtracted from the counts of the keys they hold.  Keys
+        at zero leave the table and the filters; of the others first and last
+        holder are found anew among their own postings.  No other key is read."""
+        gone = written(ids.select(F.col(id_col).alias("doc")).distinct(), "line-gone")
+        lost = written(self.rows.join(gone, "doc", "left_semi").groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n_lost")),
+                       "line-lost")
+        left = written(self.refs.join(lost, ["k1", "k2"]).select("k1", "k2", (F.col("n_lines") - F.col("n_lost")).alias("n_lines")),
+                       "line-left")
+        parts = [p.join(gone, "doc", "left_anti") for p in self.parts]
+        still = left.where("n_lines > 0")
+        holders = references(reduce(DataFrame.unionByName, parts).join(still.select("k1", "k2"), ["k1", "k2"], "left_semi"))
+        held = still.join(holders.drop("n_lines"), ["k1", "k2"]).select(*self.refs.columns)
+        refs = self.refs.join(lost.select("k1", "k2"), ["k1", "k2"], "left_anti").unionByName(held)
+        return self._stepped(parts, written(refs, "line-refs"),
+                             lambda: self._changed(left.where("n_lines = 0"), delete=True))
 
     def _changed(self, keys: DataFrame, delete: bool) -> DataFrame:
         def change(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -180,28 +208,31 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     smallest id holding it (twice in one document is no repeat).  Null and
     empty texts are one empty line.  Rows with a null id hold no keys and keep
     all lines; equal ids are one holder, and each of their rows loses its own
-    lines.  Lines shorter than ``min_chars`` always stay.  Other columns pass
-    through whatever their names.  An empty table gives an empty table.
+    lines.  Lines shorter than ``min_chars`` always stay.  Texts of any length are
+    whole.  Other columns pass through whatever their names, but for these three,
+    which are replaced.  An empty table gives an empty table.
     """
     index = index or LineIndex.of(docs, id_col=id_col, text_col=text_col, min_chars=min_chars)
-    drops = index.repeats().select(F.col("doc").alias("__doc"), F.col("version").alias("__version"), "drop")
-    d = docs.withColumns({"__version": F.xxhash64(F.col(text_col)), "__doc": F.col(id_col)})
-    d = d.join(drops.withColumnRenamed("drop", "__drop"), ["__doc", "__version"], "left")
-    d = d.withColumn("__lines", F.expr(_lines(f"`{text_col}`")))
-    d = d.withColumn("__stay", F.expr(
-        "if(__drop is null, null, array_except(sequence(0, cardinality(__lines) - 1), __drop))"))
-    return d.withColumns({
-        "__n_lines": F.expr("cast(cardinality(__lines) as bigint)"),
-        "__n_dropped": F.expr("if(__drop is null, 0L, cast(cardinality(__lines) - cardinality(__stay) as bigint))"),
-        "__kept": F.expr(f"if(__drop is null, coalesce(`{text_col}`, ''),"
-                         r" array_join(transform(__stay, i -> __lines[i]), '\n'))"),
-    }).drop("__doc", "__version", "__drop", "__lines", "__stay")
+    names = [c for c in docs.columns if c not in ("__n_lines", "__n_dropped", "__kept")]
+    # the row in one column, so that no name of it meets a name of this plan
+    row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
+    d = docs.select(row, F.col(f"`{id_col}`").alias("doc"), F.xxhash64(F.col(f"`{text_col}`")).alias("version"))
+    d = d.join(index.repeats(), ["doc", "version"], "left")
+    text = f"row.`{text_col}`"
+    d = d.withColumn("lines", F.expr(_lines(text)))
+    d = d.withColumn("stay", F.expr("if(drop is null, null, array_except(sequence(0, cardinality(lines) - 1), drop))"))
+    return d.select(
+        "row.*", F.expr("cast(cardinality(lines) as bigint)").alias("__n_lines"),
+        F.expr("if(drop is null, 0L, cast(cardinality(lines) - cardinality(stay) as bigint))").alias("__n_dropped"),
+        F.expr(f"if(drop is null, coalesce({text}, ''),"
+               r" array_join(transform(stay, i -> lines[i]), '\n'))").alias("__kept"))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The documents without their repeated lines; columns as in ``docs``
     (``n_chars`` follows the text).  A document all of whose lines went is left
-    out; one that lost nothing stays as it is."""
+    out; one that lost nothing stays as it is, null and empty texts too.  Names of
+    other columns do not matter; an empty table gives none."""
     d = dedup_lines(docs).where(f"__n_dropped = 0 or length(btrim(__kept, '{BLANKS}')) > 0")
     cols = {"text": F.when(F.col("__n_dropped") > 0, F.col("__kept")).otherwise(F.col("text")),
             "n_chars": F.when(F.col("__n_dropped") > 0, F.length("__kept").cast("long")).otherwise(F.col("n_chars"))}
