@@ -28,7 +28,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS,
     reshared by weight among the rest until none is above.
 
     The capped sources are a prefix of the order by size per weight, so the
-    final level follows from prefix sums; windows over one row per source."""
+    final level follows from prefix sums.  The windows hold one narrow row per
+    source in one task (which spills): millions of sources, not billions."""
     w = F.element_at(F.array(*map(F.lit, weights)),
                      ((F.row_number().over(Window.orderBy("key")) - 1) % len(weights) + 1).cast("int"))
     d = sizes.select("key", "size", w.cast("long").alias("w"))
@@ -56,7 +57,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``source_size``, ``target`` (of its source) and ``taken``: the words the mix
     takes from it, repeats counted.
 
-    Documents of a source stand in the order of a seeded hash of the id; whole
+    Documents of a source stand in the order of a seeded hash of id and length; whole
     passes over the source come first, then documents in that order up to the
     exact rest of the rounded target, so the last one may be taken in part.
     Only the narrow rows (no text) are written and shuffled.
@@ -71,6 +72,12 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("__source").alias("source"))
 
 
+def _place(doc_id: Column, text: Column, seed: int) -> Column:
+    """A row's place in its source: by its id, and by the length of its text, so
+    that rows without an id lie apart as well."""
+    return hash_place(doc_id, F.coalesce(F.octet_length(text), F.lit(0)), seed=seed)
+
+
 def _mix(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], share_pct: int,
          cap: int, seed: int) -> DataFrame:
     """The narrow rows in their order, with what the mix takes of each."""
@@ -78,7 +85,7 @@ def _mix(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights:
     rows = (docs.select(F.col(id_col).alias("__id"), F.col(source_col).alias("__source"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
             .select("__id", "__source", source_key(F.col("__source")).alias("key"), size.alias("size"),
-                    hash_place(F.col("__id"), seed=seed).alias("place")))
+                    _place(F.col("__id"), F.col("__text"), seed).alias("place")))
     rows = written(rows, "mix-rows")
     placed = running(rows, ["key"], fraction(F.col("place")), ["place", "__id", "size"], F.col("size"), rows.count())
     sizes = written(rows.groupBy("key").agg(F.sum("size").alias("size")), "mix-sources")
@@ -112,8 +119,8 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share_p
     these rows fit a checked broadcast.
 
     Documents without words are left out.  Rows with a null id, whose places
-    cannot be told apart, come once each; rows of one id and source are taken
-    alike.  Columns of ``docs`` may have any names besides; an empty table gives none.
+    cannot be told apart, come once each; rows of one id, length and source are
+    taken alike.  Columns of ``docs`` may have any names besides; an empty table gives none.
     """
     mix = written(_mix(docs, "doc_id", "text", "source", weights, share_pct, cap, seed)
                   .select("key", "place", "__id", "size", "passes", "taken"), "mix-taken")
@@ -123,7 +130,8 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share_p
         (F.col("taken") / F.col("size") - F.col("passes")).alias("share"))))
     cuts = mix.groupBy("key").agg(F.max("passes").alias("passes"), at.alias("cut"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"))
-    rows = rows.withColumns({"key": source_key(F.col("d.source")), "place": hash_place(F.col("d.doc_id"), seed=seed)})
+    rows = rows.withColumns({"key": source_key(F.col("d.source")),
+                             "place": _place(F.col("d.doc_id"), F.col("d.text"), seed)})
     own, cut = F.struct("place", F.col("d.doc_id").alias("id")), F.struct("cut.place", "cut.id")
     more = F.when(F.col("cut").isNull() | (own < cut), F.lit(1)).when(own == cut, F.floor(F.col("cut.share") + 0.5)).otherwise(0)
     times = (F.when(F.col("d.doc_id").isNull(), F.lit(1))
