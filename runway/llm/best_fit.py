@@ -19,6 +19,8 @@ from .store import written
 from .textops import slices, span_hashes, utf8_buffers
 from .workers import ship
 
+#: A text with every kind of part, to tell whether a vocabulary cuts words this way.
+PROBE = "It's A-1 ab12cd  x_y ##&& <b> don't ÀÉ caf\u00e9 \u65e5\u672c end.\n".encode()
 #: Distinct parts of words whose ids a worker remembers before it starts anew.
 CACHED_PARTS = 600_000
 
@@ -73,7 +75,12 @@ class PartEncoder:
 
     The vocabulary's pre-tokenizer drops white space and cuts words into parts
     that no token crosses, so a text's ids are those of its parts in turn;
-    each distinct part (by 64-bit hash) is encoded once while remembered."""
+    each distinct part is encoded once while remembered, by its bytes.  Hashes
+    only gather equal parts of a stretch, by two independent states.
+
+    The cut (``word_parts``) is that of one family of vocabularies: white space
+    dropped, ASCII lower-cased, single digits, runs of letters and of marks.  A
+    file whose own cut of a probe text differs is refused."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -84,9 +91,12 @@ class PartEncoder:
         self.runs.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.CharDelimiterSplit(" "),
             pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.known: dict[int, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        ids, _ = self.encode(np.frombuffer(PROBE, np.uint8), np.array([0, len(PROBE)]))
+        if ids.tolist() != self.whole.encode(PROBE.decode(), add_special_tokens=False).ids:
+            raise ValueError(f"{path}: this vocabulary cuts words otherwise than word_parts does")
 
-    def _learn_runs(self, keys: list[int], runs: list[bytes], most: int = 500) -> None:
+    def _learn_runs(self, keys: list[bytes], runs: list[bytes], most: int = 500) -> None:
         texts = [b" ".join(runs[i:i + most]).decode("utf-8") for i in range(0, len(runs), most)]
         for i, e in enumerate(self.runs.encode_batch(texts, add_special_tokens=False)):
             part = keys[i * most:(i + 1) * most]
@@ -103,15 +113,19 @@ class PartEncoder:
         if not len(starts):
             return np.zeros(0, "<u4"), np.zeros(len(bounds), np.int64)
         hashes = span_hashes(low, starts, ends) ^ (kind == _WHOLE)
-        distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        _, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        second = span_hashes(low, starts, ends, 1)
+        if (second != second[first[inverse]]).any():  # different parts under one hash: gather by both
+            _, first, inverse = np.unique(np.stack([hashes, second]), axis=1, return_index=True, return_inverse=True)
         if len(self.known) > CACHED_PARTS:
             self.known.clear()
-        keys = distinct.tolist()
+        raw, kinds = low.tobytes(), kind[first].tolist()
+        keys = [(b"\xff" if k == _WHOLE else b"") + raw[a:b]
+                for k, a, b in zip(kinds, starts[first].tolist(), ends[first].tolist())]
         ids = list(map(self.known.get, keys))
         new = [k for k, v in enumerate(ids) if v is None]
         if new:
             at = first[new]
-            raw = low.tobytes()
             spans = [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
             letters = (kind[at] == _LETTER).tolist()
             self._learn_runs([keys[k] for k, x in zip(new, letters) if x],
@@ -233,7 +247,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048, id_col: str = "
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     runs = spark.createDataFrame(plan_best_fit(counts, capacity),
                                  "r_length long, r_rank long, r_n long, r_seq long, r_per long, r_offset long")
-    place = hash_place(F.col("id"), F.col("piece"), seed=seed)
+    place = hash_place(F.col("id"), F.col("piece"), F.col("ids_crc32"), seed=seed)
     ranked = running(pieces.withColumn("place", place), ["length"], fraction(F.col("place")),
                      ["place", "id", "piece", "ids_crc32"], F.lit(1), sum(counts.values()))
     within = F.col("before") - F.col("r_rank")

@@ -305,14 +305,15 @@ def _apart(grouped: DataFrame, mixed: DataFrame, long: DataFrame, pct: int) -> D
 
 
 def _check(k: int, pct: int):
-    """Rows (a, b, text_a, text_b) whose sets link."""
+    """Rows (a, b, text_a, text_b) whose sets link, by hashes that the search has
+    not used: two shingles that it took for one do not link texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of: dict[int, np.ndarray] = {}
 
         def sets(ids: pa.Array, texts: pa.Array) -> None:
             ids = ids.to_pylist()
             new = list({i: p for p, i in enumerate(ids) if i not in of}.items())
-            for (i, _), s in zip(new, shingle_sets(texts.take(pa.array([p for _, p in new], pa.int64())), k)):
+            for (i, _), s in zip(new, shingle_sets(texts.take(pa.array([p for _, p in new], pa.int64())), k, 1)):
                 of[i] = s
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
@@ -333,7 +334,7 @@ def _check(k: int, pct: int):
 def _linked(pairs: DataFrame, texts_of, k: int, pct: int) -> DataFrame:
     """The pairs (a, b) of set ids that link, checked on whole texts."""
     pairs = written(pairs, "join-candidates")
-    texts = texts_of(pairs)
+    texts = texts_of(pairs).hint("merge")  # whole texts are never broadcast
     both = (pairs.join(texts.select(F.col("set_id").alias("b"), F.col("text").alias("text_b")), "b")
             .join(texts.select(F.col("set_id").alias("a"), F.col("text").alias("text_a")), "a")
             .select("a", "b", "text_a", "text_b"))

@@ -64,7 +64,7 @@ OP8 = f"""
 WITH rows AS (
   SELECT doc_id, source, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS key,
          CAST(len({_WORDS % "coalesce(text, '')"}) AS BIGINT) AS size,
-         md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS place FROM documents),
+         md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || strlen(coalesce(text, ''))) AS place FROM documents),
 sizes AS (SELECT key, CAST(sum(size) AS BIGINT) AS size FROM rows GROUP BY key),
 weighed AS (
   SELECT key, size, {list(WEIGHTS)}[CAST((row_number() OVER (ORDER BY key) - 1) % {len(WEIGHTS)} AS INTEGER) + 1] AS w
@@ -98,11 +98,18 @@ def _line_fails(line: str) -> str:
     n = f"len({_WORDS % line})"
     seps, symbols = _count(line, SEPARATORS), f"length(regexp_replace({line}, '[^#*$%&|<>]', '', 'g'))"
     doubled = (f"((2 * length({line}) - length(replace({line}, '!!', '')) - length(replace({line}, '??', ''))) // 2)")
-    phrases = " OR ".join(f"contains(lower({line}), '{p}')" for p in FURNITURE)
+    # every word between marks of its own, so that a phrase is found as whole words only
+    rest = rf"regexp_replace(lower({line}), '([\p{{L}}\p{{N}}]+)', chr(57344) || '\1' || chr(57345), 'g')"
+    for p in FURNITURE:
+        rest = f"replace({rest}, '" + " ".join(f"\ue000{w}\ue001" for w in p.split()) + "', '')"
+    letters = r"length(regexp_replace(%s, '[^\p{L}\p{N}]', '', 'g'))"
+    marks = (rf"(regexp_matches({line}, '[.,;:!?]')"
+             rf" OR regexp_matches(regexp_replace({line}, '[\x00-\x7F]', '', 'g'), '\p{{P}}'))")
+    unmarked = rf"(length({line}) - length(regexp_replace({line}, '[\x{{0E00}}-\x{{0EFF}}]', '', 'g')))"
     return (f"((10 * {symbols} > length(translate({line}, {_BLANKS}, '')))"
             f" OR ({seps} >= 3 AND 3 * {seps} >= {n}) OR ({doubled} >= 3 AND 5 * {doubled} > {n})"
-            f" OR (length({line}) >= {LONG_LINE} AND NOT regexp_matches({line}, '[.,;:!?]'))"
-            f" OR (length({line}) <= {MAX_FURNITURE_CHARS} AND ({phrases})))")
+            f" OR (length({line}) >= {LONG_LINE} AND NOT {marks} AND 2 * {unmarked} < length({line}))"
+            f" OR (length({line}) <= {MAX_FURNITURE_CHARS} AND 2 * {letters % rest} < {letters % line}))")
 
 
 OP9 = rf"""

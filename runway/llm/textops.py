@@ -17,19 +17,10 @@ _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-_BASE = 0x9E3779B97F4A7C15
 _WORD_MIX = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB,
                       0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
-_powers = np.ones(1, dtype=np.uint64)
-
-
-def _base_powers(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
-        more = np.full(max(n, 256), _BASE, dtype=np.uint64)
-        more[0] = 1
-        _powers = np.cumprod(more, dtype=np.uint64)
-    return _powers
+#: Keys and multipliers of two states of a hash that have nothing in common.
+_STATES = ((0x243F6A8885A308D3, 0x9E3779B97F4A7C15), (0x13198A2E03707344, 0xD1342543DE82EF95))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -65,17 +56,31 @@ def slices(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]
         i = min(j, n)
 
 
-def span_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte spans [start, end), which must not overlap."""
-    length = ends - starts
-    at = np.cumsum(length) - length
-    rel = np.arange(int(length.sum())) - np.repeat(at, length)
-    letters = text[rel + np.repeat(starts, length)].astype(np.uint64) + np.uint64(1)
-    hashed = np.add.reduceat(letters * _base_powers(int(length.max()) + 1)[rel], at)
-    return mix64(hashed + length.astype(np.uint64))
-
-
-def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+def span_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, state: int = 0) -> np.ndarray:
+    """64-bit hashes of the byte spans [start, end).
+
+    Eight bytes at a time are mixed into a keyed state that starts from the
+    length; each step passes the whole state through ``mix64``, so no pattern of
+    equal bytes cancels out.  The two ``state`` hashes are independent."""
+    key, odd = _STATES[state]
+    length = (ends - starts).astype(np.int64)
+    padded = np.concatenate([text, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(text) + 1, "<u8", padded, strides=(1,))
+    hashed = mix64(length.astype(np.uint64) * np.uint64(odd) + np.uint64(key))
+    todo, done = np.arange(len(starts)), 0
+    while True:
+        left = length[todo] - done
+        todo, left = todo[left > 0], left[left > 0]
+        if not len(todo):
+            return hashed
+        word = eight[starts[todo] + done]
+        part = left < 8
+        word[part] &= (np.uint64(1) << (left[part].astype(np.uint64) * np.uint64(8))) - np.uint64(1)
+        hashed[todo] = mix64((hashed[todo] ^ word) * np.uint64(odd) + np.uint64(key))
+        done += 8
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool, state: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of consecutive texts, and the number of
     words before each text (len(texts) + 1 values)."""
     first = int(offsets[0])
@@ -93,17 +98,17 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.
     starts = np.flatnonzero(begin)
     last = word.copy()
     last[:-1] &= ~word[1:] | begin[1:]
-    return span_hashes(text, starts, np.flatnonzero(last) + 1), np.searchsorted(starts, bounds, "left")
+    return span_hashes(text, starts, np.flatnonzero(last) + 1, state), np.searchsorted(starts, bounds, "left")
 
 
-def shingle_sets(column: pa.Array, k: int = 5) -> Iterator[np.ndarray]:
+def shingle_sets(column: pa.Array, k: int = 5, state: int = 0) -> Iterator[np.ndarray]:
     """For each text its sorted distinct k-word shingle hashes (a text of
     fewer words has one shingle of all its words, one without words none);
-    A-Z are lower-cased."""
+    A-Z are lower-cased.  ``state`` 1 gives hashes independent of those of 0."""
     data, offsets = utf8_buffers(column)
-    mixes = np.resize(_WORD_MIX, k) * np.arange(1, 2 * k, 2, dtype=np.uint64)
+    mixes = np.resize(np.roll(_WORD_MIX, state), k) * np.arange(1, 2 * k, 2, dtype=np.uint64)
     for i, j in slices(offsets):
-        words, counts = word_hashes(data, offsets[i:j + 1], lower=True)
+        words, counts = word_hashes(data, offsets[i:j + 1], True, state)
         if len(words) >= k:
             acc = words[:len(words) - k + 1] * mixes[0]
             for d in range(1, k):

@@ -372,3 +372,325 @@ def test_pipeline(spark):
             assert sorted(r["doc_id"] for r in stage.collect()) == sorted(i for i, (_, c) in labels.items() if c == i)
     packed = {r["doc_id"] for r in corpus_pipeline.run(spark, SMALL).collect()}
     assert packed == {r["doc_id"] for r in stage.collect()}
+
+
+def test_word_table_brute_force(spark):
+    """Each bucket's contexts, added up word by word over texts of many tasks."""
+    from runway.llm import quality_classifier as q
+    from runway.llm.textops import word_hashes
+    texts = ["a b a c", None, "", "the cat sat on the mat", "b", "A a é日 b  b\tb\n a"] * 40
+    table = q.word_vectors(spark.createDataFrame([(t,) for t in texts], "text string").repartition(7), seed=5)
+    places, signs = q.index_vectors(5)
+    context, own = np.zeros((q.BUCKETS, q.DIMS)), np.zeros((q.BUCKETS, q.DIMS))
+    for b in range(q.BUCKETS):
+        for p, s in zip(places[b], signs[b]):
+            own[b, p] += s
+    for t in texts:
+        raw = np.frombuffer((t or "").encode(), np.uint8)
+        w = [int(h) % q.BUCKETS for h in word_hashes(raw, np.array([0, len(raw)]), lower=False)[0]] if len(raw) else []
+        for i in range(len(w)):
+            for j in range(max(0, i - q.WINDOW), min(len(w), i + q.WINDOW + 1)):
+                if j != i:
+                    context[w[i]] += own[w[j]]
+    size = np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1e-9)
+    assert np.allclose(table, context / size + 0.5 * own / np.sqrt(q.NONZEROS), atol=1e-6)
+
+
+def test_pooled_features_brute_force():
+    from runway.llm import quality_classifier as q
+    from runway.llm.textops import word_hashes
+    table = np.random.default_rng(0).standard_normal((q.BUCKETS, q.DIMS)).astype(np.float32)
+    texts = ["one two two", "", None, "x " * 70_000]
+    x, n = q.pool(pa.array(texts), table)
+    for row, size, t in zip(x, n, texts):
+        raw = np.frombuffer((t or "").encode(), np.uint8)
+        v = [table[int(h) % q.BUCKETS].astype(float) for h in word_hashes(raw, np.array([0, len(raw)]), lower=False)[0]] if len(raw) else []
+        assert size == len(v)
+        if v:
+            # squares are summed in single precision: a spread of 0 may come out as its root
+            assert np.allclose(row[:q.DIMS], np.mean(v, axis=0), atol=1e-4)
+            assert np.allclose(row[q.DIMS:], np.std(v, axis=0), atol=5e-3)
+
+
+def test_words_of_a_pattern_keep_apart(spark):
+    """Two words that a polynomial hash modulo 2^64 takes for one."""
+    from tokenizers import Tokenizer
+
+    from runway.llm.best_fit import pack
+    from runway.llm.ngram_join import ngram_components
+    from runway.llm.queries import vocabulary_path
+    one = "a"
+    while len(one) < 2048:
+        one += one.translate({97: 98, 98: 97})
+    two = one.translate({97: 98, 98: 97})
+    docs = spark.createDataFrame([(1, one), (2, two), (3, one), (4, f"{one} {two}"), (5, f"{two} {one}")], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in ngram_components(docs).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}
+    whole = Tokenizer.from_file(vocabulary_path())
+    for r in pack(docs.withColumn("x", docs.text), vocabulary_path(), capacity=1 << 20).collect():
+        text = {1: one, 2: two, 3: one, 4: f"{one} {two}", 5: f"{two} {one}"}[r["doc_id"]]
+        ids = np.array(whole.encode(text, add_special_tokens=False).ids + [0], dtype="<u4").tobytes()
+        assert (r["length"], r["ids_crc32"]) == (len(ids) // 4, zlib.crc32(ids))
+
+
+def test_parts_under_one_hash_keep_apart(monkeypatch):
+    from tokenizers import Tokenizer
+
+    from runway.llm import best_fit
+    from runway.llm.queries import vocabulary_path
+    real = best_fit.span_hashes
+    monkeypatch.setattr(best_fit, "span_hashes", lambda t, a, b, state=0: real(t, a, b, state) % np.uint64(2 if state == 0 else 2 ** 60))
+    encoder = best_fit.PartEncoder(vocabulary_path())
+    text = "one two == = three 4 one =="
+    raw = np.frombuffer(text.encode(), np.uint8)
+    ids, _ = encoder.encode(raw, np.array([0, len(raw)]))
+    assert ids.tolist() == Tokenizer.from_file(vocabulary_path()).encode(text, add_special_tokens=False).ids
+
+
+def test_hot_ids_and_equal_ranks_are_spread(spark, monkeypatch):
+    """A third of the rows have no id, and every row of another table is a source
+    of its own: no bucket of the running sums holds a large share."""
+    from pyspark.sql import functions as F
+
+    from runway.llm import interleave_shards, mixing, ranks
+    largest = []
+    real = ranks.written
+
+    def watched(df, name):
+        if name == "ranked-rows":
+            largest.append(1)
+        if name == "bucket-totals":
+            groups = [c for c in df.columns if c != "__sum"]
+            assert "__bucket" in groups
+        return real(df, name)
+    monkeypatch.setattr(ranks, "written", watched)
+    docs = spark.range(3000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.expr("repeat('word ', cast(id % 997 as int))").alias("text"),
+        F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(0).cast("long").alias("n_chars"))
+    rows = mixing._mix(docs, "doc_id", "text", "source", mixing.WEIGHTS, 150, 2, 17)
+    per = rows.groupBy("key", F.floor(ranks.fraction(F.col("place")) * 55)).count().agg(F.max("count")).first()[0]
+    assert per < 160 and largest
+    single = docs.withColumn("source", F.concat(F.lit("s"), F.monotonically_increasing_id()))
+    out = interleave_shards.interleave_shards(single).collect()
+    counts = Counter(r["shard"] for r in out)
+    assert max(counts.values()) - min(counts.values()) <= 1
+    phase = ranks.fraction(ranks.hash_place(mixing.source_key(F.col("source")), seed=30))
+    assert single.groupBy(F.floor(phase * 55)).count().agg(F.max("count")).first()[0] < 160
+
+
+def test_running_totals_of_equal_rows(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from runway.llm import ranks
+    monkeypatch.setattr(ranks, "EQUAL_ROWS", 7)
+    rows = spark.range(400).select((F.col("id") % 2).alias("g"), F.when(F.col("id") < 250, 0).otherwise(F.col("id") % 90).alias("v"))
+    rows = rows.withColumn("place", ranks.hash_place(F.col("v"), seed=1))
+    got = ranks.running(rows, ["g"], ranks.fraction(F.col("place")), ["place", "v"], F.col("v") + 1, 400).collect()
+    for g in (0, 1):
+        mine = sorted((r["place"], r["before"], r["v"]) for r in got if r["g"] == g)
+        at = 0
+        for _, before, v in mine:
+            assert before == at
+            at += v + 1
+        assert len(mine) == 200 and all(r["total"] == at for r in got if r["g"] == g)
+
+
+def test_sharding_order_brute_force(spark, odd):
+    """Every place recomputed: rows of a source by hash, all rows by (k + phase) / n."""
+    import hashlib
+
+    from runway.llm.interleave_shards import interleave_shards
+
+    def place(seed, *values):
+        return hashlib.md5(":".join([str(seed), *("null" if v is None else str(v) for v in values)]).encode()).hexdigest()
+    docs = [(r["doc_id"], (r["text"] or "").encode(), r["source"]) for r in odd.collect()]
+    rows = []
+    for d, t, s in docs:
+        size, crc = len(t) + 1, zlib.crc32(t)
+        rows.append(("1" if s is None else "0" + s, place(29, d, crc, size), d is not None, d or 0, crc, size, d, s))
+    of = defaultdict(list)
+    for r in sorted(rows):
+        of[r[0]].append(r)
+    ranked = []
+    for key, mine in of.items():
+        phase = int(place(30, key)[:8], 16) / 2 ** 32
+        ranked += [((k + phase) / len(mine), *r) for k, r in enumerate(mine)]
+    ranked.sort()
+    n = len(ranked)
+    want = Counter()
+    for at, r in enumerate(ranked):
+        shard = at * 8 // n
+        want[r[7], r[6], r[5], shard, at - -(-shard * n // 8), r[8]] += 1
+    got = Counter((r["doc_id"], r["size"], r["text_crc32"], r["shard"], r["slot"], r["source"]) for r in interleave_shards(odd).collect())
+    assert got == want
+
+
+def test_deletion_reads_only_the_keys_of_deleted_documents(spark):
+    from pyspark.sql import functions as F
+
+    from runway.llm.line_dedup import LineIndex
+    docs = spark.createDataFrame(
+        [(i, f"a line that only number {i} holds\na line that all of them hold\na line that tens hold {i // 10}") for i in range(60)],
+        "doc_id long, text string")
+    index = LineIndex.of(docs)
+    index.filters()
+    marked = index.refs.withColumn("n_lines", F.col("n_lines") + 1000)  # would be lost in a rebuild
+    seen = LineIndex(index.parts, marked, index.shards, index.seen).delete(docs.where("doc_id in (0, 13)"))
+    assert {r["n_lines"] for r in seen.refs.collect()} == {1001, 1010, 1009, 1058}
+    assert {r["n_lines"] for r in seen.refs.where("first_doc = 1 and last_doc = 59").collect()} == {1058}
+    refs = lambda x: sorted(map(tuple, x.refs.select("k1", "k2", "n_lines", "first_doc", "last_doc").collect()))
+    step = index
+    for i in range(0, 60, 17):
+        step = step.delete(docs.where(F.col("doc_id") == i)).insert(docs.where(F.col("doc_id") == i))
+    assert refs(step) == refs(index) and step.rows.count() == index.rows.count()
+    assert refs(index.delete(docs)) == [] and index.delete(docs.limit(0)).refs.count() == index.refs.count()
+
+
+def test_filters_are_dealt_anew_when_keys_outgrow_them(spark, monkeypatch):
+    from runway.llm import line_dedup
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 2)
+    docs = spark.createDataFrame([(i, f"a line that only number {i} holds") for i in range(300)], "doc_id long, text string")
+    index = line_dedup.LineIndex.of(docs.where("doc_id < 10"))
+    more = index.insert(docs.where("doc_id >= 10"))
+    assert index.shards == 64 and more.shards == 150 and more.filters().count() > 64
+    again = more.insert(docs.where("doc_id = 7"))
+    assert again.refs.where("n_lines = 2").count() == 1
+
+
+def test_names_inside_do_not_meet_names_outside(spark):
+    from runway.llm.line_dedup import dedup_lines
+    from runway.llm.mixing import mixed_documents
+    from runway.llm.ngram_join import one_of_each
+    text = "a line that is long enough and stands in both\nand one more line of text to fill it"
+    names = ["doc", "version", "drop", "lines", "stay", "row", "__doc", "__lines", "__times", "times", "copy", "key", "place",
+             "passes", "cut", "d", "gone", "component_id", "__n_lines"]
+    docs = spark.createDataFrame([(i, text + str(i % 2), "en", "s", 9, *range(len(names))) for i in range(6)],
+                                 "doc_id long, text string, lang string, source string, n_chars long, "
+                                 + ", ".join(f"{n} long" for n in names))
+    out = dedup_lines(docs)
+    assert [c for c in out.columns if c not in ("__n_lines", "__n_dropped", "__kept")] == [c for c in docs.columns if c != "__n_lines"]
+    assert out.count() == 6 and out.select("__doc", "times").distinct().first() == (6, 9)
+    for f in (mixed_documents, one_of_each):
+        assert f(docs).columns == docs.columns and f(docs).select("__times").distinct().first() == (8,)
+
+
+def test_stages_on_empty_and_odd_rows(spark, odd, empty, tmp_path):
+    import corpus_pipeline
+    documents = [c for c in ("doc_id", "text", "lang", "source", "n_chars")]
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty.select(documents), "").collect() == [], name
+    docs = odd.select(documents)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "")
+        assert docs.columns == documents, name
+    assert docs.count() > 0
+    for sub, table in (("odd", odd), ("none", empty)):
+        table.select(documents).write.parquet(str(tmp_path / sub / "documents.parquet"))
+        assert (corpus_pipeline.run(spark, str(tmp_path / sub)).count() > 0) == (sub == "odd")
+
+
+def test_quality_sql_on_lines_that_differ(spark):
+    """The SQL states the rule of today: whole words, marks of any script."""
+    import duckdb
+
+    from runway.llm import oracle
+    from runway.llm.quality_rules import quality_rules
+    from tests.llm.test_clean_lines import BAD, CLEAN
+    texts = [*CLEAN, *BAD, None, "", "\n".join(CLEAN + BAD), "log in log in", "read more, read more", "x read  more", "blog in login",
+             "sign up/sign up sign up now", "Terms of use. Terms of users", "a | b | c | d", "wow!! oh?? no!! it is"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": list(range(len(texts))), "text": pa.array(texts, pa.string())}))
+    names = ["doc_id", "kept", "n_lines", "n_failed_lines", "lost_words", "n_words", "base_failed"]
+    sql = con.execute(f"SELECT {', '.join(names)} FROM ({oracle.OP9}) ORDER BY doc_id").fetchall()
+    got = quality_rules(docs).select(*names).orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == sql
+
+
+def test_license_scan_brute_force(spark):
+    """The same forms by another regex engine, over copies, halves and mixtures."""
+    import hashlib
+    import random
+
+    import regex
+
+    from runway.llm import license_scan as s
+    from runway.llm.license_texts import MORE_NOTICES, NOTICES, whole_texts
+
+    def words_of(c):
+        c = " " + regex.sub(r"[^\p{L}\p{N}]+", " ", c) + " "
+        for old, new in s.EQUIVALENT:
+            c = c.replace(old, new)
+        return c.strip(" ")
+
+    def bare(t):
+        c = regex.sub(s._LEAD, "", regex.sub(r"\r\n?", "\n", t.lower()))
+        c = regex.sub(s._ITEM, r"\1\2", regex.sub(s.STATEMENT, "", regex.sub(s._OWN, "", c)))
+        c = " " + words_of(c) + " "
+        for old, new in s.VARIES:
+            c = regex.sub(old, new, c)
+        return c.strip(" ")
+
+    def canonical(t):
+        return words_of(regex.sub(s.COPYRIGHT_LINE, "", t.lower()))
+    known = whole_texts()
+    of = {}
+    for name, text in [*known, *NOTICES, *MORE_NOTICES]:
+        of.setdefault(bare(text), set()).add(name)
+    notice = {}
+    for name, text in NOTICES + MORE_NOTICES:
+        notice.setdefault(canonical(text), set()).add(name)
+    rng = random.Random(3)
+    texts = [t for _, t in known[::3]]
+    texts += ["Copyright (c) 2011 A. Smith Ltd.\n" + t for _, t in known[1::4]] + [t[:len(t) // 2] for _, t in known[::5]]
+    texts += ["/* " + t.replace("\n", "\n * ") + " */" for _, t in known[2::4]] + ["", "no licence here", "licence", "a\nb licensed\n"]
+    texts += ["\n".join(rng.choice([t for _, t in NOTICES + MORE_NOTICES] + ["text", "", "# License"]) for _ in range(4)) for _ in range(40)]
+    rows = s.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        t = texts[r["doc_id"]]
+        hits = [min(notice[canonical(x)]) for x in t.split("\n") if canonical(x) in notice]
+        assert r["digest"] == hashlib.sha256(canonical(t).encode()).hexdigest()
+        assert r["license"] == min(of.get(bare(t), {None}), key=str)
+        assert (r["n_notices"], r["notices"]) == (len(hits), ",".join(sorted(set(hits))))
+
+
+def test_texts_of_the_caller_need_no_marks(spark):
+    from runway.llm.license_scan import scan_licenses
+    docs = spark.createDataFrame([(1, "Permission granted to all persons."), (2, "other"), (3, "x\nUse it freely!\n"), (4, None)],
+                                 "doc_id long, text string")
+    got = {r["doc_id"]: r for r in scan_licenses(docs, texts=[("X", "Permission granted to all persons.")],
+                                                 notices=(("Y", "use it freely"),)).collect()}
+    assert got[1]["license"] == "X" and got[2]["license"] is None and (got[3]["n_notices"], got[3]["notices"]) == (1, "Y")
+    assert scan_licenses(docs, texts=[], notices=()).where("license is null and n_notices = 0").count() == 4
+
+
+def test_package_in_an_archive(tmp_path):
+    """Shipped as the README says: imported from a zip, with its licence texts, and
+    Python operators run beside the shipped file."""
+    import os
+    import shutil
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    shutil.copytree(os.path.join(root, "runway"), tmp_path / "src" / "runway", ignore=shutil.ignore_patterns("__pycache__"))
+    archive = shutil.make_archive(str(tmp_path / "runway"), "zip", tmp_path / "src")
+    script = f"""
+import sys
+sys.path.insert(0, {archive!r})
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local-cluster[1,1,1024]").config("spark.ui.enabled", "false")
+         .config("spark.executor.memory", "900m").config("spark.submit.pyFiles", {archive!r})
+         .config("spark.checkpoint.dir", {str(tmp_path / "shared")!r}).getOrCreate())
+import runway.llm.license_texts as texts
+assert ".zip" in texts.__file__ and len(texts.whole_texts()) > 50
+from runway.llm.license_scan import scan_licenses
+from runway.llm.periodic_runs import periodic_runs
+docs = spark.createDataFrame([(1, "a b " * 30), (2, dict(texts.whole_texts())["Apache-2.0"])], "doc_id long, text string")
+assert sorted((r.doc_id, len(r.runs)) for r in periodic_runs(docs).collect()) == [(1, 1), (2, 0)]
+assert {{r.doc_id: r.license for r in scan_licenses(docs).collect()}} == {{1: None, 2: "Apache-2.0"}}
+print("fine")
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", script], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert out.stdout.strip().endswith("fine"), out.stdout[-2000:] + out.stderr[-4000:]
