@@ -28,9 +28,10 @@ def enrich_flights(df: DataFrame, shift_seconds: int = 1, wrap: str | None = Non
 
     Date texts are decoded through a dictionary (a job when this is called): a
     year of flights has 365 of them, and a filter on a delay below a join does
-    not parse them again.
+    not parse them again.  In a stream, whose texts are not all known, each row's
+    date is parsed.
     """
-    if isinstance(df.schema["date"].dataType, StringType):
+    if isinstance(df.schema["date"].dataType, StringType) and not df.isStreaming:
         df = decoded(df, "date", lambda text: parse_date(text, date_formats))
     d = date_of(df, "date", date_formats)
     sd, dm = minutes_of(df, "sched_dep_time"), minutes_of(df, "dep_time")

@@ -19,8 +19,10 @@ from ..sources.schemas import FLIGHT_REQUIRED_COLUMNS, FLIGHTS
 
 def read_flight_stream(spark: SparkSession, path: str, null_value: str = "NA",
                        max_files_per_trigger: int | None = None) -> DataFrame:
-    """Flight CSV files arriving in ``path`` (declared schema, header)."""
-    r = (spark.readStream.schema(FLIGHTS).option("header", True)
+    """Flight CSV files arriving in ``path`` (declared schema, header).  A file
+    whose header names other columns, or these in another order, fails the
+    query instead of being read by position."""
+    r = (spark.readStream.schema(FLIGHTS).option("header", True).option("enforceSchema", False)
          .option("nullValue", null_value))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)

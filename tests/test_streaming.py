@@ -56,3 +56,18 @@ def test_stream_hourly_counts_match_batch(spark):
         assert frames_equal(spark.table(name), hourly_counts(flown, "origin"))
     finally:
         q.stop()
+
+
+def test_stream_refuses_columns_in_another_order(spark):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+    src = scratch_path(spark, "flight-stream-reversed")
+    raw = catalog.raw_flights(spark, SF_SMALL)
+    write_table(raw.select(*reversed(raw.columns)), src, "csv", null_value="NA")
+    name = f"reversed_{uuid.uuid4().hex}"
+    q = start_running(running_route_counts(read_flight_stream(spark, src)), name, "memory", scratch_path(spark, name))
+    try:
+        with pytest.raises(StreamingQueryException):
+            q.processAllAvailable()
+    finally:
+        q.stop()
