@@ -22,7 +22,7 @@ from .workers import ship
 #: A text with every kind of part, to tell whether a vocabulary cuts words this way.
 PROBE = "It's A-1 ab12cd  x_y ##&& <b> don't ÀÉ caf\u00e9 \u65e5\u672c end.\n".encode()
 #: Distinct parts of words whose ids a worker remembers before it starts anew.
-CACHED_PARTS = 600_000
+CACHED_PARTS = 300_000
 
 _BLANK, _LETTER, _DIGIT, _MARK, _WHOLE = range(5)
 _KIND = np.full(256, _WHOLE, dtype=np.uint8)
@@ -161,7 +161,7 @@ def _pieces(path: str, capacity: int):
         for batch in batches:
             data, at = utf8_buffers(batch.column(1))
             rows: list[list] = [[], [], [], [], []]
-            for i, j in slices(at, 2 << 20):
+            for i, j in slices(at, 1 << 20):
                 ids, ends = encoder.encode(data[at[i]:at[j]], at[i:j + 1] - at[i])
                 raw, ends = ids.tobytes(), (ends * 4).tolist()
                 for k in range(j - i):

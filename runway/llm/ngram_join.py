@@ -40,7 +40,7 @@ from .textops import mix64, shingle_sets
 from .workers import ship
 
 #: Shingles counted at a time in a task, and the count there that is reported.
-COUNTED_AT_ONCE = 4_000_000
+COUNTED_AT_ONCE = 2_000_000
 REPORTED_COUNT = 3
 #: Total count from which a shingle goes last in the order, and most of those.
 OFTEN = 4
