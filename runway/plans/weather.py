@@ -97,48 +97,70 @@ def delay_by_wind_speed(joined: DataFrame) -> DataFrame:
             .orderBy("wind_speed"))
 
 
-def _per_hour(trips: DataFrame, only_delayed: bool) -> DataFrame:
-    """Trips pre-aggregated to one row per (date, origin, hour): the join key
-    fixes the month, so the means below need only counts and sums."""
-    t = trips.where(F.col("arr_delay") > 0) if only_delayed else trips
-    return t.groupBy(*JOIN_KEYS).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("dep_delay").alias("s_dep"), F.count("dep_delay").alias("n_dep"),
-        F.sum("arr_delay").alias("s_arr"), F.count("arr_delay").alias("n_arr"))
-
-
-def _hourly_joined(trips: DataFrame, weather: DataFrame, only_delayed: bool,
-                   max_weather_rows: int | None) -> DataFrame:
+_SCOPES = ("all", "late")
+
+
+def hourly_weather(trips: DataFrame, weather: DataFrame, max_weather_rows: int | None = None) -> DataFrame:
+    """One row per (date, origin, hour) that has trips and weather: the weather
+    measures, and per scope (all trips, trips that arrived late) the number of
+    trips and the sum and count of each delay.
+
+    The trips are summed first (a partial + final aggregate, filtered measures for
+    the late ones), so one row per hour and airport meets the weather, and every
+    mean of both notebooks follows from this small table."""
+    late = F.col("arr_delay") > 0
+    sums = []
+    for scope in _SCOPES:
+        def of(c, scope=scope):
+            return F.when(late, c) if scope == "late" else c
+        sums += [F.count(of(F.lit(1))).alias(f"{scope}_n"),
+                 *[f(of(F.col(c))).alias(f"{scope}_{name}_{c}") for c in ("dep_delay", "arr_delay")
+                   for name, f in (("sum", F.sum), ("count", F.count))]]
     w = prepare_weather(weather).select(*JOIN_KEYS, *WEATHER_MEASURES)
-    return join_bounded(_per_hour(trips, only_delayed), w, list(JOIN_KEYS), "inner",
-                        max_weather_rows)
+    return join_bounded(trips.groupBy(*JOIN_KEYS).agg(*sums), w, list(JOIN_KEYS), "inner", max_weather_rows)
+
+
+def _scope(hours: DataFrame, only_delayed: bool) -> tuple[DataFrame, str]:
+    scope = _SCOPES[only_delayed]
+    return hours.where(F.col(f"{scope}_n") > 0), scope
+
+
+def _mean_delay(scope: str, col: str) -> Column:
+    return F.sum(f"{scope}_sum_{col}") / F.sum(f"{scope}_count_{col}")
 
 
-def _weighted_avg(col: str) -> Column:
+def _mean_measure(scope: str, col: str) -> Column:
     """Mean of a weather measure over the trips of each hour: weighted by the
     hour's trip count, over the hours where the measure is known."""
-    m = F.col(col)
-    return F.sum(m * F.col("n")) / F.sum(F.when(m.isNotNull(), F.col("n")))
+    m, n = F.col(col), F.col(f"{scope}_n")
+    return F.sum(m * n) / F.sum(F.when(m.isNotNull(), n))
+
+
+def monthly_from_hours(hours: DataFrame, only_delayed: bool = False) -> DataFrame:
+    """Q14 from :func:`hourly_weather`: the join key fixes the month."""
+    rows, scope = _scope(hours, only_delayed)
+    return (rows.groupBy(F.month("date").alias("month"))
+            .agg(_mean_delay(scope, "dep_delay").alias("avg_dep_delay"),
+                 *[_mean_measure(scope, c).alias(f"avg_{c}") for c in WEATHER_MEASURES])
+            .orderBy("month"))
+
+
+def wind_speed_from_hours(hours: DataFrame, only_delayed: bool = True) -> DataFrame:
+    """Q15 from :func:`hourly_weather`."""
+    rows, scope = _scope(hours, only_delayed)
+    return rows.groupBy("wind_speed").agg(_mean_delay(scope, "arr_delay").alias("avg_arr_delay")).orderBy("wind_speed")
 
 
 def monthly_weather_delay_from(trips: DataFrame, weather: DataFrame,
                                only_delayed: bool = False,
                                max_weather_rows: int | None = None) -> DataFrame:
-    """Q14 without the row-level join: trips are summed per (date, origin,
-    hour) first (a partial + final aggregate), so only one row per hour and
-    airport meets the weather; same means as
+    """Q14 without the row-level join: the same means as
     ``monthly_weather_delay(join_weather(trips, weather))``."""
-    j = _hourly_joined(trips, weather, only_delayed, max_weather_rows)
-    return (j.groupBy(F.month("date").alias("month"))
-            .agg((F.sum("s_dep") / F.sum("n_dep")).alias("avg_dep_delay"),
-                 *[_weighted_avg(c).alias(f"avg_{c}") for c in WEATHER_MEASURES])
-            .orderBy("month"))
+    return monthly_from_hours(hourly_weather(trips, weather, max_weather_rows), only_delayed)
 
 
 def delay_by_wind_speed_from(trips: DataFrame, weather: DataFrame, only_delayed: bool = True,
                              max_weather_rows: int | None = None) -> DataFrame:
-    """Q15 without the row-level join (see :func:`monthly_weather_delay_from`);
-    by default over trips that arrived late, as the Spark notebook."""
-    j = _hourly_joined(trips, weather, only_delayed, max_weather_rows)
-    return (j.groupBy("wind_speed").agg((F.sum("s_arr") / F.sum("n_arr")).alias("avg_arr_delay"))
-            .orderBy("wind_speed"))
+    """Q15 without the row-level join (see :func:`hourly_weather`); by default
+    over trips that arrived late, as the Spark notebook."""
+    return wind_speed_from_hours(hourly_weather(trips, weather, max_weather_rows), only_delayed)
