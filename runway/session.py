@@ -150,12 +150,19 @@ def bucketed(df: DataFrame, keys: Sequence[str], name: str, buckets: int | None
     the buckets as they lie, without another exchange of this side.  Each task
     writes one file, as the shuffle deals by the same hash as the buckets.
     ``buckets`` is the session's number of shuffle partitions if not given.
-    The table is the session's own (a fresh name) and its files are removed
-    when the driver ends.
+    The table is the session's own (a fresh name); its entry goes when the driver
+    ends, its files as those of any scratch path.
     """
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"runway_{name.replace('-', '_')}_{uuid.uuid4().hex}"
     (df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).option("compression", compression)
        .option("path", scratch_path(spark, name)).saveAsTable(table))
+    atexit.register(_forget, spark, table)
     return spark.table(table)
+
+
+def _forget(spark: SparkSession, table: str) -> None:
+    """Take a scratch table's entry out of the catalog; the session may have ended."""
+    if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
