@@ -85,8 +85,9 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``max_lost_pct`` percent of the words.
 
     A null text counts as empty: no words, base-failed, ``cleaned`` empty.
-    Null ids and repeated rows are judged like any row; other columns are
-    dropped unless named in ``keep``, whatever their names.
+    Null ids and repeated rows are judged like any row; texts of any length are
+    judged whole; other columns are dropped unless named in ``keep``, whatever
+    their names; an empty table gives none.
     """
     out = [F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text")]
     extra = [F.col(c).alias(f"__keep_{i}") for i, c in enumerate(keep or [])]
@@ -149,7 +150,9 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents the rules keep, with their failing lines removed; columns
-    of ``docs`` as they were (``n_chars`` follows the text)."""
+    of ``docs`` as they were, whatever their names (``n_chars`` follows the text).
+    Null and empty texts are not kept; null ids and repeated rows are judged like
+    any row; an empty table gives none."""
     names = docs.columns
     other = [c for c in names if c not in ("doc_id", "text", "n_chars")]
     judged = quality_rules(docs.select("doc_id", "text", *[F.col(c).alias(f"__o_{c}") for c in other]),

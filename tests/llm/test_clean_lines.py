@@ -29,3 +29,14 @@ def test_clean_documents_stay_whole(spark):
     rows = [(i, first + t, None, None, 0) for i, t in enumerate(CLEAN[:4])]
     kept = {r["doc_id"]: r["text"] for r in keep_good(spark.createDataFrame(rows, DOCS)).collect()}
     assert kept == {i: t for i, t, *_ in rows}
+
+
+def test_a_filter_does_not_repeat_the_rules(spark):
+    """The rules are nested expressions; a filter on their outcome pushed below
+    them would state them again, and again in each other."""
+    docs = spark.createDataFrame([(1, "a", None, None, 1)], DOCS)
+    plain = quality_rules(docs)._jdf.queryExecution().executedPlan().toString()
+    kept = keep_good(docs)._jdf.queryExecution().executedPlan().toString()
+    assert 0 < plain.count("monotonically_increasing_id") and kept.count("xxhash64") <= plain.count("xxhash64")
+    more = quality_rules(docs).where("kept and n_words > 3")._jdf.queryExecution().executedPlan().toString()
+    assert more.count("xxhash64") <= plain.count("xxhash64")
