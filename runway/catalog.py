@@ -72,12 +72,18 @@ def raw_flights(spark, d, months=1):
     return roles.clock_trips(spark, d, months)
 
 
-def flights(spark, d, shift_seconds=1, round_result=False, months=1):
+def flights(spark, d, shift_seconds=1, round_result=False, months=1, fill_cols=("air_time",)):
     """Cleaned and enriched flights (the study's working table)."""
-    return enrich_flights(clean_flights(raw_flights(spark, d, months)),
+    return enrich_flights(clean_flights(raw_flights(spark, d, months), fill_cols=fill_cols),
                           shift_seconds=shift_seconds, round_result=round_result)
 
 
+def flown(spark, d, shift_seconds=1, round_result=False, months=1):
+    """The same flights for questions that do not ask for ``air_time``: its gaps
+    stay, so neither its means nor a join with them is computed."""
+    return flights(spark, d, shift_seconds, round_result, months, fill_cols=())
+
+
 def raw_weather(spark, d):
     return roles.weather(spark, d)
 
@@ -89,12 +95,12 @@ def weather(spark, d, months=1):
 
 
 def joined(spark, d, only_delayed=False, months=1):
-    return join_weather(flights(spark, d, months=months), weather(spark, d, months), only_delayed=only_delayed)
+    return join_weather(flown(spark, d, months=months), weather(spark, d, months), only_delayed=only_delayed)
 
 
 def joined_stored(spark, d, only_delayed=False):
     """D5 from sides stored bucketed by the join keys."""
-    return join_stored_weather(store_weather_join(flights(spark, d), weather(spark, d)), only_delayed)
+    return join_stored_weather(store_weather_join(flown(spark, d), weather(spark, d)), only_delayed)
 
 
 def reports_prepared(spark, d):
@@ -204,7 +210,7 @@ def _clock_text(spark, d):
 
 
 def _day_of_month(spark, d):
-    return flights(spark, d).select("flight", "date", F.dayofmonth("date").alias("day_of_month"),
+    return flown(spark, d).select("flight", "date", F.dayofmonth("date").alias("day_of_month"),
                                     "day")
 
 
@@ -255,18 +261,18 @@ QUERIES: dict[str, Query] = {
     "clock_text_decode": _clock_text,
     "day_of_month": _day_of_month,
     "spot_check_filter": _spot_check,
-    "busiest_hour_by_carrier": lambda s, d: busiest_hour(flights(s, d), "carrier"),
+    "busiest_hour_by_carrier": lambda s, d: busiest_hour(flown(s, d), "carrier"),
     "busiest_hour_by_carrier_columnwise":
-        lambda s, d: busiest_hour(flights(s, d), "carrier", "columnwise"),
-    "busiest_hour_by_origin": lambda s, d: busiest_hour(flights(s, d), "origin"),
+        lambda s, d: busiest_hour(flown(s, d), "carrier", "columnwise"),
+    "busiest_hour_by_origin": lambda s, d: busiest_hour(flown(s, d), "origin"),
     "busiest_hour_by_origin_columnwise":
-        lambda s, d: busiest_hour(flights(s, d), "origin", "columnwise"),
-    "delayed_share": lambda s, d: r4(delayed_share(flights(s, d), SHARE_ORIGIN_FLIGHTS)),
+        lambda s, d: busiest_hour(flown(s, d), "origin", "columnwise"),
+    "delayed_share": lambda s, d: r4(delayed_share(flown(s, d), SHARE_ORIGIN_FLIGHTS)),
     "delayed_share_minute_shift":
-        lambda s, d: r4(delayed_share(flights(s, d, 60, True), SHARE_ORIGIN_FLIGHTS)),
-    "least_delayed_origin_flights": lambda s, d: least_delayed_origin(flights(s, d)),
-    "most_delayed_dest_flights": lambda s, d: most_delayed_dest(flights(s, d)),
-    "delay_by_hour": lambda s, d: r4(delay_by_hour(flights(s, d))),
+        lambda s, d: r4(delayed_share(flown(s, d, 60, True), SHARE_ORIGIN_FLIGHTS)),
+    "least_delayed_origin_flights": lambda s, d: least_delayed_origin(flown(s, d)),
+    "most_delayed_dest_flights": lambda s, d: most_delayed_dest(flown(s, d)),
+    "delay_by_hour": lambda s, d: r4(delay_by_hour(flown(s, d))),
     "csv_roundtrip": csv_roundtrip,
     "csv_reordered": csv_reordered,
     "csv_checked_rows": lambda s, d: r4(csv_checked(s, d)[0]),
@@ -282,8 +288,8 @@ QUERIES: dict[str, Query] = {
     "distinct_values": _distinct_weather,
     "weather_duplicate_keys": lambda s, d: duplicate_keys(reports_prepared(s, d), JOIN_KEYS),
     "weather_latest_report": lambda s, d: r4(one_report_per_hour(s, d)),
-    "join_weather_reports": lambda s, d: r4(join_weather(flights(s, d), roles.weather_reports(s, d))),
-    "join_weather_latest_report": lambda s, d: r4(join_prepared(flights(s, d), one_report_per_hour(s, d))),
+    "join_weather_reports": lambda s, d: r4(join_weather(flown(s, d), roles.weather_reports(s, d))),
+    "join_weather_latest_report": lambda s, d: r4(join_prepared(flown(s, d), one_report_per_hour(s, d))),
     "join_weather_stored": lambda s, d: r4(joined_stored(s, d)),
     "join_weather": lambda s, d: r4(joined(s, d)),
     "join_weather_delayed_only": lambda s, d: r4(joined(s, d, only_delayed=True)),
@@ -294,9 +300,9 @@ QUERIES: dict[str, Query] = {
     "monthly_weather_delay_late": lambda s, d: r4(monthly_weather_delay(joined(s, d, True, MONTHS))),
     "monthly_weather_delay_scopes": lambda s, d: r4(monthly_weather_delay_scopes(joined(s, d, months=MONTHS))),
     "monthly_weather_delay_preaggregated":
-        lambda s, d: r4(monthly_weather_delay_from(flights(s, d), weather(s, d))),
+        lambda s, d: r4(monthly_weather_delay_from(flown(s, d), weather(s, d))),
     "delay_by_wind_speed_preaggregated":
-        lambda s, d: r4(delay_by_wind_speed_from(flights(s, d), weather(s, d))),
+        lambda s, d: r4(delay_by_wind_speed_from(flown(s, d), weather(s, d))),
     # fleet role
     "null_counts_planes": lambda s, d: null_counts(raw_planes(s, d)),
     "null_pct": lambda s, d: r4(null_pct(raw_planes(s, d))),

@@ -114,9 +114,12 @@ def fill_group_mean(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
 
     A group with no value stays null; a row with a null key is not filled
     (pandas ``transform('mean')`` and the notebook's left join agree).
-    Output keeps the input column order; filled columns become double.
+    Output keeps the input column order; filled columns become double.  No
+    ``cols`` is nothing to do, without a job.
     """
     keys, cols = list(keys), list(cols)
+    if not cols:
+        return df
     tmp = {c: f"__mean_{c}" for c in cols}
     means = df.groupBy(*keys).agg(*[F.avg(_value(df, c)).alias(tmp[c]) for c in cols])
     joined = join_bounded(df, means, keys, how="left", max_rows=max_groups)
