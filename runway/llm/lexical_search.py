@@ -13,6 +13,7 @@ is carried from part to part, so later parts stop early.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -207,7 +208,7 @@ def _search(rows: DataFrame, group: list[tuple], k: int, item_col: str, id_col:
     n_docs, n_terms = (x or 0 for x in index.agg(F.sum("n_docs"), F.sum("n_terms")).first())
     weight = np.zeros(len(number), np.int64)
     for term, df in index.where("term is not null").groupBy("term").agg(F.sum("df")).collect():
-        weight[term] = int(np.floor(1000 * np.log((2 * n_docs + 2) / (2 * df + 1))))
+        weight[term] = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1)))
     queries = [np.array([number[t] for t in own if weight[number[t]] > 0], np.int64) for _, own in group]
     found = index.where("part is not null").select("part").mapInArrow(
         _ranked(sc.broadcast(queries), k, sc.broadcast(weight), n_docs, n_terms), "query int, doc long, score long")
