@@ -60,6 +60,29 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(y, d.doc
 FROM documents d LEFT JOIN sizes s ON d.doc_id = s.doc_id LEFT JOIN lowest ON d.doc_id = lowest.x
 """
 
+#: The checksum of a text by a table of 256 remainders, a byte at a time.
+OP5 = """
+WITH RECURSIVE step(v, x, k) AS (
+  SELECT CAST(range AS BIGINT), CAST(range AS BIGINT), 0 FROM range(256)
+  UNION ALL SELECT v, xor(x >> 1, 3988292384 * (x & 1)), k + 1 FROM step WHERE k < 8),
+tbl AS (SELECT list(x ORDER BY v) AS t FROM step WHERE k = 8),
+docs AS (
+  SELECT doc_id, source, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size,
+         xor(list_reduce(list_transform(regexp_extract_all(hex(coalesce(text, '')), '..'), lambda h: CAST('0x' || h AS BIGINT)),
+             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS crc
+  FROM documents, tbl),
+keyed AS (SELECT *, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS key,
+                 md5('29:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || crc || ':' || size) AS place FROM docs),
+ranked AS (
+  SELECT *, (row_number() OVER (PARTITION BY key ORDER BY place, doc_id, crc, size) - 1
+             + CAST('0x' || substr(md5('30:' || key), 1, 8) AS BIGINT) / 4294967296.0) / count(*) OVER (PARTITION BY key) AS rank
+  FROM keyed),
+placed AS (SELECT *, row_number() OVER (ORDER BY rank, key, place, doc_id, crc, size) - 1 AS place_no, count(*) OVER () AS n FROM ranked)
+SELECT doc_id, size, crc AS text_crc32, CAST(place_no * 8 // n AS INTEGER) AS shard, place_no - ((place_no * 8 // n) * n + 7) // 8 AS slot, source,
+       'rows' AS law, CAST(NULL AS INTEGER) AS grown_shard
+FROM placed
+"""
+
 OP8 = f"""
 WITH rows AS (
   SELECT doc_id, source, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS key,
@@ -253,6 +276,7 @@ QUERIES: dict[str, str] = {
     "op1_subspace_pigeonhole": OP1,
     "op2_line_dedup": OP2,
     "op3_ngram_jaccard": OP3,
+    "op5_interleaved_shards": OP5,
     "op8_mix_sources": OP8,
     "op9_quality_rules": OP9,
     "op10_license_scan": OP10,
