@@ -40,11 +40,13 @@ from .textops import mix64, shingle_sets
 from .workers import ship
 
 #: Shingles counted at a time in a task, and the count there that is reported.
-COUNTED_AT_ONCE = 2_000_000
+COUNTED_AT_ONCE = 4_000_000
 REPORTED_COUNT = 3
 #: Total count from which a shingle goes last in the order, and most of those.
 OFTEN = 4
 MOST_OFTEN = 1_000_000
+#: Postings that a listing task holds at a time.
+LISTED_AT_ONCE = 2_000_000
 #: Members of a list that are paired at once, and postings in a list bucket.
 SHORT_LIST = 24
 BUCKET_POSTINGS = 100_000
@@ -169,7 +171,7 @@ def _list(k: int, pct: int, light: int, often: tuple[np.ndarray, np.ndarray], bu
                     first = s[order[:n - required(n, pct) + 1]]
                     held.append((first, i, n))
                     n_held += len(first)
-                if n_held > COUNTED_AT_ONCE:
+                if n_held > LISTED_AT_ONCE:
                     yield packed()
                     held, n_held = [], 0
         if n_held:
@@ -334,7 +336,7 @@ def _check(k: int, pct: int):
 def _linked(pairs: DataFrame, texts_of, k: int, pct: int) -> DataFrame:
     """The pairs (a, b) of set ids that link, checked on whole texts."""
     pairs = written(pairs, "join-candidates")
-    texts = texts_of(pairs).hint("merge")  # whole texts are never broadcast
+    texts = texts_of(pairs)
     both = (pairs.join(texts.select(F.col("set_id").alias("b"), F.col("text").alias("text_b")), "b")
             .join(texts.select(F.col("set_id").alias("a"), F.col("text").alias("text_a")), "a")
             .select("a", "b", "text_a", "text_b"))
@@ -395,9 +397,12 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     def texts_of(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
         firsts = written(classes.join(ids, "set_id", "left_semi").select("set_id", "doc", "version"), "join-ids")
-        if firsts.count() <= SENT_IDS:
+        n = firsts.count()
+        if n <= SENT_IDS:
             firsts = F.broadcast(firsts)
-        return written(rows.join(firsts, ["doc", "version"]).select("set_id", "text").dropDuplicates(["set_id"]), "join-texts")
+        texts = written(rows.join(firsts, ["doc", "version"]).select("set_id", "text"), "join-texts")
+        # repeated rows hold one text several times; without any no text is shuffled here
+        return texts.dropDuplicates(["set_id"]) if texts.count() > n else texts
 
     # long lists: every member with the one of about its size that stands in most
     # of them, which of a group of near copies is the one they were made from
