@@ -23,8 +23,8 @@ DIMS = 48
 NONZEROS = 4
 WINDOW = 2
 STRIPE = 1 << 10
-#: Partial sums that are added up in one task, and how often they are (64^3 tasks).
-FAN_IN, LEVELS = 64, 3
+#: Partial sums that are added up in one group, and how often they are (8^6 tasks).
+FAN_IN, LEVELS = 8, 6
 #: Words gathered before their contexts are added up, and words pooled at a time.
 GATHERED = 1 << 20
 POOLED = 1 << 15
