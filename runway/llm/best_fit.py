@@ -9,6 +9,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -70,6 +71,14 @@ def word_parts(text: np.ndarray, bounds: np.ndarray):
     return low, starts, np.flatnonzero(last) + 1, kind[starts], np.searchsorted(starts, bounds, "left")
 
 
+def _gathered(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first place of each distinct value, number of the value at each place)."""
+    number, _ = pd.factorize(hashes)
+    seen = np.maximum.accumulate(number)
+    first = np.flatnonzero(np.r_[True, seen[1:] > seen[:-1]][:len(number)])
+    return first, number
+
+
 class PartEncoder:
     """Ids of whole texts by one vocabulary file.
 
@@ -113,10 +122,13 @@ class PartEncoder:
         if not len(starts):
             return np.zeros(0, "<u4"), np.zeros(len(bounds), np.int64)
         hashes = span_hashes(low, starts, ends) ^ (kind == _WHOLE)
-        _, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        second = span_hashes(low, starts, ends, 1)
+        first, inverse = _gathered(hashes)
+        # up to eight bytes a hash is one to one for its length; longer parts are told apart by a second state
+        second = 2 * (ends - starts) + (kind == _WHOLE)
+        long = np.flatnonzero(ends - starts > 8)
+        second[long] = span_hashes(low, starts[long], ends[long], 1).view(np.int64)
         if (second != second[first[inverse]]).any():  # different parts under one hash: gather by both
-            _, first, inverse = np.unique(np.stack([hashes, second]), axis=1, return_index=True, return_inverse=True)
+            _, first, inverse = np.unique(np.stack([hashes.view(np.int64), second]), axis=1, return_index=True, return_inverse=True)
         if len(self.known) > CACHED_PARTS:
             self.known.clear()
         raw, kinds = low.tobytes(), kind[first].tolist()
