@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .store import written
+from .textops import mix64
 from .workers import ship
 
-#: Dimensions of a block, and most grid coordinates of a cell key.
+#: Dimensions of a block, and most grid coordinates of a cell.
 BLOCK_DIMS = 8
 MOST_GRID_DIMS = 5
 #: Vectors of a cell from which it is split (a vector is copied once per part
@@ -36,6 +37,7 @@ TILE = 1024
 CHECKED = 1 << 16
 
 _HOME, _GUEST, _BUILD, _PROBE = range(4)
+_BLOCK_BIT = 40
 
 
 def rotation(dim: int, seed: int) -> np.ndarray:
@@ -71,10 +73,12 @@ class Blocks:
         gap = (np.minimum(inside, 1 - inside) * 2 * self.radius[b]) ** 2
 
         def key(c):
-            out = np.full(len(c), self.dim * 1024 + b, dtype=np.int64)
-            for i in range(MOST_GRID_DIMS):
-                out = (out << 8) | ((c[:, i] if i < k else 0) + 128)
-            return out
+            # a hash, so neither dimensions nor coordinates have a bound; two cells
+            # under one key only cost comparisons
+            out = np.full(len(c), (self.dim << 24) + b, dtype=np.uint64)
+            for i in range(k):
+                out = mix64(out) + c[:, i].astype(np.uint64)
+            return mix64(out).view(np.int64)
         home = key(cell)
         rows = np.arange(len(x))
         yield rows, home
@@ -137,12 +141,12 @@ def _deal(width: int, cosine: float, grid_dims: int, seed: int, split: dict | No
                                 yield pa.RecordBatch.from_arrays(
                                     [pa.array(keys), pa.array(np.full(len(keys), role, np.int32))], names=["cell", "role"])
                                 continue
-                            yield _dealt(batch, at[rows], keys, role, split, most)
+                            yield _dealt(batch, at[rows], keys, b << _BLOCK_BIT, role, split, most)
     return run
 
 
-def _dealt(batch: pa.RecordBatch, rows: np.ndarray, keys: np.ndarray, role: int, split: dict, most: int):
-    """A cell in ``split`` is a grid of (home part, probing part) groups: home
+def _dealt(batch: pa.RecordBatch, rows: np.ndarray, keys: np.ndarray, block: int, role: int, split: dict, most: int):
+    """Rows of one block; the part's number holds the block's.  A cell in ``split`` is a grid of (home part, probing part) groups: home
     vectors are built into every group of their part, all vectors probe every
     group of theirs."""
     out_row, out_cell, out_part, out_role = rows, keys, np.zeros(len(keys), np.int64), np.full(len(keys), role, np.int32)
@@ -165,7 +169,7 @@ def _dealt(batch: pa.RecordBatch, rows: np.ndarray, keys: np.ndarray, role: int,
         out_role = np.r_[out_role[~hot], e[:, 3].astype(np.int32)]
     take = pa.array(out_row)
     return pa.RecordBatch.from_arrays(
-        [pa.array(out_cell), pa.array(out_part), pa.array(out_role), batch.column(0).take(take),
+        [pa.array(out_cell), pa.array(out_part + block), pa.array(out_role), batch.column(0).take(take),
          batch.column(1).take(take), batch.column(2).take(take)], names=["cell", "part", "role", "rep", "same", "raw"])
 
 
@@ -193,8 +197,7 @@ def _join_cell(width: int, cosine: float, grid_dims: int, seed: int):
         probe = np.flatnonzero(role != _BUILD)
         if not len(build) or len(probe) < 1 or len(pdf) < 2:
             return pd.DataFrame({n: np.zeros(0, np.int64) for n in names})
-        key = int(pdf["cell"].iloc[0]) >> (8 * MOST_GRID_DIMS)
-        dim, b = key // 1024, key % 1024
+        dim, b = len(pdf["raw"].iloc[0]) // width, int(pdf["part"].iloc[0]) >> _BLOCK_BIT
         blocks = Blocks(dim, cosine, grid_dims, seed)
         unit = _units(pdf["raw"].tolist(), width)
         turned = blocks.turned(unit)

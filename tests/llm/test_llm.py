@@ -439,9 +439,10 @@ def test_parts_under_one_hash_keep_apart(monkeypatch):
     from runway.llm import best_fit
     from runway.llm.queries import vocabulary_path
     real = best_fit.span_hashes
-    monkeypatch.setattr(best_fit, "span_hashes", lambda t, a, b, state=0: real(t, a, b, state) % np.uint64(2 if state == 0 else 2 ** 60))
+    monkeypatch.setattr(best_fit, "span_hashes", lambda t, a, b, state=0: np.where(
+        (b - a > 8) & (state == 0), np.uint64(6), real(t, a, b, state)))
     encoder = best_fit.PartEncoder(vocabulary_path())
-    text = "one two == = three 4 one =="
+    text = "one two == = three 4 one == international misunderstanding ========= international don't don't-stop-now it's"
     raw = np.frombuffer(text.encode(), np.uint8)
     ids, _ = encoder.encode(raw, np.array([0, len(raw)]))
     assert ids.tolist() == Tokenizer.from_file(vocabulary_path()).encode(text, add_special_tokens=False).ids
@@ -694,3 +695,17 @@ print("fine")
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", script], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=300)
     assert out.stdout.strip().endswith("fine"), out.stdout[-2000:] + out.stderr[-4000:]
+
+
+def test_subspace_join_of_a_close_bound(spark):
+    """The fineness of the grid has no bound: cells far beyond a byte's numbers."""
+    from runway.llm.subspace_join import subspace_components
+    rng = np.random.default_rng(2)
+    rows = [(10 + i, v.tolist()) for i, v in enumerate(rng.standard_normal((40, 4)).astype(np.float32))]
+    base = rng.standard_normal(4)
+    rows += [(60 + i, (base * (i + 1) + 1e-5 * rng.standard_normal(4)).astype(np.float32).tolist()) for i in range(4)]
+    got = {r["vec_id"]: r["n_links"] for r in subspace_components(
+        spark.createDataFrame(rows, "vec_id long, embedding array<float>"), cosine=0.9999999).collect()}
+    unit = {i: np.array(v, float) / np.linalg.norm(np.array(v, float)) for i, v in rows}
+    for i in unit:
+        assert got[i] == sum(j != i and unit[i] @ unit[j] >= 0.9999999 for j in unit), i
