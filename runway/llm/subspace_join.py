@@ -3,9 +3,10 @@
 Unit vectors with cosine >= c lie within squared distance 2 - 2c.  After a
 seeded rotation they are split into blocks of a few dimensions; by the
 pigeonhole principle a linked pair is, in one block at least, within that
-block's proportional share of the squared distance.  Each block is range-joined
-on a grid over its first coordinates, and the union of candidates is checked
-exactly in double precision, each pair in the first block that yields it.
+block's proportional share of the squared distance.  Vectors are dealt into
+parts so that each pair of vectors meets in one group; there every block is
+range-joined on a grid over its first coordinates, and the union of candidates
+is checked exactly in double precision, each pair in the first block that yields it.
 """
 
 from __future__ import annotations
@@ -21,24 +22,23 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .store import written
-from .textops import mix64
 from .workers import ship
 
-#: Dimensions of a block, and most grid coordinates of a cell.
+#: Dimensions of a block.
 BLOCK_DIMS = 8
-MOST_GRID_DIMS = 5
-#: Vectors of a cell from which it is split (a vector is copied once per part
-#: it meets, so small parts cost more copies), and most cells that are split
-#: (beyond that the first number is doubled until they are few enough).
-CELL_ROWS = 4096
-MOST_SPLIT_CELLS = 200_000
-#: Rows compared at a time, and candidate pairs checked at a time.
-TILE = 1024
+#: Parts grow with the root of the number of vectors (this many times it), up to
+#: CELL_ROWS vectors and PART_BYTES of vectors.  A vector is sent once per part.
+ROOT_ROWS = 32
+CELL_ROWS = 32768
+PART_BYTES = 8 << 20
+#: Most tasks of the join; more groups share them.
+MOST_TASKS = 4096
+#: Vectors of a grid cell, pairs compared at a time, and candidate pairs checked
+#: and links held at a time.
+LEAF = 128
+TILE = 1 << 20
 CHECKED = 1 << 16
 
-_HOME, _GUEST, _BUILD, _PROBE = range(4)
-_BLOCK_BIT = 40
-
 
 def rotation(dim: int, seed: int) -> np.ndarray:
     q, r = np.linalg.qr(np.random.default_rng([seed, dim]).standard_normal((dim, dim)))
@@ -46,48 +46,55 @@ def rotation(dim: int, seed: int) -> np.ndarray:
 
 
 class Blocks:
-    """The blocks of one dimension, their budgets and grid."""
+    """The blocks of one dimension and their budgets."""
 
-    def __init__(self, dim: int, cosine: float, grid_dims: int, seed: int):
-        self.dim, self.turn = dim, rotation(dim, seed)
+    def __init__(self, dim: int, cosine: float, seed: int):
+        self.turn = rotation(dim, seed)
         self.edges = list(range(0, dim, BLOCK_DIMS)) + [dim]
         share = (2 - 2 * cosine) * np.diff(self.edges) / dim
         self.budget = share * (1 + 1e-9) + 1e-12
-        self.radius = np.sqrt(self.budget)
-        self.grid_dims = grid_dims
-
-    def turned(self, unit: np.ndarray) -> np.ndarray:
-        # einsum sums each element in one fixed order, whatever the batch
-        return np.einsum("ij,jk->ik", unit, self.turn)
-
-    def cells(self, turned: np.ndarray, b: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(row numbers, cell keys): the home cells of all rows first, then the
-        later cells (in key order) that the rows' balls reach into.  A cell is
-        two radii wide, so in each coordinate only the nearer side counts."""
-        lo = self.edges[b]
-        k = min(self.grid_dims, self.edges[b + 1] - lo)
-        x = turned[:, lo:lo + k] / (2 * self.radius[b])
-        cell = np.floor(x).astype(np.int64)
-        inside = x - cell
-        step = np.where(inside < 0.5, -1, 1)
-        gap = (np.minimum(inside, 1 - inside) * 2 * self.radius[b]) ** 2
-
-        def key(c):
-            # a hash, so neither dimensions nor coordinates have a bound; two cells
-            # under one key only cost comparisons
-            out = np.full(len(c), (self.dim << 24) + b, dtype=np.uint64)
-            for i in range(k):
-                out = mix64(out) + c[:, i].astype(np.uint64)
-            return mix64(out).view(np.int64)
-        home = key(cell)
-        rows = np.arange(len(x))
-        yield rows, home
-        for mask in range(1, 1 << k):
-            move = np.array([(mask >> i) & 1 for i in range(k)])
-            reach = (gap * move).sum(axis=1) <= self.budget[b]
-            other = key(cell[reach] + step[reach] * move)
-            later = other > home[reach]
-            yield rows[reach][later], other[later]
+
+
+def _near(home: np.ndarray, guest: np.ndarray | None, budget: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(home rows, guest rows) of all pairs within ``budget``, and a few beyond
+    it by less than rounding; each pair of ``home`` once if there is no guest.
+
+    ``home`` is cut at the medians of its first coordinates into cells of about
+    LEAF rows; a guest is compared with the cells that its ball reaches."""
+    k = min(home.shape[1], max(0, int(math.log2(max(1, len(home) / LEAF)))))
+    cut = np.median(home[:, :k], axis=0)
+    cell = ((home[:, :k] > cut) << np.arange(k)).sum(axis=1)
+    order = np.argsort(cell, kind="stable")
+    home = home[order]
+    own = guest is None
+    guest = home if own else guest
+    kind, slack = (np.float32, 1e-5) if budget > 1e-3 else (np.float64, 1e-12)
+    starts = np.searchsorted(cell[order], np.arange((1 << k) + 1))
+    over, under = np.maximum(guest[:, :k] - cut, 0) ** 2, np.maximum(cut - guest[:, :k], 0) ** 2
+
+    def norms(x):
+        return (x * x).sum(axis=1)[:, None]
+    # one product gives squared distances
+    left = np.hstack([guest * -2, norms(guest), np.ones((len(guest), 1))]).astype(kind)
+    right = np.hstack([home, np.ones((len(home), 1)), norms(home)]).astype(kind)
+    for c in range(1 << k):
+        first, last = starts[c], starts[c + 1]
+        if first == last:
+            continue
+        bit = (c >> np.arange(k)) & 1
+        skip = first if own else 0
+        reach = skip + np.flatnonzero(over[skip:] @ (1 - bit) + under[skip:] @ bit <= budget + slack)
+        for s in range(first, last, 1024):
+            h = min(1024, last - s)
+            for t in range(0, len(reach), TILE // h):
+                g = reach[t:t + TILE // h]
+                q, p = np.divmod(np.flatnonzero((left[g] @ right[s:s + h].T).ravel() <= budget + slack), h)
+                p, q = s + p, g[q]
+                if own:
+                    p, q = p[q > p], q[q > p]
+                    yield order[p], order[q]
+                else:
+                    yield order[p], q
 
 
 def _units(raw: list[bytes], width: int) -> np.ndarray:
@@ -121,58 +128,6 @@ def _by_dim(raw: list[bytes], width: int):
         yield int(dim), at
 
 
-def _deal(width: int, cosine: float, grid_dims: int, seed: int, split: dict | None, most: int):
-    """Rows of the range join: a vector in its home cell and the cells it
-    reaches.  Without ``split`` only (cell, home or guest) to be counted."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, 2048):
-                batch = whole.slice(start, 2048)
-                raw = batch.column(2).to_pylist()
-                for dim, at in _by_dim(raw, width):
-                    blocks = Blocks(dim, cosine, grid_dims, seed)
-                    turned = blocks.turned(_units([raw[i] for i in at], width))
-                    for b in range(len(blocks.edges) - 1):
-                        for n, (rows, keys) in enumerate(blocks.cells(turned, b)):
-                            if not len(rows):
-                                continue
-                            role = _GUEST if n else _HOME
-                            if split is None:
-                                yield pa.RecordBatch.from_arrays(
-                                    [pa.array(keys), pa.array(np.full(len(keys), role, np.int32))], names=["cell", "role"])
-                                continue
-                            yield _dealt(batch, at[rows], keys, b << _BLOCK_BIT, role, split, most)
-    return run
-
-
-def _dealt(batch: pa.RecordBatch, rows: np.ndarray, keys: np.ndarray, block: int, role: int, split: dict, most: int):
-    """Rows of one block; the part's number holds the block's.  A cell in ``split`` is a grid of (home part, probing part) groups: home
-    vectors are built into every group of their part, all vectors probe every
-    group of theirs."""
-    out_row, out_cell, out_part, out_role = rows, keys, np.zeros(len(keys), np.int64), np.full(len(keys), role, np.int32)
-    hot = np.fromiter((k in split for k in keys.tolist()), bool, len(keys)) if split else np.zeros(len(keys), bool)
-    if hot.any():
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        extra: list[tuple[int, int, int, int]] = []
-        for i in np.flatnonzero(hot).tolist():
-            homes, guests = split[int(keys[i])]
-            h, v = -(-homes // most), -(-(homes + guests) // most)
-            spread = int(ids[rows[i]]) * 0x9E3779B97F4A7C15 >> 16
-            mine, probing = spread % max(h, 1), (spread >> 20) % max(v, 1)
-            if role == _HOME:
-                extra += [(rows[i], keys[i], mine * v + j, _BUILD) for j in range(v)]
-            extra += [(rows[i], keys[i], j * v + probing, _GUEST if role == _GUEST else _PROBE) for j in range(h)]
-        e = np.array(extra, dtype=np.int64).reshape(-1, 4)
-        out_row = np.r_[rows[~hot], e[:, 0]]
-        out_cell = np.r_[keys[~hot], e[:, 1]]
-        out_part = np.r_[out_part[~hot], e[:, 2]]
-        out_role = np.r_[out_role[~hot], e[:, 3].astype(np.int32)]
-    take = pa.array(out_row)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(out_cell), pa.array(out_part + block), pa.array(out_role), batch.column(0).take(take),
-         batch.column(1).take(take), batch.column(2).take(take)], names=["cell", "part", "role", "rep", "same", "raw"])
-
-
 def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Smallest index reachable, for links (i, j) between n nodes."""
     label = np.arange(n)
@@ -187,56 +142,66 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _join_cell(width: int, cosine: float, grid_dims: int, seed: int):
-    """Of one group of a cell: (rep, n_links, root) for vectors that link."""
+def _join_parts(width: int, cosine: float, seed: int):
+    """Of one pair of parts: (rep, n_links, root) for vectors that link."""
     names = ["rep", "n_links", "root"]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        role = pdf["role"].to_numpy()
-        build = np.flatnonzero((role == _HOME) | (role == _BUILD))
-        probe = np.flatnonzero(role != _BUILD)
-        if not len(build) or len(probe) < 1 or len(pdf) < 2:
-            return pd.DataFrame({n: np.zeros(0, np.int64) for n in names})
-        dim, b = len(pdf["raw"].iloc[0]) // width, int(pdf["part"].iloc[0]) >> _BLOCK_BIT
-        blocks = Blocks(dim, cosine, grid_dims, seed)
-        unit = _units(pdf["raw"].tolist(), width)
-        turned = blocks.turned(unit)
-        part = turned[:, blocks.edges[b]:blocks.edges[b + 1]]
-        norm = (part * part).sum(axis=1)
-        rep, same = pdf["rep"].to_numpy(), pdf["same"].to_numpy()
-        guest = role == _GUEST
-        # a vector that both builds and probes a split group has two rows here
+        raw, rep, same = pdf["raw"].tolist(), pdf["rep"].to_numpy(), pdf["same"].to_numpy()
+        part, lo, hi = pdf["part"].to_numpy(), pdf["lo"].iloc[0], pdf["hi"].iloc[0]
         ids, at = np.unique(rep, return_inverse=True)
-        weight, n_links, root = np.zeros(len(ids), np.int64), np.zeros(len(ids)), np.arange(len(ids))
-        weight[at] = same
-        for s in range(0, len(build), TILE):
-            x = build[s:s + TILE]
-            for t in range(0, len(probe), TILE):
-                y = probe[t:t + TILE]
-                near = norm[x][:, None] + norm[y][None, :] - 2 * (part[x] @ part[y].T) <= blocks.budget[b] + 1e-9
-                near &= guest[y][None, :] | (rep[x][:, None] < rep[y][None, :])
-                p, q = np.nonzero(near)
-                links_i, links_j = [at[:0]], [at[:0]]
-                for c in range(0, len(p), CHECKED):
-                    i, j = x[p[c:c + CHECKED]], y[q[c:c + CHECKED]]
-                    hit = np.einsum("ij,ij->i", unit[i], unit[j]) >= cosine
-                    i, j = i[hit], j[hit]
-                    apart = np.add.reduceat((turned[i] - turned[j]) ** 2, blocks.edges[:-1], axis=1)
-                    within = apart <= blocks.budget
-                    first = within[:, b] & ~within[:, :b].any(axis=1)
-                    links_i.append(at[i[first]])
-                    links_j.append(at[j[first]])
-                # of the links of a tile only degrees and roots are held
-                i, j = np.concatenate(links_i), np.concatenate(links_j)
-                if len(i):
-                    n_links += np.bincount(i, weight[j], len(ids)) + np.bincount(j, weight[i], len(ids))
-                    root = _roots(len(ids), np.r_[i, np.arange(len(ids))], np.r_[j, root])
+        n_links, root = np.zeros(len(ids)), np.arange(len(ids))
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def fold():
+            # of links only degrees and roots are kept
+            nonlocal n_links, root
+            i, j = (np.concatenate(x) for x in zip(*held))
+            n_links += np.bincount(at[i], same[j], len(ids)) + np.bincount(at[j], same[i], len(ids))
+            root = _roots(len(ids), np.r_[at[i], np.arange(len(ids))], np.r_[at[j], root])
+            held.clear()
+
+        for dim, rows in _by_dim(raw, width):
+            blocks = Blocks(dim, cosine, seed)
+            unit = _units([raw[r] for r in rows], width)
+            turned = unit @ blocks.turn
+            home = np.flatnonzero(part[rows] == hi)
+            guest = np.flatnonzero(part[rows] == lo)
+            if not len(home) or not len(guest):
+                continue
+            for b, budget in enumerate(blocks.budget):
+                block = turned[:, blocks.edges[b]:blocks.edges[b + 1]]
+                for p, q in _near(block[home], None if lo == hi else block[guest], budget):
+                    for c in range(0, len(p), CHECKED):
+                        i, j = home[p[c:c + CHECKED]], guest[q[c:c + CHECKED]]
+                        within = np.add.reduceat((turned[i] - turned[j]) ** 2, blocks.edges[:-1], axis=1) <= blocks.budget
+                        first = within[:, b] & ~within[:, :b].any(axis=1)
+                        i, j = i[first], j[first]
+                        hit = (np.einsum("ij,ij->i", unit[i], unit[j]) >= cosine) & (rep[rows[i]] != rep[rows[j]])
+                        if hit.any():
+                            held.append((rows[i[hit]], rows[j[hit]]))
+                            if sum(len(x) for x, _ in held) >= CHECKED:
+                                fold()
+        if held:
+            fold()
         hit = np.flatnonzero(n_links)
         return pd.DataFrame({"rep": ids[hit], "n_links": n_links[hit].astype(np.int64),
-                             "root": ids[root[hit]]})
+                             "root": ids[root[hit]]}, columns=names)
     return run
 
 
+def _meetings(classes: DataFrame) -> tuple[DataFrame, int]:
+    """``classes`` dealt so that each pair of vectors meets in one group of
+    (lo, hi), the parts of the two; and the number of groups."""
+    n, size = classes.agg(F.count(F.lit(1)), F.sum(F.length("raw"))).first()
+    parts = max(1, math.ceil(max(math.sqrt(n) / ROOT_ROWS, n / CELL_ROWS, (size or 0) / PART_BYTES)))
+    # by the vector's bytes, as ids may repeat
+    dealt = (classes.withColumn("part", F.pmod(F.xxhash64("raw"), F.lit(parts)).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))))
+    return dealt.select(F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"),
+                        "part", "rep", "same", "raw"), parts * (parts + 1) // 2
+
+
 def subspace_components(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                         cosine: float = 0.95, seed: int = 3) -> DataFrame:
     """One row per row of ``vectors``: id, ``n_links`` (other vectors with
@@ -250,9 +215,9 @@ def subspace_components(vectors: DataFrame, id_col: str = "vec_id", vector_col:
     nothing and have a null component.  Ids must be integers.  Other columns
     are ignored; an empty table gives none.
 
-    Cells of the grid have more coordinates the more vectors there are.  A cell
-    with more than CELL_ROWS vectors is compared in parts, so no task holds one
-    whole; only counts and one link per vector to its part's smallest leave a task.
+    Vectors are dealt into parts of at most CELL_ROWS, and each pair of parts is
+    joined in one group, so no task holds the table; only counts and one link per
+    vector to its group's smallest leave a task.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -264,28 +229,15 @@ def subspace_components(vectors: DataFrame, id_col: str = "vec_id", vector_col:
     classes = written(rows.where("id is not null and raw is not null").groupBy("raw", "id").agg(F.lit(1).alias("one"))
                       .groupBy("raw").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("same"))
                       .select("rep", "same", "raw"), "vector-classes")
-    n = classes.count()
-    grid_dims = min(MOST_GRID_DIMS, max(1, math.ceil(math.log(max(n, 1) / 4096, 3)) if n > 4096 else 1))
-
-    counts = written(classes.mapInArrow(_deal(width, cosine, grid_dims, seed, None, 0), "cell long, role int")
-                     .groupBy("cell").agg(F.count(F.when(F.col("role") == _HOME, 1)).alias("homes"),
-                                          F.count(F.when(F.col("role") == _GUEST, 1)).alias("guests")), "cell-counts")
-    most = CELL_ROWS
-    while (hot := counts.where((F.col("homes") > 0) & (F.col("homes") + F.col("guests") > most))).count() > MOST_SPLIT_CELLS:
-        most *= 2
-    split = spark.sparkContext.broadcast({r["cell"]: (r["homes"], r["guests"]) for r in hot.collect()})
-
-    def deal(batches):
-        return _deal(width, cosine, grid_dims, seed, split.value, most)(batches)
-    dealt = classes.mapInArrow(deal, "cell long, part long, role int, rep long, same long, raw binary")
-    found = written(dealt.groupBy("cell", "part").applyInPandas(
-        _join_cell(width, cosine, grid_dims, seed), "rep long, n_links long, root long"), "vector-links")
+    dealt, groups = _meetings(classes)
+    found = written(dealt.repartition(min(groups, MOST_TASKS), "lo", "hi").groupBy("lo", "hi").applyInPandas(
+        _join_parts(width, cosine, seed), "rep long, n_links long, root long"), "vector-links")
 
     degree = found.groupBy("rep").agg(F.sum("n_links").alias("n"))
-    groups = components(found, "rep", "root")
+    linked = components(found, "rep", "root")
     # a component's smallest representative is its smallest id
     of_class = written(
-        classes.join(degree, "rep", "left").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+        classes.join(degree, "rep", "left").join(linked.withColumnRenamed("node", "rep"), "rep", "left")
         .select("raw", (F.coalesce("n", F.lit(0)) + F.col("same") - 1).alias("n_links"),
                 F.coalesce("component", "rep").alias("component_id")), "vector-groups")
     out = rows.join(of_class, "raw", "left")

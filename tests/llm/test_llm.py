@@ -709,3 +709,27 @@ def test_subspace_join_of_a_close_bound(spark):
     unit = {i: np.array(v, float) / np.linalg.norm(np.array(v, float)) for i, v in rows}
     for i in unit:
         assert got[i] == sum(j != i and unit[i] @ unit[j] >= 0.9999999 for j in unit), i
+
+
+def test_subspace_join_deals_few_copies(spark, monkeypatch):
+    """A vector is sent to the join once per part, not once per block and cell it
+    reaches, and every link is found however the vectors are dealt."""
+    from pyspark.sql.pandas.group_ops import PandasGroupedOpsMixin
+    from runway.llm.subspace_join import subspace_components
+    dealt, apply = [], PandasGroupedOpsMixin.applyInPandas
+    monkeypatch.setattr(PandasGroupedOpsMixin, "applyInPandas",
+                        lambda self, *args: (dealt.append(self._df.count()), apply(self, *args))[1])
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((6000, 20)).astype(np.float32)
+    for g in range(40):  # groups of near copies, spread over the ids
+        x[g::200][1:] = x[g] + 0.15 * rng.standard_normal((29, 20)).astype(np.float32)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in subspace_components(
+        spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")).collect()}
+    assert dealt and max(dealt) <= len(x) * (len(x) ** 0.5 / 32 + 1)
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = [np.flatnonzero(u @ v >= 0.95) for v in u]
+    label = np.arange(len(x))
+    while not np.array_equal(label, new := np.array([label[n].min() for n in near])):
+        label = new
+    assert sum(map(len, near)) > 2 * len(x)
+    assert got == {i: (len(n) - 1, label[i]) for i, n in enumerate(near)}
