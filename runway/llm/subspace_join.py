@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -40,6 +41,7 @@ TILE = 1 << 20
 CHECKED = 1 << 16
 
 
+@lru_cache(maxsize=4)
 def rotation(dim: int, seed: int) -> np.ndarray:
     q, r = np.linalg.qr(np.random.default_rng([seed, dim]).standard_normal((dim, dim)))
     return q * np.sign(np.diag(r))
@@ -152,14 +154,16 @@ def _join_parts(width: int, cosine: float, seed: int):
         ids, at = np.unique(rep, return_inverse=True)
         n_links, root = np.zeros(len(ids)), np.arange(len(ids))
         held: list[tuple[np.ndarray, np.ndarray]] = []
+        n_held = 0
 
         def fold():
             # of links only degrees and roots are kept
-            nonlocal n_links, root
+            nonlocal n_links, root, n_held
             i, j = (np.concatenate(x) for x in zip(*held))
             n_links += np.bincount(at[i], same[j], len(ids)) + np.bincount(at[j], same[i], len(ids))
             root = _roots(len(ids), np.r_[at[i], np.arange(len(ids))], np.r_[at[j], root])
             held.clear()
+            n_held = 0
 
         for dim, rows in _by_dim(raw, width):
             blocks = Blocks(dim, cosine, seed)
@@ -180,7 +184,8 @@ def _join_parts(width: int, cosine: float, seed: int):
                         hit = (np.einsum("ij,ij->i", unit[i], unit[j]) >= cosine) & (rep[rows[i]] != rep[rows[j]])
                         if hit.any():
                             held.append((rows[i[hit]], rows[j[hit]]))
-                            if sum(len(x) for x, _ in held) >= CHECKED:
+                            n_held += len(held[-1][0])
+                            if n_held >= CHECKED:
                                 fold()
         if held:
             fold()
